@@ -31,7 +31,13 @@ from roadpulse.operators import (
     with_id,
     within_bbox,
 )
-from roadpulse.plans import clean_table, gold_table, new_incidents, snapshots_to_gold
+from roadpulse.plans import (
+    clean_table,
+    gold_table,
+    new_incidents,
+    publish_batch,
+    snapshots_to_gold,
+)
 from roadpulse.plans.derived import (
     bronze_like,
     broken_messages,
@@ -40,7 +46,7 @@ from roadpulse.plans.derived import (
     snapshot_documents,
     wire_messages,
 )
-from roadpulse.schemas import SILVER
+from roadpulse.schemas import BRONZE, SILVER
 from roadpulse.session import new_work_dir
 from roadpulse.sinks import write_messages, write_table
 from roadpulse.sources import read_messages, read_snapshots, read_table
@@ -77,7 +83,9 @@ def snapshot_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         "position_in_snapshot",
         F.col("trafficModelId").alias("model_id"),
-        *[f"incident.{name}" for name in ("id", "ty", "ic", "d", "c", "f", "t", "r", "dl")],
+        "incident.id",
+        *[F.col("_raw")[name].alias(name) for name in ("ty", "ic", "d", "c", "f", "t", "r")],
+        "incident.dl",
         F.col("_raw")["st"].alias("st"),
         *_pairs("incident.p"),
     )
@@ -257,25 +265,24 @@ def wire_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events written as JSON text; every key is present, nulls included."""
     events = bronze_like(read_events(spark, sf_dir))
     messages = events.select("event_id", message_of_event().alias("value"))
-
-    def text(key: str):
-        return F.get_json_object("value", f"$.{key}")
-
+    wire = {
+        "trafficModelId": "model_id",
+        "id": "id",
+        "typeCode": "type_code",
+        "iconCode": "icon_code",
+        "comment": "comment",
+        "from": "from_street",
+        "to": "to_street",
+        "road": "road",
+        "delaySeconds": "delay_seconds",
+        "area_hint": "area_hint",
+    }
     return messages.select(
         "event_id",
-        text("trafficModelId").alias("model_id"),
-        text("id").alias("id"),
-        text("typeCode").alias("type_code"),
-        text("iconCode").alias("icon_code"),
-        text("comment").alias("comment"),
-        text("from").alias("from_street"),
-        text("to").alias("to_street"),
-        text("road").alias("road"),
-        text("delaySeconds").cast("int").alias("delay_seconds"),
-        text("area_hint").alias("area_hint"),
+        F.json_tuple("value", *wire).alias(*wire.values()),
         F.size(F.json_object_keys("value")).alias("keys"),
         F.col("value").contains('"road":null').alias("road_is_json_null"),
-    )
+    ).withColumn("delay_seconds", F.col("delay_seconds").cast("int"))
 
 
 @query(
@@ -329,10 +336,11 @@ def bronze_parse_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def malformed_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readable and unreadable messages apart."""
-    usable, malformed = split_malformed(
-        parse_events(broken_messages(read_events(spark, sf_dir)))
-    )
+    """Readable and unreadable messages apart, split from the written bronze table."""
+    config = FeedConfig.under(new_work_dir(spark, "malformed_split"))
+    parsed = parse_events(broken_messages(read_events(spark, sf_dir)))
+    write_table(parsed, config.bronze_table, config)
+    usable, malformed = split_malformed(read_table(spark, config.bronze_table, BRONZE, config))
 
     def summary(rows: DataFrame, is_malformed: bool) -> DataFrame:
         return rows.groupBy(F.lit(is_malformed).alias("malformed")).agg(
@@ -563,9 +571,16 @@ def wire_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_table(clean_table(wire_messages(read_events(spark, sf_dir)), clock=_clock()))
 
 
+@query(f"with {sql.GOLD_OF_SNAPSHOTS} select * from gold")
+def snapshot_messages_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots to gold by way of the JSON messages."""
+    documents = snapshot_documents(read_events(spark, sf_dir), "event_id")
+    return gold_table(clean_table(publish_batch(documents, ["event_id"]), clock=_clock()))
+
+
 @query(f"with {sql.GOLD_OF_SNAPSHOTS} select * from gold")
 def snapshot_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshots to gold in one plan: explode, dedup, flatten, message, parse, clean, count."""
+    """Snapshots to gold in one plan: explode, dedup, flatten, clean, count."""
     documents = snapshot_documents(read_events(spark, sf_dir), "event_id")
     return snapshots_to_gold(documents, ["event_id"], clock=_clock())
 

@@ -116,7 +116,8 @@ def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("id"),
         incident_key("event_type", F.col("user_id").cast("string")).alias("key"),
     )
-    _drain(drop_seen(rows), config.bronze_table, config.bronze_checkpoint, config)
+    seen = drop_seen(rows, salt_by=["event_id"])
+    _drain(seen, config.bronze_table, config.bronze_checkpoint, config)
     return spark.read.parquet(config.bronze_table).select("model_id", "id", "key")
 
 

@@ -74,6 +74,8 @@ class FeedConfig:
     max_files_per_trigger: int | None = None
     max_bytes_per_trigger: str | None = None
     max_offsets_per_trigger: int | None = None
+    # tasks to split the topic into, so that one full topic partition is not one task
+    min_topic_splits: int | None = None
 
     def __post_init__(self) -> None:
         if self.transport not in ("kafka", "files"):

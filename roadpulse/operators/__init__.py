@@ -1,4 +1,4 @@
-from roadpulse.operators.bronze import parse_events, split_malformed
+from roadpulse.operators.bronze import parse_events, split_malformed, stamp_events
 from roadpulse.operators.dedup import drop_seen, first_per_key
 from roadpulse.operators.gold import aggregate_windows, closed_only, watermarked
 from roadpulse.operators.silver import normalize
@@ -24,6 +24,7 @@ __all__ = [
     "normalize",
     "parse_events",
     "split_malformed",
+    "stamp_events",
     "to_messages",
     "watermarked",
     "with_id",

@@ -17,14 +17,21 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
     keeps the optimizer from reading fewer fields for a query that needs fewer: of a message
     that breaks off, the fields before the break must not depend on which are asked for.
     """
-    return (
+    return stamp_events(
         messages.select(F.col(value).cast("string").alias("json"))
         .select(F.from_json("json", WIRE, {"mode": "PERMISSIVE"}).alias("e"))
         .select("e.*")
-        .withColumn("event_ts", event_time("_raw"))
     )
 
 
+def stamp_events(events: DataFrame) -> DataFrame:
+    """Add the event time that the raw record names.
+
+    Flat events that never went over the wire get the same bronze row as parsed ones.
+    """
+    return events.withColumn("event_ts", event_time("_raw"))
+
+
 def split_malformed(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(usable, malformed)``: an event without id came from an unreadable message."""
     return events.where("id is not null"), events.where("id is null")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from roadpulse.functions import first_label, json_message
 from roadpulse.schemas import INCIDENT, RAW_TO_WIRE, TEXT_MAP, WIRE, snapshot_of
@@ -13,10 +13,12 @@ from roadpulse.schemas import INCIDENT, RAW_TO_WIRE, TEXT_MAP, WIRE, snapshot_of
 def explode_snapshots(documents: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per element of ``tm.poi``; every other column of ``documents`` is kept.
 
-    Adds ``trafficModelId`` (empty text where missing), ``position_in_snapshot``, ``incident``
-    (typed keys) and ``_raw`` (every key as text). The document is read twice on purpose: a
-    map loses the difference between ``12`` and ``"12"``, a struct loses unknown keys. A
-    document without incidents, or one that is not JSON, gives no row.
+    Adds ``trafficModelId`` (empty text where missing), ``position_in_snapshot``, ``_raw``
+    (every key as text) and ``incident`` (the id and the keys that are not text). The
+    document is read twice on purpose: a map loses the difference between ``12`` and
+    ``"12"``, a struct loses unknown keys. The other keys stay in the map until the rows are
+    flattened, so that a shuffle in between moves them once. A document without incidents,
+    or one that is not JSON, gives no row.
     """
     kept = [name for name in documents.columns if name != payload]
     parsed = documents.select(
@@ -54,9 +56,31 @@ def with_id(incidents: DataFrame) -> DataFrame:
 
 def flatten_incidents(incidents: DataFrame, *keep: str) -> DataFrame:
     """Event columns of an exploded incident, after any columns named in ``keep``."""
-    renamed = [F.col(f"incident.{raw}").alias(wire) for raw, wire in RAW_TO_WIRE.items()]
-    label = first_label("incident.r", "incident.f", "incident.t").alias("area_hint")
-    return incidents.select(*keep, "trafficModelId", *renamed, label, "_raw")
+
+    def value(key: str) -> Column:
+        return F.col("incident")[key] if key in INCIDENT.names else F.col("_raw")[key]
+
+    renamed = [value(raw).alias(wire) for raw, wire in RAW_TO_WIRE.items()]
+    label = first_label(value("r"), value("f"), value("t")).alias("area_hint")
+    return incidents.withColumn("_raw", _last_of_each_key("_raw")).select(
+        *keep, "trafficModelId", *renamed, label, "_raw"
+    )
+
+
+def _last_of_each_key(texts: str) -> Column:
+    """The map with the last value of a key that its object holds more than once.
+
+    Spark reads such an object as a map with the key in it twice, and a lookup would find
+    the first.
+    """
+    names = F.array_distinct(F.map_keys(texts))
+    entries = F.map_entries(texts)
+
+    def last(name: Column) -> Column:
+        return F.element_at(F.filter(entries, lambda entry: entry["key"] == name), -1)["value"]
+
+    rebuilt = F.map_from_arrays(names, F.transform(names, last))
+    return F.when(F.size(names) < F.size(texts), rebuilt).otherwise(F.col(texts))
 
 
 def to_messages(events: DataFrame) -> DataFrame:
@@ -72,10 +96,8 @@ def message_of_event() -> Column:
 def incidents_per_snapshot(documents: DataFrame, payload: str = "payload") -> DataFrame:
     """Number of incidents in each document, counted before any is dropped."""
     kept = [name for name in documents.columns if name != payload]
-    return documents.select(*kept, snapshot_size(payload).alias("incidents"))
-
-
-def snapshot_size(payload: str = "payload") -> Column:
-    """Length of ``tm.poi``, zero where there is none."""
-    elements = F.from_json(payload, snapshot_of(StringType()))["tm"]["poi"]
-    return F.coalesce(F.size(elements), F.lit(0))
+    only_id = StructType([StructField("id", StringType())])
+    together = F.from_json(payload, snapshot_of(only_id))["tm"]["poi"]
+    texts = F.from_json(payload, snapshot_of(StringType()))["tm"]["poi"]
+    size = F.coalesce(F.size(together), F.size(texts), F.lit(0))
+    return documents.select(*kept, size.alias("incidents"))

@@ -40,9 +40,13 @@ def _fields(names, types) -> StructType:
     return StructType([StructField(name, types.get(name, StringType())) for name in names])
 
 
-# A raw incident, its typed part.
+# The id of a raw incident and its keys that are not text; the others come from its text map.
 INCIDENT = StructType(
-    [StructField(raw, _WIRE_TYPES.get(wire, StringType())) for raw, wire in RAW_TO_WIRE.items()]
+    [
+        StructField(raw, _WIRE_TYPES.get(wire, StringType()))
+        for raw, wire in RAW_TO_WIRE.items()
+        if raw == "id" or wire in _WIRE_TYPES
+    ]
 )
 
 

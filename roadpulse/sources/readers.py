@@ -26,6 +26,8 @@ def kafka_options(config: FeedConfig) -> dict[str, str]:
     }
     if config.max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(config.max_offsets_per_trigger)
+    if config.min_topic_splits:
+        options["minPartitions"] = str(config.min_topic_splits)
     return options
 
 

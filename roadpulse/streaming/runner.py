@@ -33,9 +33,9 @@ def start_stages(
     return running
 
 
-def hold(running: Running, seconds: float, poll: float = 0.5) -> None:
-    """Wait, and fail as soon as a stage has ended by itself."""
-    deadline = time.monotonic() + seconds
+def hold(running: Running, seconds: float | None, poll: float = 0.5) -> None:
+    """Wait, for ever if ``seconds`` is None, and fail as soon as a stage has ended by itself."""
+    deadline = float("inf") if seconds is None else time.monotonic() + seconds
     while True:
         for name, query in running:
             if not query.isActive:
@@ -63,10 +63,10 @@ def run_stages(
     spark: SparkSession,
     config: FeedConfig,
     stages: Sequence[str] = STAGES,
-    keep_running_seconds: float = 0,
+    keep_running_seconds: float | None = 0,
     drain: bool = False,
 ) -> None:
-    """Start, hold for the given time, and stop whatever happens.
+    """Start, hold for the given time (None: until one stage ends), and stop whatever happens.
 
     ``drain`` instead takes each stage in turn through everything its source holds now, and
     then returns. Started again, each stage goes on from its checkpoint.

@@ -22,33 +22,39 @@ from roadpulse.operators import (
     with_id,
     within_bbox,
 )
-from roadpulse.operators.snapshots import snapshot_size
 from roadpulse.schemas import BRONZE, SILVER
+from roadpulse.sources.readers import ORIGIN
 
 
 def publish_rows(documents: DataFrame, config: FeedConfig) -> DataFrame:
-    """Snapshot documents -> one message per incident not seen before.
+    """Snapshot documents, as ``stream_snapshots`` gives them -> one message per new incident.
 
     Repeats are dropped before flattening: the flat event carries its content twice (columns
-    and ``_raw``) and would double what the shuffle moves.
+    and ``_raw``) and would double what the shuffle moves. The progress of the query reports
+    the snapshots read and the incidents in them, counted before repeats are dropped. The
+    box is applied first: the feed would not have sent what lies outside.
     """
-    counted = documents.withColumn("_size", snapshot_size()).observe(
-        "polled", F.count("*").alias("snapshots"), F.sum("_size").alias("incidents")
+    polled = documents.observe("polled", F.count("*").alias("snapshots"))
+    incidents = explode_snapshots(polled)
+    if config.apply_bbox:
+        incidents = within_bbox(
+            incidents, config.bbox, "incident.p", config.lon_key, config.lat_key
+        )
+    counted = incidents.observe("exploded", F.count("*").alias("incidents"))
+    keyed = with_id(counted).select(
+        ORIGIN,
+        "trafficModelId",
+        "incident",
+        "_raw",
+        incident_key("trafficModelId", "incident.id").alias("key"),
     )
-    incidents = with_id(explode_snapshots(counted.drop("_size")))
-    keyed = incidents.withColumn("key", incident_key("trafficModelId", "incident.id"))
     fresh = drop_seen(
         keyed,
-        salt_by=[name for name in (sources.readers.ORIGIN,) if name in documents.columns],
+        salt_by=[ORIGIN],
         salts=config.dedup_salts,
         horizon=config.dedup_salt_horizon,
     )
-    events = flatten_incidents(fresh)
-    if config.apply_bbox:
-        events = within_bbox(
-            events, config.bbox, lon_key=config.lon_key, lat_key=config.lat_key
-        )
-    return to_messages(events)
+    return to_messages(flatten_incidents(fresh))
 
 
 def bronze_rows(messages: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from roadpulse.operators import (
     flatten_incidents,
     incidents_per_snapshot,
     parse_events,
+    stamp_events,
     to_messages,
     with_id,
     within_bbox,
@@ -74,15 +75,15 @@ def test_document_over_several_lines(spark):
 def test_element_that_is_no_object_costs_only_itself(spark, bad):
     payload = '{"tm":{"@id":"1","poi":[{"id":"a"},%s,{"id":"c","dl":4,"q":1}]}}' % bad
     rows = with_id(explode_snapshots(documents(spark, payload)))
-    found = [(r.incident.id, r.incident.dl, r["_raw"]) for r in rows.collect()]
-    assert found == [("a", None, {"id": "a"}), ("c", 4, {"id": "c", "dl": "4", "q": "1"})]
+    found = [(r.incident.dl, r["_raw"]) for r in rows.collect()]
+    assert found == [(None, {"id": "a"}), (4, {"id": "c", "dl": "4", "q": "1"})]
 
 
 @pytest.mark.parametrize("bad", ['"12"', "12.7", "[1]", "3000000000", "{}"])
 def test_delay_of_another_type_costs_only_itself(spark, bad):
     payload = '{"tm":{"poi":[{"id":"a","dl":%s,"r":"R"},{"id":"b","dl":2}]}}' % bad
-    rows = with_id(explode_snapshots(documents(spark, payload)))
-    assert [(r.incident.id, r.incident.dl, r.incident.r) for r in rows.collect()] == [
+    rows = flatten_incidents(with_id(explode_snapshots(documents(spark, payload))))
+    assert [(r.id, r.delaySeconds, r.road) for r in rows.collect()] == [
         ("a", None, "R"),
         ("b", 2, None),
     ]
@@ -120,6 +121,15 @@ def test_flatten_renames_and_keeps_the_whole_record(spark):
     }
 
 
+def test_a_repeated_key_takes_its_last_value(spark):
+    payload = '{"tm":{"poi":[{"id":"a","r":"x","dl":1,"r":"y","id":"b","dl":2,"st":null}]}}'
+    row = flatten_incidents(with_id(explode_snapshots(documents(spark, payload)))).first()
+    assert (row.id, row.road, row.delaySeconds) == ("b", "y", 2)
+    assert row["_raw"] == {"id": "b", "r": "y", "dl": "2", "st": None}
+    sizes = flatten_incidents(explode_snapshots(documents(spark, payload))).select(F.size("_raw"))
+    assert sizes.first()[0] == 4
+
+
 def test_flat_event_has_the_wire_columns(spark):
     events = flatten_incidents(explode_snapshots(documents(spark, snapshot(FULL))))
     assert events.columns == WIRE.names
@@ -172,6 +182,7 @@ def test_snapshot_to_bronze_round_trip(spark):
     assert [(f.name, f.dataType) for f in parsed.schema] == [(f.name, f.dataType) for f in BRONZE]
     assert parsed.drop("event_ts").collect() == events.collect()
     assert str(parsed.first().event_ts) == "2024-01-01 00:00:00"
+    assert stamp_events(events).collect() == parsed.collect()
 
 
 def test_incidents_are_counted_before_any_is_dropped(spark):
@@ -191,7 +202,7 @@ def test_first_copy_wins_within_and_across_snapshots(spark):
         ),
         ["n"],
     )
-    found = {(r.trafficModelId, r.incident.id, r.incident.d) for r in rows.collect()}
+    found = {(r.trafficModelId, r.id, r.description) for r in flatten_incidents(rows).collect()}
     assert found == {
         ("1", "a", "first"),
         ("1", "b", None),

@@ -102,8 +102,9 @@ def test_incidents_are_counted_while_polling(spark, config):
         messages, config.publish_checkpoint, config, available_now=True
     ).start()
     query.awaitTermination()
-    polled = query.recentProgress[0]["observedMetrics"]["polled"]
-    assert (polled["snapshots"], polled["incidents"]) == (2, 3)
+    observed = query.recentProgress[0]["observedMetrics"]
+    assert observed["polled"]["snapshots"] == 2
+    assert observed["exploded"]["incidents"] == 3
 
 
 def test_bounding_box_is_applied_when_asked(spark, config):
@@ -241,13 +242,14 @@ def test_every_location_moves_under_one_root():
 
 
 def test_kafka_options():
-    config = FeedConfig(kafka_bootstrap="b:1", kafka_topic="t", max_offsets_per_trigger=9)
+    config = FeedConfig(kafka_bootstrap="b:1", kafka_topic="t", max_offsets_per_trigger=9, min_topic_splits=64)
     assert sources.kafka_options(config) == {
         "kafka.bootstrap.servers": "b:1",
         "subscribe": "t",
         "startingOffsets": "latest",
         "failOnDataLoss": "false",
         "maxOffsetsPerTrigger": "9",
+        "minPartitions": "64",
     }
     from roadpulse.sinks.writers import kafka_sink_options
 
@@ -270,3 +272,12 @@ def test_work_folders_are_fresh_and_below_the_shared_root(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         assert first.startswith(configured.rstrip("/")) and shared_root(spark)
+
+
+def test_command_line_drains_the_chosen_stages(spark, config, tmp_path):
+    from roadpulse.__main__ import main
+
+    land(config, "a.json", incident("1", "00:01"), incident("2", "01:00"))
+    main(["--root", str(tmp_path), "--drain", "--skip", "gold"])
+    assert table(spark, config.silver_table, SILVER, config).count() == 2
+    assert not os.path.exists(config.gold_table)
