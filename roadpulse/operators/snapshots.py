@@ -99,5 +99,5 @@ def incidents_per_snapshot(documents: DataFrame, payload: str = "payload") -> Da
     only_id = StructType([StructField("id", StringType())])
     together = F.from_json(payload, snapshot_of(only_id))["tm"]["poi"]
     texts = F.from_json(payload, snapshot_of(StringType()))["tm"]["poi"]
-    size = F.coalesce(F.size(together), F.size(texts), F.lit(0))
+    size = F.coalesce(F.array_size(together), F.array_size(texts), F.lit(0))
     return documents.select(*kept, size.alias("incidents"))
