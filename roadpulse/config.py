@@ -32,7 +32,8 @@ class FeedConfig:
 
     ``transport`` is where events travel between publish and bronze: ``kafka``, or ``files``
     (one JSON message per line under ``wire_path``) where no connector is on the classpath.
-    ``table_format`` is ``parquet`` or ``delta``.
+    ``table_format`` is ``parquet`` or ``delta``. ``quarantine`` keeps unreadable messages out
+    of silver; the stage of that name collects them in a table of their own.
     """
 
     # snapshot feed
@@ -61,12 +62,14 @@ class FeedConfig:
     bronze_checkpoint: str = "./checkpoints/bronze_incidents"
     silver_checkpoint: str = "./checkpoints/silver_incidents"
     gold_checkpoint: str = "./checkpoints/gold_incidents_10m"
+    quarantine_checkpoint: str = "./checkpoints/bronze_malformed"
 
     # timing and state
     trigger_seconds: int = 10
     window: str = "10 minutes"
     watermark: str = "30 minutes"
     missing_time: str = "ingest"
+    quarantine: bool = False
     dedup_salts: int = 16
     dedup_salt_horizon: str = "1 hour"
 
@@ -87,6 +90,10 @@ class FeedConfig:
     def bronze_table(self) -> str:
         return f"{self.bronze_path.rstrip('/')}/incidents"
 
+    @property
+    def quarantine_table(self) -> str:
+        return f"{self.bronze_path.rstrip('/')}/malformed"
+
     @property
     def silver_table(self) -> str:
         return f"{self.silver_path.rstrip('/')}/incidents"

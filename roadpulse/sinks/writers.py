@@ -74,14 +74,16 @@ def write_table(
     config: FeedConfig,
     *,
     partition_by: Sequence[str] = (),
+    rebalance: bool = True,
 ) -> None:
     """Append a batch to a stage table.
 
     Rows are rebalanced by the partition columns first: each folder gets few files of the
     advisory size instead of one per task, and AQE splits a day that holds most of the rows
-    over several tasks.
+    over several tasks. ``rebalance=False`` saves that shuffle where the rows already come
+    in order of the partition columns.
     """
-    if partition_by:
+    if partition_by and rebalance:
         rows = rows.hint("rebalance", *[F.col(name) for name in partition_by])
     writer = rows.write.format(config.table_format).mode("append")
     if partition_by:

@@ -7,6 +7,7 @@ from roadpulse.streaming.stages import (
     start_bronze,
     start_gold,
     start_publish,
+    start_quarantine,
     start_silver,
     start_tail,
 )
@@ -22,6 +23,7 @@ __all__ = [
     "start_bronze",
     "start_gold",
     "start_publish",
+    "start_quarantine",
     "start_silver",
     "start_stages",
     "start_tail",

@@ -12,8 +12,9 @@ from roadpulse import sinks
 from roadpulse.config import FeedConfig
 from roadpulse.streaming import stages as _stages
 
-# Upstream first.
+# Upstream first. `quarantine` runs beside them when it is asked for by name.
 STAGES = ("publish", "bronze", "silver", "gold")
+QUARANTINE = "quarantine"
 
 Running = list[tuple[str, StreamingQuery]]
 
@@ -88,10 +89,11 @@ def _starter(name: str):
 
 
 def _in_order(stages: Sequence[str]) -> list[str]:
-    unknown = set(stages) - set(STAGES)
+    known = (*STAGES, QUARANTINE)
+    unknown = set(stages) - set(known)
     if unknown:
         raise ValueError(f"unknown stages: {sorted(unknown)}")
-    return [name for name in STAGES if name in stages]
+    return [name for name in known if name in stages]
 
 
 def _prepare(spark: SparkSession, config: FeedConfig, stages: Sequence[str]) -> None:
@@ -102,7 +104,7 @@ def _prepare(spark: SparkSession, config: FeedConfig, stages: Sequence[str]) ->
     if "bronze" in stages and config.transport == "files":
         folders.append(config.wire_path)
     if config.table_format == "parquet":
-        folders += [config.bronze_table] if "silver" in stages else []
+        folders += [config.bronze_table] if {"silver", QUARANTINE} & set(stages) else []
         folders += [config.silver_table] if "gold" in stages else []
     for folder in folders:
         sinks.ensure_dir(spark, folder)

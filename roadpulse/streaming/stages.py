@@ -17,6 +17,7 @@ from roadpulse.operators import (
     flatten_incidents,
     normalize,
     parse_events,
+    split_malformed,
     to_messages,
     watermarked,
     with_id,
@@ -62,6 +63,8 @@ def bronze_rows(messages: DataFrame) -> DataFrame:
 
 
 def silver_rows(events: DataFrame, config: FeedConfig) -> DataFrame:
+    if config.quarantine:
+        events, _ = split_malformed(events)
     return normalize(events, config.missing_time)
 
 
@@ -87,6 +90,17 @@ def start_bronze(
     ).start(config.bronze_table)
 
 
+def start_quarantine(
+    spark: SparkSession, config: FeedConfig, available_now: bool = False
+) -> StreamingQuery:
+    """Collect the bronze rows of unreadable messages."""
+    events = sources.stream_table(spark, config.bronze_table, BRONZE, config)
+    _, malformed = split_malformed(events)
+    return sinks.table_writer(
+        malformed, config.quarantine_checkpoint, config, available_now=available_now
+    ).start(config.quarantine_table)
+
+
 def start_silver(
     spark: SparkSession, config: FeedConfig, available_now: bool = False
 ) -> StreamingQuery:

@@ -147,3 +147,13 @@ def test_missing_time_modes(spark):
 def test_malformed_message_becomes_a_stamped_row_by_default(spark):
     row = normalize(parse(spark, "junk")).first()
     assert row.incident_id is None and row.event_ts is not None
+
+
+def test_day_follows_the_session_zone(spark):
+    rows = bronze(spark, "2024-01-02T02:00:00Z")
+    assert str(normalize(rows).first().event_date) == "2024-01-02"
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert str(normalize(rows).select("event_date").first()[0]) == "2024-01-01"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

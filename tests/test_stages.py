@@ -117,6 +117,17 @@ def test_bounding_box_is_applied_when_asked(spark, config):
     assert [r.id for r in rows] == ["1"]
 
 
+def test_quarantine_keeps_unreadable_messages_out_of_silver(spark, config):
+    config = config.with_(quarantine=True)
+    os.makedirs(config.wire_path)
+    with open(os.path.join(config.wire_path, "m.txt"), "w") as file:
+        file.write('{"id":"a","_raw":{"st":"2024-01-01T00:00:00Z"}}\njunk\n{"id":"b"\n')
+    run_stages(spark, config, ["bronze", "silver", "quarantine"], drain=True)
+    silver = table(spark, config.silver_table, SILVER, config)
+    assert [r.incident_id for r in silver.collect()] == ["a"]
+    assert table(spark, config.quarantine_table, BRONZE, config).count() == 2
+
+
 def test_stages_run_side_by_side_and_stop(spark, config):
     land(config, "a.json", incident("1", "00:01"), incident("2", "01:00"))
     running = start_stages(spark, config)
@@ -238,7 +249,7 @@ def test_settings_are_checked():
 def test_every_location_moves_under_one_root():
     config = FeedConfig.under("/shared/run")
     paths = [v for k, v in vars(config).items() if k.endswith(("_path", "_checkpoint"))]
-    assert len(paths) == len(set(paths)) == 9
+    assert len(paths) == len(set(paths)) == 10
     assert all(path.startswith("/shared/run/") for path in paths)
 
 

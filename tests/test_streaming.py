@@ -167,6 +167,43 @@ def test_one_future_row_closes_everything(spark, tmp_path):
     assert sum(dropped) == 1
 
 
+def test_dropped_rows_are_counted_as_groups(spark, tmp_path):
+    feed = Feed(spark, tmp_path, CLEAN, gold)
+    feed.land(("8", "r1", 1, at("02:00:00")))
+    feed.run()
+    feed.land(*[("8", "r1", 1, at(clock)) for clock in ("00:01:00", "00:02:00", "00:15:00")])
+    feed.run()
+    dropped = [s["numRowsDroppedByWatermark"] for p in feed.progress for s in p["stateOperators"]]
+    assert sum(dropped) == 2
+
+
+@pytest.mark.parametrize(
+    "clock, start",
+    [
+        ("2024-01-01 00:09:59.999999", "2024-01-01 00:00:00"),
+        ("2024-01-01 00:10:00", "2024-01-01 00:10:00"),
+        ("1969-12-31 23:59:59", "1969-12-31 23:50:00"),
+        ("1970-01-01 00:00:00", "1970-01-01 00:00:00"),
+    ],
+)
+def test_windows_are_half_open_and_aligned_to_the_epoch(spark, clock, start):
+    rows = spark.createDataFrame([(clock,)], "t string").select(
+        F.lit("8").alias("typeCode"),
+        F.lit("r").alias("road"),
+        F.lit(1).alias("delay_seconds"),
+        F.col("t").cast("timestamp").alias("event_ts"),
+    )
+    found = aggregate_windows(rows).select(F.col("window_start").cast("string")).first()[0]
+    assert found == start
+
+
+def test_mean_of_missing_delays_is_missing(spark):
+    rows = spark.createDataFrame([("8", "r", None, None), ("8", "r", None, None)], CLEAN)
+    rows = rows.withColumn("event_ts", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    row = aggregate_windows(rows).first()
+    assert (row.event_count, row.avg_delay_seconds) == (2, None)
+
+
 def test_restart_reads_nothing_twice(spark, tmp_path):
     feed = Feed(spark, tmp_path, CLEAN, gold)
     feed.land(("8", "r1", 1, at("00:01:00")), ("8", "r1", 1, at("02:00:00")))
