@@ -17,11 +17,8 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
     keeps the optimizer from reading fewer fields for a query that needs fewer: of a message
     that breaks off, the fields before the break must not depend on which are asked for.
     """
-    return stamp_events(
-        messages.select(F.col(value).cast("string").alias("json"))
-        .select(F.from_json("json", WIRE, {"mode": "PERMISSIVE"}).alias("e"))
-        .select("e.*")
-    )
+    event = F.from_json(F.col(value).cast("string"), WIRE, {"mode": "PERMISSIVE"})
+    return stamp_events(messages.select(event.alias("event")).select("event.*"))
 
 
 def stamp_events(events: DataFrame) -> DataFrame:

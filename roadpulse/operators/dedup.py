@@ -36,8 +36,8 @@ def drop_seen(
     key over ``salts`` tasks and lets one of each through, so that the exact step gets at
     most ``salts`` copies of a hot key per batch. State of the first step is only kept for
     ``horizon`` of processing time: forgetting there lets a copy through, which the exact
-    step drops. Rows of one document share a salt and keep their order, so the first
-    position wins within it.
+    step drops. (A driver clock set back by more than that would make rows look late.) Rows
+    of one document share a salt and keep their order, so the first position wins within it.
     """
     if salt_by and salts > 1:
         rows = (

@@ -31,20 +31,18 @@ def aggregate_windows(
     Both aggregates combine before the shuffle, so a task sends one row per group it met and
     a hot (window, key) group is as cheap as any other.
     """
-    return (
+    groups = {"span": tumbling(time, window), **{k: F.col(v) for k, v in keys.items()}}
+    counted = (
         rows.where(F.col(time).isNotNull())
-        .groupBy(
-            tumbling(time, window).alias("w"),
-            *[F.col(source).alias(name) for name, source in keys.items()],
-        )
+        .groupBy(*[column.alias(name) for name, column in groups.items()])
         .agg(F.count("*").alias("event_count"), F.avg(measure).alias("avg_delay_seconds"))
-        .select(
-            F.col("w.start").alias("window_start"),
-            F.col("w.end").alias("window_end"),
-            *keys,
-            "event_count",
-            "avg_delay_seconds",
-        )
+    )
+    return counted.select(
+        F.col("span.start").alias("window_start"),
+        F.col("span.end").alias("window_end"),
+        *keys,
+        "event_count",
+        "avg_delay_seconds",
     )
 
 

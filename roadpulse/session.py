@@ -47,7 +47,8 @@ def get_spark(
     options = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
+        # A task that meets few days keeps one file open per day and need not sort its rows.
+        "spark.sql.maxConcurrentOutputFileWriters": "8",
     }
     if shuffle_partitions:
         options["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -1,6 +1,7 @@
 from roadpulse.sinks.writers import (
     console_writer,
     ensure_dir,
+    ensure_table,
     message_writer,
     table_writer,
     trigger_options,
@@ -11,6 +12,7 @@ from roadpulse.sinks.writers import (
 __all__ = [
     "console_writer",
     "ensure_dir",
+    "ensure_table",
     "message_writer",
     "table_writer",
     "trigger_options",

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
 from roadpulse.config import FeedConfig
 
@@ -96,3 +97,19 @@ def ensure_dir(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
+def ensure_table(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    config: FeedConfig,
+    *,
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Make a stage table that the next stage can start to read before it has rows."""
+    if config.table_format == "parquet":
+        ensure_dir(spark, path)
+        return
+    empty = spark.createDataFrame([], schema).write.format(config.table_format).mode("ignore")
+    (empty.partitionBy(*partition_by) if partition_by else empty).save(path)

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse import sinks
 from roadpulse.config import FeedConfig
+from roadpulse.schemas import BRONZE, SILVER
 from roadpulse.streaming import stages as _stages
 
 # Upstream first. `quarantine` runs beside them when it is asked for by name.
@@ -97,14 +98,14 @@ def _in_order(stages: Sequence[str]) -> list[str]:
 
 
 def _prepare(spark: SparkSession, config: FeedConfig, stages: Sequence[str]) -> None:
-    """Create the folders that file streams read from; a missing one would end the query."""
-    folders = []
+    """Make the sources of the stages; a stream over a missing one would end at once."""
     if "publish" in stages:
-        folders.append(config.snapshot_path)
+        sinks.ensure_dir(spark, config.snapshot_path)
     if "bronze" in stages and config.transport == "files":
-        folders.append(config.wire_path)
-    if config.table_format == "parquet":
-        folders += [config.bronze_table] if {"silver", QUARANTINE} & set(stages) else []
-        folders += [config.silver_table] if "gold" in stages else []
-    for folder in folders:
-        sinks.ensure_dir(spark, folder)
+        sinks.ensure_dir(spark, config.wire_path)
+    if {"silver", QUARANTINE} & set(stages):
+        sinks.ensure_table(spark, config.bronze_table, BRONZE, config)
+    if "gold" in stages:
+        sinks.ensure_table(
+            spark, config.silver_table, SILVER, config, partition_by=["event_date"]
+        )

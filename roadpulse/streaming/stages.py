@@ -124,5 +124,13 @@ def start_gold(
 
 
 def start_tail(spark: SparkSession, config: FeedConfig) -> StreamingQuery:
-    """Print parsed messages as they arrive."""
-    return sinks.console_writer(bronze_rows(sources.stream_messages(spark, config))).start()
+    """Print parsed messages as they arrive.
+
+    The console sink brings each micro-batch to the driver, so a backlog is taken in small
+    ones.
+    """
+    small = config.with_(
+        max_files_per_trigger=config.max_files_per_trigger or 1,
+        max_offsets_per_trigger=config.max_offsets_per_trigger or 1000,
+    )
+    return sinks.console_writer(bronze_rows(sources.stream_messages(spark, small))).start()

@@ -8,7 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from roadpulse.operators import aggregate_windows, first_per_key, normalize, parse_events
+from roadpulse.operators import (
+    aggregate_windows,
+    first_per_key,
+    normalize,
+    parse_events,
+    watermarked,
+)
 from roadpulse.plans.derived import read_events, silver_like, wire_messages
 from roadpulse.schemas import BRONZE, SILVER
 
@@ -36,6 +42,33 @@ def test_gold_reads_four_columns_and_combines_before_its_one_shuffle(plan, silve
     assert "IsNotNull(event_ts)" in text
 
 
+def test_streamed_gold_reads_four_columns_and_combines_before_its_shuffle(
+    spark, silver_table, tmp_path
+):
+    folder = silver_table.inputFiles()[0].split("/event_date=")[0]
+    clean = watermarked(spark.readStream.schema(SILVER).parquet(folder))
+    query = (
+        aggregate_windows(clean)
+        .writeStream.format("noop")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    assert progress[0]["numInputRows"] == 1000
+    # The last batch has no data, but the same operators above an empty scan.
+    text = query._jsq.explainInternal(False)
+    assert text.index("StateStoreSave") < text.index("Exchange") < text.index("partial_count")
+    scan = re.search(r"LocalTableScan <empty>, \[([^\]]*)\]", text).group(1)
+    assert {name.split("#")[0] for name in scan.split(", ")} <= {
+        "typeCode",
+        "road",
+        "delay_seconds",
+        "event_ts",
+    }
+
+
 def test_a_day_prunes_folders(plan, silver_table):
     day = silver_table.where(F.col("event_date") == "2024-01-02")
     assert re.search(r"PartitionFilters: \[[^\]]*event_date", plan(aggregate_windows(day)))
