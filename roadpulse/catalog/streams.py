@@ -1,13 +1,12 @@
 """The operators as streaming queries, run until they have read all of their input.
 
 Everything a query writes goes below one fresh folder in the shared root. Rows and files are
-written and read by Spark tasks; the driver only starts the queries.
+written and read by Spark tasks; the driver only starts the queries. Where the state grows with
+the number of keys it is kept in RocksDB, off the heap.
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +29,7 @@ from roadpulse.plans.derived import (
     wire_messages,
 )
 from roadpulse.schemas import BRONZE, GOLD, SILVER
-from roadpulse.session import new_work_dir
+from roadpulse.session import ROCKSDB_SETTINGS, new_work_dir, settings
 from roadpulse.sinks import table_writer, write_messages
 from roadpulse.sources import read_messages, read_table
 from roadpulse.streaming import run_stages
@@ -117,7 +116,8 @@ def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         incident_key("event_type", F.col("user_id").cast("string")).alias("key"),
     )
     seen = drop_seen(rows, salt_by=["event_id"])
-    _drain(seen, config.bronze_table, config.bronze_checkpoint, config)
+    with settings(spark, ROCKSDB_SETTINGS):
+        _drain(seen, config.bronze_table, config.bronze_checkpoint, config)
     return spark.read.parquet(config.bronze_table).select("model_id", "id", "key")
 
 
@@ -127,7 +127,8 @@ def dedup_stream_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _config(spark, "dedup_stream_hot_keys")
     rows = stream_events(spark, sf_dir).select("event_id", "event_type")
     seen = drop_seen(rows, "event_type", salt_by=["event_id"])
-    _drain(seen, config.bronze_table, config.bronze_checkpoint, config)
+    with settings(spark, ROCKSDB_SETTINGS):
+        _drain(seen, config.bronze_table, config.bronze_checkpoint, config)
     return (
         spark.read.parquet(config.bronze_table)
         .groupBy("event_type")
@@ -148,7 +149,8 @@ def publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed snapshots published as messages, each incident once."""
     config = _config(spark, "publish_stream", whole_files=False)
     snapshot_documents(read_events(spark, sf_dir)).write.text(config.snapshot_path)
-    run_stages(spark, config, ["publish"], drain=True)
+    with settings(spark, ROCKSDB_SETTINGS):
+        run_stages(spark, config, ["publish"], drain=True)
     return parse_events(read_messages(spark, config)).select(
         F.col("trafficModelId").alias("model_id"),
         "id",
@@ -193,7 +195,8 @@ def feed_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed snapshots through all four stages; incidents without time are left out."""
     config = _config(spark, "feed_chain", whole_files=False, missing_time="drop")
     snapshot_documents(read_events(spark, sf_dir)).write.text(config.snapshot_path)
-    run_stages(spark, config, drain=True)
+    with settings(spark, ROCKSDB_SETTINGS):
+        run_stages(spark, config, drain=True)
     return read_table(spark, config.gold_table, GOLD, config)
 
 
@@ -256,18 +259,10 @@ def _late_drop(
         windows = aggregate_windows(
             rows, config.window, keys={"event_type": "event_type"}, measure="value"
         )
-        with _no_data_batches(spark, idle_between or number == BATCHES - 1):
+        no_data = str(idle_between or number == BATCHES - 1).lower()
+        with settings(spark, {NO_DATA_BATCHES: no_data}):
             _drain(windows, config.gold_table, config.gold_checkpoint, config)
     return spark.read.parquet(config.gold_table).select(
         "window_start", "event_type", F.col("event_count").alias("n")
     )
 
-
-@contextmanager
-def _no_data_batches(spark: SparkSession, enabled: bool):
-    before = spark.conf.get(NO_DATA_BATCHES)
-    spark.conf.set(NO_DATA_BATCHES, str(enabled).lower())
-    try:
-        yield
-    finally:
-        spark.conf.set(NO_DATA_BATCHES, before)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -33,7 +35,7 @@ def get_spark(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     rocksdb_state: bool = False,
-    settings: dict[str, str] | None = None,
+    extra: Mapping[str, str] | None = None,
 ) -> SparkSession:
     """A session for one or more stages.
 
@@ -56,12 +58,28 @@ def get_spark(
         options.update(DELTA_SETTINGS)
     if rocksdb_state:
         options.update(ROCKSDB_SETTINGS)
-    options.update(settings or {})
+    options.update(extra or {})
     for name, value in options.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the queries started inside, put back afterwards."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 

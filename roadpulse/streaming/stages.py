@@ -47,7 +47,7 @@ def publish_rows(documents: DataFrame, config: FeedConfig) -> DataFrame:
         "trafficModelId",
         "incident",
         "_raw",
-        incident_key("trafficModelId", "incident.id").alias("key"),
+        F.unhex(incident_key("trafficModelId", "incident.id")).alias("key"),
     )
     fresh = drop_seen(
         keyed,

@@ -22,7 +22,7 @@ def spark(tmp_path_factory):
     if "SPARK_CONF_DIR" not in os.environ:
         settings["spark.checkpoint.dir"] = str(tmp_path_factory.mktemp("shared"))
     session = get_spark(
-        "roadpulse-tests", master="local[8]", shuffle_partitions=4, settings=settings
+        "roadpulse-tests", master="local[8]", shuffle_partitions=4, extra=settings
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

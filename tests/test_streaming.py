@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions import incident_key
 from roadpulse.operators import aggregate_windows, drop_seen, watermarked
 from roadpulse.operators.dedup import drop_seen_within
+from roadpulse.session import ROCKSDB_SETTINGS, settings
 
 CLEAN = "typeCode string, road string, delay_seconds int, event_ts timestamp"
 _names = itertools.count()
@@ -278,13 +279,14 @@ def test_salted_dedup_of_a_hot_key_sends_few_copies_to_the_last_step(spark, tmp_
 
 
 def test_rocksdb_state_gives_the_same_rows(spark, tmp_path):
-    from roadpulse.session import ROCKSDB_SETTINGS
-
-    before = {name: spark.conf.get(name, None) for name in ROCKSDB_SETTINGS}
-    for name, value in ROCKSDB_SETTINGS.items():
-        spark.conf.set(name, value)
-    try:
+    with settings(spark, ROCKSDB_SETTINGS):
         assert run_dedup(spark, tmp_path, drop_seen) == ["m1a1", "m1b1", "m1z1", "m2a5"]
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_settings_are_put_back(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    with pytest.raises(ZeroDivisionError), settings(spark, ROCKSDB_SETTINGS):
+        assert spark.conf.get(name).endswith("RocksDBStateStoreProvider")
+        1 / 0
+    assert spark.conf.get(name) == before
