@@ -32,7 +32,7 @@ from roadpulse.schemas import BRONZE, GOLD, SILVER
 from roadpulse.session import ROCKSDB_SETTINGS, new_work_dir, settings
 from roadpulse.sinks import table_writer, write_messages
 from roadpulse.sources import read_messages, read_table
-from roadpulse.streaming import run_stages
+from roadpulse.streaming import hold, run_stages, start_stages, stop_all
 
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
@@ -178,6 +178,28 @@ def medallion_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, config.gold_table, GOLD, config)
 
 
+@query(
+    f"""
+    with {sql.GOLD_OF_MESSAGES}
+    select * from gold
+    where window_end <= (select max(event_ts) - interval 30 minute from incidents)
+    """
+)
+def running_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stages running side by side, held until each has caught up, then stopped."""
+    config = _config(spark, "running_chain", trigger_seconds=0)
+    messages = wire_messages(read_events(spark, sf_dir))
+    write_messages(messages.select(F.col("value").cast("string").alias("value")), config)
+    running = start_stages(spark, config, ["bronze", "silver", "gold"])
+    try:
+        for _, query in running:
+            query.processAllAvailable()
+        hold(running, 0)
+    finally:
+        stop_all(running)
+    return read_table(spark, config.gold_table, GOLD, config)
+
+
 @query(
     f"""
     with {sql.EXPLODED},

@@ -19,12 +19,14 @@ DELTA_SETTINGS = {
     "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
 }
 
-# RocksDB keeps dedup and window state off the JVM heap and uploads only changes.
+# RocksDB keeps dedup and window state off the JVM heap, uploads only changes,
+# and shares one memory bound among all the state partitions of an executor.
 ROCKSDB_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
 }
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import logging
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -16,6 +17,9 @@ from roadpulse.streaming import stages as _stages
 # Upstream first. `quarantine` runs beside them when it is asked for by name.
 STAGES = ("publish", "bronze", "silver", "gold")
 QUARANTINE = "quarantine"
+RETRIED = ("publish",)
+
+log = logging.getLogger(__name__)
 
 Running = list[tuple[str, StreamingQuery]]
 
@@ -35,14 +39,33 @@ def start_stages(
     return running
 
 
-def hold(running: Running, seconds: float | None, poll: float = 0.5) -> None:
-    """Wait, for ever if ``seconds`` is None, and fail as soon as a stage has ended by itself."""
+def hold(
+    running: Running,
+    seconds: float | None,
+    poll: float = 0.5,
+    restart: Callable[[str], StreamingQuery] | None = None,
+    pause: float = 0,
+) -> None:
+    """Wait, for ever if ``seconds`` is None, and fail as soon as a stage has ended by itself.
+
+    With ``restart``, a publish stage that failed is logged and started again ``pause``
+    seconds later, from its checkpoint: a bad poll must not end the feed.
+    """
     deadline = float("inf") if seconds is None else time.monotonic() + seconds
+    due: dict[str, float] = {}
     while True:
-        for name, query in running:
-            if not query.isActive:
-                reason = query.exception()
-                raise RuntimeError(f"stage {name} ended early: {reason}")
+        now = time.monotonic()
+        for place, (name, query) in enumerate(running):
+            if query.isActive:
+                continue
+            if restart is None or name not in RETRIED:
+                raise RuntimeError(f"stage {name} ended early: {query.exception()}")
+            if name not in due:
+                log.warning("stage %s failed and is tried again: %s", name, query.exception())
+                due[name] = now + pause
+            if now >= due[name]:
+                del due[name]
+                running[place] = (name, restart(name))
         left = deadline - time.monotonic()
         if left <= 0:
             return
@@ -80,7 +103,12 @@ def run_stages(
         return
     running = start_stages(spark, config, stages)
     try:
-        hold(running, keep_running_seconds)
+        hold(
+            running,
+            keep_running_seconds,
+            restart=lambda name: _starter(name)(spark, config),
+            pause=config.poll_seconds,
+        )
     finally:
         stop_all(running)
 

@@ -167,6 +167,27 @@ def test_a_stage_that_dies_ends_the_hold_and_stops_the_rest(spark, config, monke
     assert spark.streams.active == []
 
 
+def test_a_failed_poll_is_tried_again(spark, config, monkeypatch, caplog):
+    from roadpulse.streaming import runner
+
+    land(config, "a.json", incident("1", "00:01"))
+    start, tries = runner._stages.start_publish, []
+
+    def failing_once(spark, config, available_now=False):
+        tries.append(1)
+        if len(tries) > 1:
+            return start(spark, config, available_now)
+        rows = spark.readStream.text(config.snapshot_path)
+        broken = rows.select(F.raise_error(F.lit("bad poll")).cast("string").alias("value"))
+        return sinks.message_writer(broken, config.gold_checkpoint, config).start()
+
+    monkeypatch.setattr(runner._stages, "start_publish", failing_once)
+    run_stages(spark, config, ["publish"], keep_running_seconds=15)
+    assert len(tries) == 2 and "bad poll" in caplog.text
+    rows = bronze_rows(sources.read_messages(spark, config)).collect()
+    assert [r.id for r in rows] == ["1"]
+
+
 def test_a_stage_that_cannot_start_stops_those_before_it(spark, config, monkeypatch):
     from roadpulse.streaming import runner
 
