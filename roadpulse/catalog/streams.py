@@ -29,13 +29,17 @@ from roadpulse.plans.derived import (
     wire_messages,
 )
 from roadpulse.schemas import BRONZE, GOLD, SILVER
-from roadpulse.session import ROCKSDB_SETTINGS, new_work_dir, settings
+from roadpulse.session import (
+    DEDUP_SETTINGS,
+    NO_DATA_BATCHES,
+    ROCKSDB_SETTINGS,
+    new_work_dir,
+    settings,
+)
 from roadpulse.sinks import table_writer, write_messages
 from roadpulse.sources import read_messages, read_table
 from roadpulse.streaming import hold, run_stages, start_stages, stop_all
 
-NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
-
 
 def _config(spark: SparkSession, purpose: str, **overrides) -> FeedConfig:
     return FeedConfig.under(new_work_dir(spark, purpose), **overrides)
@@ -116,7 +120,7 @@ def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         incident_key("event_type", F.col("user_id").cast("string")).alias("key"),
     )
     seen = drop_seen(rows, salt_by=["event_id"])
-    with settings(spark, ROCKSDB_SETTINGS):
+    with settings(spark, DEDUP_SETTINGS):
         _drain(seen, config.bronze_table, config.bronze_checkpoint, config)
     return spark.read.parquet(config.bronze_table).select("model_id", "id", "key")
 
@@ -127,7 +131,7 @@ def dedup_stream_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _config(spark, "dedup_stream_hot_keys")
     rows = stream_events(spark, sf_dir).select("event_id", "event_type")
     seen = drop_seen(rows, "event_type", salt_by=["event_id"])
-    with settings(spark, ROCKSDB_SETTINGS):
+    with settings(spark, DEDUP_SETTINGS):
         _drain(seen, config.bronze_table, config.bronze_checkpoint, config)
     return (
         spark.read.parquet(config.bronze_table)

@@ -29,6 +29,11 @@ ROCKSDB_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
 }
 
+# A query whose output does not wait for the watermark needs no batch without data; its state
+# is cleaned in the next one that has some.
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+DEDUP_SETTINGS = {**ROCKSDB_SETTINGS, NO_DATA_BATCHES: "false"}
+
 
 def get_spark(
     app_name: str = "roadpulse",

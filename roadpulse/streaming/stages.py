@@ -24,6 +24,7 @@ from roadpulse.operators import (
     within_bbox,
 )
 from roadpulse.schemas import BRONZE, SILVER
+from roadpulse.session import NO_DATA_BATCHES, settings
 from roadpulse.sources.readers import ORIGIN
 
 
@@ -76,9 +77,11 @@ def start_publish(
     spark: SparkSession, config: FeedConfig, available_now: bool = False
 ) -> StreamingQuery:
     messages = publish_rows(sources.stream_snapshots(spark, config), config)
-    return sinks.message_writer(
+    writer = sinks.message_writer(
         messages, config.publish_checkpoint, config, available_now=available_now
-    ).start()
+    )
+    with settings(spark, {NO_DATA_BATCHES: "false"}):
+        return writer.start()
 
 
 def start_bronze(
