@@ -82,9 +82,9 @@ class FeedConfig:
 
     def __post_init__(self) -> None:
         if self.transport not in ("kafka", "files"):
-            raise ValueError(f"transport must be 'kafka' or 'files', not {self.transport!r}")
+            raise ValueError(f"transport must be kafka or files, not {self.transport!r}")
         if self.table_format not in ("parquet", "delta"):
-            raise ValueError(f"table_format must be 'parquet' or 'delta', not {self.table_format!r}")
+            raise ValueError(f"table_format must be parquet or delta, not {self.table_format!r}")
 
     @property
     def bronze_table(self) -> str:

@@ -12,15 +12,13 @@ from roadpulse import get_spark  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     settings = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "6g",
         "spark.sql.streaming.ui.enabled": "false",
     }
-    if "SPARK_CONF_DIR" not in os.environ:
-        settings["spark.checkpoint.dir"] = str(tmp_path_factory.mktemp("shared"))
     session = get_spark(
         "roadpulse-tests", master="local[8]", shuffle_partitions=4, extra=settings
     )

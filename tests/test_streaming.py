@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import os
 import time
 
@@ -15,7 +14,6 @@ from roadpulse.operators.dedup import drop_seen_within
 from roadpulse.session import ROCKSDB_SETTINGS, settings
 
 CLEAN = "typeCode string, road string, delay_seconds int, event_ts timestamp"
-_names = itertools.count()
 
 
 class Feed:
@@ -71,9 +69,10 @@ class Feed:
         return self.spark.createDataFrame([], self.schema).schema
 
     def _text_schema(self):
+        """Timestamps are given as text, so that no machine zone gets in."""
+        types = {f.name: f.dataType.simpleString() for f in self._schema().fields}
         return ", ".join(
-            f"`{f.name}` {'string' if f.dataType.typeName() == 'timestamp' else f.dataType.simpleString()}"
-            for f in self._schema().fields
+            f"`{name}` {'string' if kind == 'timestamp' else kind}" for name, kind in types.items()
         )
 
 
@@ -150,7 +149,8 @@ def test_nothing_is_late_within_one_batch(spark, tmp_path):
 
 def test_drop_rule_lags_the_emit_rule_by_one_batch(spark, tmp_path):
     feed = Feed(spark, tmp_path, CLEAN, gold, one_file_per_batch=True)
-    for early, late in [("00:01", "00:40"), ("00:05", "00:41"), ("00:06", "00:42"), ("00:07", "00:43")]:
+    pairs = [("00:01", "00:40"), ("00:05", "00:41"), ("00:06", "00:42"), ("00:07", "00:43")]
+    for early, late in pairs:
         feed.land(("8", "r1", 1, at(early + ":00")), ("8", "r1", 1, at(late + ":00")))
     feed.run()
     assert feed.rows() == [("00:00", "8", "r1", 2, 1.0)]
@@ -267,7 +267,9 @@ def test_salted_dedup_of_a_hot_key_sends_few_copies_to_the_last_step(spark, tmp_
         lambda rows: drop_seen(rows, salt_by=["n"], salts=8),
     )
     spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("key"),
+        F.when(F.col("id") % 3 == 0, "hot")
+        .otherwise(F.concat(F.lit("k"), F.col("id")))
+        .alias("key"),
         F.col("id").alias("n"),
     ).write.parquet(feed.landed + "/part")
     feed.landed += "/part"
