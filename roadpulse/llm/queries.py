@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadpulse.llm import bpe
+from roadpulse.llm import bpe, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {"op7_bpe": bpe.op7_bpe}
+    return {
+        "op6_secret_scan": secret_scan.op6_secret_scan,
+        "op7_bpe": bpe.op7_bpe,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
