@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadpulse.llm import bpe, minhash, secret_scan
+from roadpulse.llm import bpe, minhash, mixing, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_mixing": mixing.op3_mixing,
         "op5_minhash": minhash.op5_minhash,
         "op6_secret_scan": secret_scan.op6_secret_scan,
         "op7_bpe": bpe.op7_bpe,
