@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadpulse.llm import bpe, minhash, mixing, secret_scan
+from roadpulse.llm import bpe, minhash, mixing, quality, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op5_minhash": minhash.op5_minhash,
         "op6_secret_scan": secret_scan.op6_secret_scan,
         "op7_bpe": bpe.op7_bpe,
+        "op9_quality": quality.op9_quality,
     }
 
 
