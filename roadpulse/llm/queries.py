@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadpulse.llm import bpe, minhash, mixing, quality, secret_scan
+from roadpulse.llm import bpe, minhash, mixing, pii, quality, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_pii": pii.op1_pii,
         "op3_mixing": mixing.op3_mixing,
         "op5_minhash": minhash.op5_minhash,
         "op6_secret_scan": secret_scan.op6_secret_scan,
