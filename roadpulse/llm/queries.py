@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadpulse.llm import bpe, minhash, mixing, pii, quality, secret_scan
+from roadpulse.llm import bpe, minhash, mixing, pii, quality, secret_scan, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_pii": pii.op1_pii,
         "op3_mixing": mixing.op3_mixing,
+        "op4_url_filter": url_filter.op4_url_filter,
         "op5_minhash": minhash.op5_minhash,
         "op6_secret_scan": secret_scan.op6_secret_scan,
         "op7_bpe": bpe.op7_bpe,
@@ -23,4 +24,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_url_filter": url_filter.OP4_SQL}
