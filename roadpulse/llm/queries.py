@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadpulse.llm import bpe, minhash, mixing, pii, quality, secret_scan, url_filter
+from roadpulse.llm import (
+    bpe,
+    embedding_dedup,
+    minhash,
+    mixing,
+    pii,
+    quality,
+    secret_scan,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +29,12 @@ def queries() -> dict[str, Query]:
         "op6_secret_scan": secret_scan.op6_secret_scan,
         "op7_bpe": bpe.op7_bpe,
         "op9_quality": quality.op9_quality,
+        "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": url_filter.OP4_SQL}
+    return {
+        "op4_url_filter": url_filter.OP4_SQL,
+        "op10_embedding_dedup": embedding_dedup.OP10_SQL,
+    }
