@@ -11,6 +11,7 @@ from roadpulse.llm import (
     embedding_dedup,
     minhash,
     mixing,
+    neighbours,
     pii,
     quality,
     secret_scan,
@@ -28,6 +29,7 @@ def queries() -> dict[str, Query]:
         "op5_minhash": minhash.op5_minhash,
         "op6_secret_scan": secret_scan.op6_secret_scan,
         "op7_bpe": bpe.op7_bpe,
+        "op8_neighbours": neighbours.op8_neighbours,
         "op9_quality": quality.op9_quality,
         "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
     }
