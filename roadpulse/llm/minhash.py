@@ -12,8 +12,11 @@ How the work stays in proportion to the input:
 * In a bucket (documents that share a band) each member is first compared with the bucket's
   smallest member only. Links found join components, and later passes compare nothing within
   one component: a bucket of thousands of near copies costs a row per member, not per pair.
-* The last pass compares, within buckets, all members of *different* components not compared
-  before, so no candidate is left untested. It is empty unless unlike documents share a band.
+* What is left are buckets that hold several components. Documents that such buckets connect
+  form a *field*; the last pass compares all its members of different components in blocks of
+  bounded size, inside tasks, and emits links that join components only. So no candidate is left
+  untested and no pair is emitted to be tested, even where thousands of documents are just
+  below the threshold. A field of n documents takes (n / CHUNK)^2 / 2 blocks.
 * Joins on bucket keys read both sides from written tables, so a skewed side can be split.
 """
 
@@ -36,6 +39,8 @@ SIMILAR = 80
 BANDS, BAND_VALUES = 40, 6
 #: Bands whose buckets are compared first, to find the components of large groups cheaply.
 FIRST_BANDS = 8
+#: Documents of a field that stand on each side of a block, on average.
+CHUNK = 128
 #: Bytes of text that a task holds expanded at a time (a longer text is taken alone).
 SLICE_BYTES = 1 << 20
 
@@ -222,35 +227,22 @@ def _links(docs: DataFrame, signed: DataFrame, classes: DataFrame) -> DataFrame:
         "minhash-sets",
     )
     alone = ids.select("id", F.col("id").alias("component"))
-    parts, links, tried = alone, None, None
-    for early, every_pair in ((True, False), (False, False), (False, True)):
-        rows = members.where("early") if early else members
-        pairs = saved(_pairs(rows, parts, every_pair, tried), "minhash-pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        if pairs.isEmpty():
-            continue
+    parts, links = alone, None
+    for rows in (members.where("early"), members):
+        pairs = saved(_star_pairs(rows, parts), "minhash-pairs")
         found = saved(_confirmed(pairs, sets), "minhash-found")
         links = found if links is None else links.union(found)
-        if not every_pair:
-            linked = saved(connected_components(links, "minhash"), "minhash-linked")
-            parts = alone.select("id").join(linked, "id", "left")
-            parts = saved(
-                parts.select("id", F.coalesce("component", "id").alias("component")),
-                "minhash-parts",
-            )
-    if links is None:
-        return classes.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-    return links
-
-
-def _pairs(
-    members: DataFrame, parts: DataFrame, every_pair: bool, tried: DataFrame | None
-) -> DataFrame:
-    """Candidate pairs (a < b) of different components that share a bucket.
-
-    With ``every_pair`` all of them that were not tried, else only those with the bucket's
-    smallest member. Pairs whose sizes alone rule a link out are left out: exact.
-    """
+        linked = saved(connected_components(links, "minhash"), "minhash-linked")
+        parts = alone.select("id").join(linked, "id", "left")
+        parts = saved(
+            parts.select("id", F.coalesce("component", "id").alias("component")),
+            "minhash-parts",
+        )
+    return links.union(saved(_block_links(members, parts, sets), "minhash-found"))
+
+
+def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """(key, id, n, component, center) of the buckets that hold several components."""
     placed = saved(members.select("id", "n", "key").join(parts, "id"), "minhash-placed")
     mixed = (
         placed.groupBy("key")
@@ -261,27 +253,80 @@ def _pairs(
         )
         .where("least < most")
     )
-    mixed = saved(mixed.select("key", "center"), "minhash-mixed")
-    left = placed.join(mixed, "key")
-    if every_pair:
-        left = saved(left.drop("center"), "minhash-left")
-        right = left.select(*(F.col(x).alias(f"{x}_b") for x in ("key", "id", "n", "component")))
-        pairs = left.join(right, (F.col("key") == F.col("key_b")) & (F.col("id") < F.col("id_b")))
-    else:
-        pairs = left.select(
-            F.col("center.id").alias("id"),
-            F.col("center.n").alias("n"),
-            F.col("center.component").alias("component"),
-            F.col("id").alias("id_b"),
-            F.col("n").alias("n_b"),
-            F.col("component").alias("component_b"),
-        ).where("id < id_b")
-    pairs = pairs.where(
-        (F.col("component") != F.col("component_b"))
-        & (100 * F.least("n", "n_b") >= SIMILAR * F.greatest("n", "n_b"))
+    return placed.join(saved(mixed.select("key", "center"), "minhash-mixed"), "key")
+
+
+def _star_pairs(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs (a < b) of a bucket's smallest member and its members of other components.
+
+    Pairs whose sizes alone rule a link out are left out: exact.
+    """
+    pairs = _mixed(members, parts).where(
+        (F.col("center.component") != F.col("component"))
+        & (100 * F.least("n", "center.n") >= SIMILAR * F.greatest("n", "center.n"))
     )
-    pairs = pairs.select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct()
-    return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+    return pairs.select(F.col("center.id").alias("a"), F.col("id").alias("b")).distinct()
+
+
+def _block_links(members: DataFrame, parts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components that are left when all members of a field are compared."""
+    mixed = _mixed(members, parts).select("id", F.col("center.id").alias("center"))
+    mixed = saved(mixed.distinct(), "minhash-open")
+    fields = connected_components(
+        mixed.select(F.col("id").alias("a"), F.col("center").alias("b")), "minhash-fields"
+    )
+    fields = saved(fields.withColumnRenamed("component", "field"), "minhash-fields")
+    sizes = fields.groupBy("field").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    sizes = saved(sizes, "minhash-sizes")
+    chunk = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+    placed = fields.join(sizes, "field").join(parts, "id").withColumn("chunk", chunk)
+    blocks = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    blocks = blocks.select(
+        "field",
+        F.least("chunk", "other").alias("i"),
+        F.greatest("chunk", "other").alias("j"),
+        "chunk",
+        "id",
+        "component",
+    )
+    return (
+        blocks.join(sets, "id")
+        .groupBy("field", "i", "j")
+        .applyInPandas(_compare_block, "a long, b long")
+    )
+
+
+def _compare_block(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links that join components, among rows of one chunk or between those of two.
+
+    Shared shingles of a row with all rows before it are counted at once: the row's shingles
+    are looked up in the sorted shingles of the block, which know whose they are.
+    """
+    rows = rows.sort_values("id", ignore_index=True)
+    sets = [np.asarray(x) for x in rows["shingles"]]
+    sizes = np.array([len(x) for x in sets])
+    owners = np.repeat(np.arange(len(sets)), sizes)
+    shingles = np.concatenate(sets)
+    order = np.argsort(shingles, kind="stable")
+    shingles, owners = shingles[order], owners[order]
+    ids, parts = rows["id"].to_numpy(), rows["component"].to_numpy().copy()
+    chunks = rows["chunk"].to_numpy()
+    two = rows["i"].iloc[0] != rows["j"].iloc[0]
+    found = []
+    for at, own in enumerate(sets):
+        first, last = np.searchsorted(shingles, own), np.searchsorted(shingles, own, "right")
+        n = last - first
+        places = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        shared = np.bincount(owners[places], minlength=len(sets))
+        union = sizes + sizes[at] - shared
+        like = (100 * shared >= SIMILAR * union) & (np.arange(len(sets)) < at)
+        if two:
+            like &= chunks != chunks[at]
+        for other in np.flatnonzero(like):
+            if parts[other] != parts[at]:
+                found.append((ids[other], ids[at]))
+                parts[parts == parts[at]] = parts[other]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
