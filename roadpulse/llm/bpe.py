@@ -30,16 +30,18 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadpulse.llm.common import table
+
 #: Fixed value: the public pattern that splits text into words for byte-level encodings.
 SPLIT = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
 #: Words whose ids a task remembers; when full, the table starts anew.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 250_000
 
 #: Pairs of ids whose compatibility a task remembers.
-REMEMBERED_PAIRS = 500_000
+REMEMBERED_PAIRS = 250_000
 
 #: Longer words (runs of one class of characters) are encoded but not remembered.
 REMEMBERED_LENGTH = 64
@@ -290,4 +292,4 @@ def encode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every whole document, as digests."""
-    return encode_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return encode_digests(table(spark, sf_dir, "documents"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +18,31 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application.
+
+    Functions that run there are sent by name; on a cluster the modules must be sent along.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="roadpulse-code-"), "roadpulse.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in sorted(os.walk(package)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    archive.write(file, os.path.relpath(file, os.path.dirname(package)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

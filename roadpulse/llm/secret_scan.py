@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadpulse.llm.common import table
+
 # The base patterns, in the order in which kinds are listed.
 ASSIGN = (
     r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -245,4 +247,4 @@ def secret_digests(docs: DataFrame) -> DataFrame:
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every whole document."""
-    return secret_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return secret_digests(table(spark, sf_dir, "documents"))
