@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.llm.bpe import encode_documents
-from roadpulse.llm.common import saved, table
+from roadpulse.llm.common import saved, ship_code, table
 from roadpulse.llm.minhash import one_per_group
 from roadpulse.llm.mixing import mixed_documents
 from roadpulse.llm.quality import good_documents
@@ -25,6 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
+    ship_code(spark)
     return one_per_group(docs)
 
 
@@ -46,6 +47,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document in place of its text."""
+    ship_code(spark)
     encoded = encode_documents(docs).drop("text", "n_chars")
     return encoded.withColumn("n_tokens", F.size("token_ids").cast("long"))
 
