@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from roadpulse.llm import (
     bpe,
     embedding_dedup,
+    license_scan,
     minhash,
     mixing,
     neighbours,
@@ -24,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_pii": pii.op1_pii,
+        "op2_license_scan": license_scan.op2_license_scan,
         "op3_mixing": mixing.op3_mixing,
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_minhash": minhash.op5_minhash,
