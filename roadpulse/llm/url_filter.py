@@ -118,6 +118,9 @@ class DigestArray:
         return found
 
 
+_sent: set[tuple[str, ...]] = set()  # applications and the names of files they have
+
+
 @lru_cache(4)
 def _opened(keys: str, rules: str) -> DigestArray:
     return DigestArray(SparkFiles.get(keys), SparkFiles.get(rules))
@@ -158,11 +161,12 @@ def _judge_by_index(
 ) -> DataFrame:
     context = pages.sparkSession.sparkContext
     stored = [(row["rule"], row["verdict"]) for row in rules.collect()]  # of a checked size
-    folder = tempfile.mkdtemp(prefix="url-rules-")
-    paths = DigestArray.write(folder, stored)
-    for path in paths:
-        context.addFile(path)
+    paths = DigestArray.write(tempfile.mkdtemp(prefix="url-rules-"), stored)
     names = [os.path.basename(path) for path in paths]
+    if (context.applicationId, *names) not in _sent:
+        for path in paths:
+            context.addFile(path)
+        _sent.add((context.applicationId, *names))
 
     def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         index = _opened(*names) if stored else None
