@@ -46,7 +46,7 @@ from roadpulse.plans.derived import (
     snapshot_documents,
     wire_messages,
 )
-from roadpulse.schemas import BRONZE, SILVER
+from roadpulse.schemas import SILVER
 from roadpulse.session import new_work_dir
 from roadpulse.sinks import write_messages, write_table
 from roadpulse.sources import read_messages, read_snapshots, read_table
@@ -329,27 +329,23 @@ def bronze_parse_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-    with {sql.BROKEN}
-    select id is null as malformed, count(*) as n, count("delaySeconds") as with_delay,
-           count(event_ts) as with_time
-    from broken group by 1
+    with {sql.EVENT_COLUMNS}
+    select event_id, event_id % 20 in (0, 1, 2, 3, 10, 11) as malformed,
+           case event_id % 20
+               when 0 then '' when 1 then 'null' when 2 then '{{"id":"' || event_id || '"'
+               when 3 then '{{"id":"' || event_id || '","delaySeconds":3,"_raw":{{"st":'
+               when 11 then '[{{"id":"' || event_id || '"}}]' end as kept_text
+    from incident_columns
     """
 )
 def malformed_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readable and unreadable messages apart, split from the written bronze table."""
-    config = FeedConfig.under(new_work_dir(spark, "malformed_split"))
-    parsed = parse_events(broken_messages(read_events(spark, sf_dir)))
-    write_table(parsed, config.bronze_table, config)
-    usable, malformed = split_malformed(read_table(spark, config.bronze_table, BRONZE, config))
-
-    def summary(rows: DataFrame, is_malformed: bool) -> DataFrame:
-        return rows.groupBy(F.lit(is_malformed).alias("malformed")).agg(
-            F.count("*").alias("n"),
-            F.count("delaySeconds").alias("with_delay"),
-            F.count("event_ts").alias("with_time"),
-        )
-
-    return summary(usable, False).unionByName(summary(malformed, True))
+    """Readable and unreadable messages apart, the text of the latter kept."""
+    messages = broken_messages(read_events(spark, sf_dir), "event_id")
+    usable, malformed = split_malformed(messages)
+    text = F.col("value").cast("string")
+    return usable.select(
+        "event_id", F.lit(False).alias("malformed"), F.lit(None).cast("string").alias("kept_text")
+    ).unionByName(malformed.select("event_id", F.lit(True).alias("malformed"), text.alias("kept_text")))
 
 
 @query(

@@ -38,8 +38,10 @@ exploded as (
     union all
     select event_id, 1, snapshot_model,
            case when event_id % 3 = 0 then 'hot' else 'block-' || (event_id // 10) end,
-           'repeat', null, 'seen by ' || event_id, null, null, 'everywhere', null, 7,
-           '2024-01-15T12:00:00Z', null, null
+           'repeat-' || (event_id % 5), null, 'seen by ' || event_id, null, null, 'everywhere', null,
+           cast(event_id % 97 as int),
+           strftime(timestamp '2024-01-15 12:00:00' + to_minutes(cast(event_id % 60 as bigint)),
+                    '%Y-%m-%dT%H:%M:%SZ'), null, null
     from documents_of_events where readable
     union all
     select event_id, 2, snapshot_model, '', 'dropped',

@@ -7,8 +7,11 @@ the number of keys it is kept in RocksDB, off the heap.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.catalog import sql
 from roadpulse.catalog.registry import query
@@ -17,11 +20,13 @@ from roadpulse.functions import incident_key
 from roadpulse.operators import (
     aggregate_windows,
     drop_seen,
+    drop_seen_within,
     normalize,
     parse_events,
     watermarked,
 )
 from roadpulse.plans.derived import (
+    bronze_like,
     read_events,
     silver_like,
     snapshot_documents,
@@ -29,16 +34,22 @@ from roadpulse.plans.derived import (
     wire_messages,
 )
 from roadpulse.schemas import BRONZE, GOLD, SILVER
-from roadpulse.session import (
-    DEDUP_SETTINGS,
-    NO_DATA_BATCHES,
-    ROCKSDB_SETTINGS,
-    new_work_dir,
-    settings,
+from roadpulse.session import NO_DATA_BATCHES, new_work_dir, settings
+from roadpulse.sinks import (
+    backfill_table,
+    ensure_dir,
+    table_writer,
+    trigger_options,
+    write_messages,
 )
-from roadpulse.sinks import table_writer, write_messages
 from roadpulse.sources import read_messages, read_table
-from roadpulse.streaming import hold, run_stages, start_stages, stop_all
+from roadpulse.streaming import (
+    hold,
+    run_stages,
+    start_first_copies,
+    start_stages,
+    stop_all,
+)
 
 
 def _config(spark: SparkSession, purpose: str, **overrides) -> FeedConfig:
@@ -103,69 +114,124 @@ def bronze_silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _first_copies(
+    rows: DataFrame,
+    config: FeedConfig,
+    seen: Callable[[DataFrame], DataFrame] = drop_seen,
+) -> DataFrame:
+    """Run rows (key, event_id, ...) through the dedup of the publish stage, by event_id."""
+
+    def send(first: DataFrame) -> StreamingQuery:
+        writer = table_writer(seen(first), config.bronze_checkpoint, config, available_now=True)
+        return writer.start(config.bronze_table)
+
+    spark = rows.sparkSession
+    ensure_dir(spark, config.first_copies_path)
+    query = start_first_copies(
+        rows,
+        [F.col("event_id")],
+        config.first_copies_path,
+        config.publish_checkpoint,
+        send,
+        config,
+        trigger_options(None, available_now=True),
+    )
+    query.awaitTermination()
+    return spark.read.parquet(config.bronze_table)
+
+
 @query(
     """
     select event_type as model_id, cast(user_id as varchar) as id,
-           sha256(event_type || ':' || user_id) as key
+           sha256(event_type || ':' || user_id) as key, min(event_id) as event_id
     from events group by all
     """
 )
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each key passes once, with its state in the checkpoint."""
-    config = _config(spark, "dedup_stream")
+    """Each key passes once, its first copy, with its state in the checkpoint."""
     rows = stream_events(spark, sf_dir).select(
         "event_id",
         F.col("event_type").alias("model_id"),
         F.col("user_id").cast("string").alias("id"),
         incident_key("event_type", F.col("user_id").cast("string")).alias("key"),
     )
-    seen = drop_seen(rows, salt_by=["event_id"])
-    with settings(spark, DEDUP_SETTINGS):
-        _drain(seen, config.bronze_table, config.bronze_checkpoint, config)
-    return spark.read.parquet(config.bronze_table).select("model_id", "id", "key")
+    found = _first_copies(rows, _config(spark, "dedup_stream"))
+    return found.select("model_id", "id", "key", "event_id")
 
 
-@query("select event_type, count(distinct event_type) as passed from events group by 1")
+@query(
+    """
+    select event_type, min(event_id) as event_id, arg_min(value, event_id) as value
+    from events group by 1
+    """
+)
 def dedup_stream_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same where a handful of keys hold the whole table: copies spread before the last step."""
-    config = _config(spark, "dedup_stream_hot_keys")
-    rows = stream_events(spark, sf_dir).select("event_id", "event_type")
-    seen = drop_seen(rows, "event_type", salt_by=["event_id"])
-    with settings(spark, DEDUP_SETTINGS):
-        _drain(seen, config.bronze_table, config.bronze_checkpoint, config)
-    return (
-        spark.read.parquet(config.bronze_table)
-        .groupBy("event_type")
-        .agg(F.count("*").alias("passed"))
+    """The same where a handful of keys hold the whole table: a row per key and task moves."""
+    rows = stream_events(spark, sf_dir).select(
+        "event_id", F.col("event_type").alias("key"), "event_type", "value"
     )
+    found = _first_copies(rows, _config(spark, "dedup_stream_hot_keys"))
+    return found.select("event_type", "event_id", "value")
+
+
+@query(
+    """
+    select event_type, user_id, min(event_id) as event_id from events group by 1, 2
+    """
+)
+def dedup_stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bounded form: a key may pass again a year of event time after its copy, so once here."""
+    rows = stream_events(spark, sf_dir).select(
+        "event_id", "event_ts", "event_type", "user_id", F.concat_ws(":", "event_type", "user_id").alias("key")
+    )
+    found = _first_copies(
+        rows,
+        _config(spark, "dedup_stream_bounded"),
+        lambda first: drop_seen_within(first, "key", "event_ts", "365 days"),
+    )
+    return found.select("event_type", "user_id", "event_id")
 
 
 @query(
     f"""
     with {sql.EXPLODED}
-    select model as model_id, id, ty as type_code, ic as icon_code, c as comment,
-           coalesce(nullif(r, ''), nullif(f, ''), t) as area_hint, dl as delay_seconds
+    select model as model_id, id, ty as type_code, ic as icon_code, d as description, c as comment,
+           f as from_street, t as to_street, r as road, dl as delay_seconds,
+           coalesce(nullif(r, ''), nullif(f, ''), t) as area_hint, st, lon, lat
     from exploded where id <> ''
     qualify row_number() over (partition by model, id order by event_id, pos) = 1
     """
 )
 def publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed snapshots published as messages, each incident once."""
-    config = _config(spark, "publish_stream", whole_files=False)
-    snapshot_documents(read_events(spark, sf_dir)).write.text(config.snapshot_path)
-    with settings(spark, ROCKSDB_SETTINGS):
-        run_stages(spark, config, ["publish"], drain=True)
+    """Landed snapshots published as messages, each incident once, the first copy of it."""
+    config = _config(spark, "publish_stream", whole_files=False, poll_key="polled")
+    _land_snapshots(spark, sf_dir, config)
+    run_stages(spark, config, ["publish"], drain=True)
     return parse_events(read_messages(spark, config)).select(
         F.col("trafficModelId").alias("model_id"),
         "id",
         F.col("typeCode").alias("type_code"),
         F.col("iconCode").alias("icon_code"),
+        "description",
         "comment",
-        "area_hint",
+        F.col("from").alias("from_street"),
+        F.col("to").alias("to_street"),
+        "road",
         F.col("delaySeconds").alias("delay_seconds"),
+        "area_hint",
+        F.col("_raw")["st"].alias("st"),
+        F.col("position")["x"].try_cast("double").alias("lon"),
+        F.col("position")["y"].try_cast("double").alias("lat"),
     )
 
 
+def _land_snapshots(spark: SparkSession, sf_dir: str, config: FeedConfig) -> None:
+    """Documents in several files, in no order: copies of an incident lie in different ones."""
+    documents = snapshot_documents(read_events(spark, sf_dir), "event_id")
+    spread = documents.repartition(8, "event_id").select("payload")
+    spread.write.text(config.snapshot_path)
+
+
 @query(
     f"""
     with {sql.GOLD_OF_MESSAGES}
@@ -219,10 +285,11 @@ def running_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def feed_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed snapshots through all four stages; incidents without time are left out."""
-    config = _config(spark, "feed_chain", whole_files=False, missing_time="drop")
-    snapshot_documents(read_events(spark, sf_dir)).write.text(config.snapshot_path)
-    with settings(spark, ROCKSDB_SETTINGS):
-        run_stages(spark, config, drain=True)
+    config = _config(
+        spark, "feed_chain", whole_files=False, poll_key="polled", missing_time="drop"
+    )
+    _land_snapshots(spark, sf_dir, config)
+    run_stages(spark, config, drain=True)
     return read_table(spark, config.gold_table, GOLD, config)
 
 
@@ -292,3 +359,76 @@ def _late_drop(
         "window_start", "event_type", F.col("event_count").alias("n")
     )
 
+
+@query(
+    f"""
+    with {sql.EVENT_COLUMNS}
+    select cast(event_id as varchar) as incident_id, date_trunc('second', ts) as event_ts
+    from incident_columns
+    """
+)
+def late_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages whose files are a month older than what has been read already are read all the same."""
+    config = _config(spark, "late_landing")
+    messages = wire_messages(read_events(spark, sf_dir), "event_id")
+    texts = messages.select("event_id", F.col("value").cast("string").alias("value"))
+    texts.where("event_id % 3 <> 0").select("value").write.text(config.wire_path)
+    run_stages(spark, config, ["bronze", "silver"], drain=True)
+    late = f"{config.bronze_path}_late"
+    texts.where("event_id % 3 = 0").select("value").write.text(late)
+    _age_and_move(spark, late, config.wire_path, days=30)
+    run_stages(spark, config, ["bronze", "silver"], drain=True)
+    rows = read_table(spark, config.silver_table, SILVER, config)
+    return rows.select("incident_id", "event_ts")
+
+
+def _age_and_move(spark: SparkSession, source: str, target: str, days: int) -> None:
+    """Land the files of a folder in another one, their times set back."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path(source)):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            files.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+            files.rename(status.getPath(), path(f"{target}/late-{name}"))
+
+
+@query(
+    f"""
+    with {sql.GOLD_OF_MESSAGES}
+    select * from gold
+    where window_end <= (select max(event_ts) - interval 30 minute from incidents)
+    """
+)
+def backfill_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the messages streamed to bronze, half of the rows backfilled beside them."""
+    config = _config(spark, "backfill_then_stream")
+    events = read_events(spark, sf_dir)
+    old = parse_events(wire_messages(events.where("event_id % 2 = 0")))
+    backfill_table(old, config.bronze_table, config)
+    new = wire_messages(events.where("event_id % 2 = 1"))
+    write_messages(new.select(F.col("value").cast("string").alias("value")), config)
+    run_stages(spark, config, ["bronze", "silver", "gold"], drain=True)
+    return read_table(spark, config.gold_table, GOLD, config)
+
+
+@query(
+    """
+    select event_id % 10 = 0 as without_time, count(*) as n,
+           event_id % 10 = 0 as stamped_while_running
+    from events group by event_id % 10 = 0
+    """
+)
+def ingest_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without event time are stamped with the processing time, one instant per micro-batch."""
+    config = _config(spark, "ingest_clock")
+    before = spark.sql("select current_timestamp()").first()[0]
+    rows = bronze_like(stream_events(spark, sf_dir)).drop("event_id")
+    _drain(normalize(rows, "ingest"), config.silver_table, config.silver_checkpoint, config)
+    after = spark.sql("select current_timestamp()").first()[0]
+    clean = read_table(spark, config.silver_table, SILVER, config)
+    without = F.col("incident_id").cast("bigint") % 10 == 0
+    inside = F.col("event_ts").between(F.lit(before), F.lit(after))
+    return clean.groupBy(without.alias("without_time")).agg(
+        F.count("*").alias("n"), F.every(inside).alias("stamped_while_running")
+    )

@@ -17,12 +17,16 @@ ENV_SETTINGS = {
     "KAFKA_BOOTSTRAP": "kafka_bootstrap",
     "KAFKA_TOPIC": "kafka_topic",
     "POLL_SECONDS": "poll_seconds",
+    "SNAPSHOT_PATH": "snapshot_path",
+    "WIRE_PATH": "wire_path",
     "BRONZE_PATH": "bronze_path",
     "SILVER_PATH": "silver_path",
     "GOLD_PATH": "gold_path",
+    "PUBLISH_CHECKPOINT": "publish_checkpoint",
     "BRONZE_CHECKPOINT": "bronze_checkpoint",
     "SILVER_CHECKPOINT": "silver_checkpoint",
     "GOLD_CHECKPOINT": "gold_checkpoint",
+    "QUARANTINE_CHECKPOINT": "quarantine_checkpoint",
 }
 
 
@@ -33,12 +37,17 @@ class FeedConfig:
     ``transport`` is where events travel between publish and bronze: ``kafka``, or ``files``
     (one JSON message per line under ``wire_path``) where no connector is on the classpath.
     ``table_format`` is ``parquet`` or ``delta``. ``quarantine`` keeps unreadable messages out
-    of silver; the stage of that name collects them in a table of their own.
+    of bronze; the stage of that name collects their text in a table of its own.
+    ``poll_key`` names a top-level number of a snapshot document that tells when it was polled;
+    without it the time of its file does, and only whole files have an order of their own.
+    ``dedup_bound`` lets an incident pass again once files are so much newer than its last copy;
+    by default it passes once for ever.
     """
 
     # snapshot feed
     snapshot_path: str = "./data/snapshots"
     whole_files: bool = True
+    poll_key: str | None = None
     poll_seconds: int = 30
     bbox: tuple[float, float, float, float] = DEFAULT_BBOX
     apply_bbox: bool = False
@@ -50,6 +59,8 @@ class FeedConfig:
     kafka_bootstrap: str = DEFAULT_BOOTSTRAP
     kafka_topic: str = DEFAULT_TOPIC
     wire_path: str = "./data/wire"
+    starting_offsets: str = "latest"
+    fail_on_data_loss: bool = False
 
     # tables
     table_format: str = "parquet"
@@ -70,13 +81,21 @@ class FeedConfig:
     watermark: str = "30 minutes"
     missing_time: str = "ingest"
     quarantine: bool = False
-    dedup_salts: int = 16
-    dedup_salt_horizon: str = "1 hour"
+    dedup_bound: str | None = None
+    # files that one day's rows of a micro-batch are spread over
+    silver_buckets: int = 1
+    # rows of a micro-batch that the tail prints
+    tail_rows: int = 20
 
     # size of one micro-batch; None reads everything that has arrived
     max_files_per_trigger: int | None = None
     max_bytes_per_trigger: str | None = None
     max_offsets_per_trigger: int | None = None
+    # A landed file is skipped if it is so much older than the newest one; the default never
+    # skips. Spark lists what it has read in the checkpoint for as long.
+    max_file_age: str = "36500d"
+    # folder that snapshots and messages are moved to once read, which bounds that list's folder
+    archive_path: str | None = None
     # tasks to split the topic into, so that one full topic partition is not one task
     min_topic_splits: int | None = None
 
@@ -86,6 +105,17 @@ class FeedConfig:
         if self.table_format not in ("parquet", "delta"):
             raise ValueError(f"table_format must be parquet or delta, not {self.table_format!r}")
 
+    @property
+    def locations(self) -> dict[str, str]:
+        """Setting -> folder, for every folder that tasks read or write."""
+        used = {name: value for name, value in vars(self).items() if name.endswith(("_path", "_checkpoint"))}
+        return {name: value for name, value in used.items() if value is not None}
+
+    @property
+    def first_copies_path(self) -> str:
+        """Where publish keeps the first copies of a micro-batch until they are sent."""
+        return f"{self.publish_checkpoint.rstrip('/')}_first_copies"
+
     @property
     def bronze_table(self) -> str:
         return f"{self.bronze_path.rstrip('/')}/incidents"
@@ -119,18 +149,22 @@ class FeedConfig:
     @classmethod
     def under(cls, root: str, **overrides) -> FeedConfig:
         """Put every location below one shared folder, with the file transport."""
-        base = root.rstrip("/")
-        values = {
-            field.name: f"{base}/{str(field.default).removeprefix('./')}"
-            for field in fields(cls)
-            if isinstance(field.default, str) and field.default.startswith("./")
-        }
-        return cls(**{**values, "transport": "files", **overrides})
+        return cls(**{**locations_under(root), "transport": "files", **overrides})
 
     def with_(self, **overrides) -> FeedConfig:
         return replace(self, **overrides)
 
 
+def locations_under(root: str) -> dict[str, str]:
+    """Every setting that is a place by default, moved below ``root``."""
+    base = root.rstrip("/")
+    return {
+        field.name: f"{base}/{str(field.default).removeprefix('./')}"
+        for field in fields(FeedConfig)
+        if isinstance(field.default, str) and field.default.startswith("./")
+    }
+
+
 def parse_bbox(text: str) -> tuple[float, float, float, float]:
     """``minLon,minLat,maxLon,maxLat`` as four numbers."""
     parts = [float(part) for part in text.split(",")]

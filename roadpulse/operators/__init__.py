@@ -1,5 +1,5 @@
-from roadpulse.operators.bronze import parse_events, split_malformed, stamp_events
-from roadpulse.operators.dedup import drop_seen, first_per_key
+from roadpulse.operators.bronze import is_malformed, parse_events, split_malformed, stamp_events
+from roadpulse.operators.dedup import drop_seen, drop_seen_within, first_per_key
 from roadpulse.operators.gold import aggregate_windows, closed_only, watermarked
 from roadpulse.operators.silver import normalize
 from roadpulse.operators.snapshots import (
@@ -16,10 +16,12 @@ __all__ = [
     "aggregate_windows",
     "closed_only",
     "drop_seen",
+    "drop_seen_within",
     "explode_snapshots",
     "first_per_key",
     "flatten_incidents",
     "incidents_per_snapshot",
+    "is_malformed",
     "message_of_event",
     "normalize",
     "parse_events",

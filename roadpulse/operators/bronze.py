@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions import event_time
@@ -29,6 +29,20 @@ def stamp_events(events: DataFrame) -> DataFrame:
     return events.withColumn("event_ts", event_time("_raw"))
 
 
-def split_malformed(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(usable, malformed)``: an event without id came from an unreadable message."""
-    return events.where("id is not null"), events.where("id is null")
+def is_malformed(value: Column) -> Column:
+    """Whether a message is no JSON object from beginning to end.
+
+    A message that breaks off after some fields is malformed, an object without id is not.
+    """
+    return F.json_object_keys(value.cast("string")).isNull()
+
+
+def split_malformed(
+    messages: DataFrame, value: str = "value"
+) -> tuple[DataFrame, DataFrame]:
+    """``(readable, malformed)`` messages, each with all their columns."""
+    marked = messages.withColumn("_malformed", is_malformed(F.col(value)))
+    return (
+        marked.where("not _malformed").drop("_malformed"),
+        marked.where("_malformed").drop("_malformed"),
+    )

@@ -21,32 +21,14 @@ def first_per_key(
     return rows.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
-def drop_seen(
-    rows: DataFrame,
-    key: str = "key",
-    *,
-    salt_by: Sequence[str] = (),
-    salts: int = 16,
-    horizon: str = "1 hour",
-) -> DataFrame:
+def drop_seen(rows: DataFrame, key: str = "key") -> DataFrame:
     """Stream form: pass a key on the first time it is seen, and never again.
 
-    The last step is exact; its state holds each key once and lives in the checkpoint. With
-    ``salt_by`` (columns naming where a row came from) a first step spreads the copies of a
-    key over ``salts`` tasks and lets one of each through, so that the exact step gets at
-    most ``salts`` copies of a hot key per batch. State of the first step is only kept for
-    ``horizon`` of processing time: forgetting there lets a copy through, which the exact
-    step drops. (A driver clock set back by more than that would make rows look late.) Rows
-    of one document share a salt and keep their order, so the first position wins within it.
+    State holds each key once and lives in the checkpoint; keep it in RocksDB, for it grows with
+    the number of keys. Of copies within one micro-batch any may pass, and all are shuffled:
+    reduce each micro-batch by ``first_per_key`` before, so that the first one passes and a hot
+    key is a row per task.
     """
-    if salt_by and salts > 1:
-        rows = (
-            rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)))
-            .withColumn("_arrived", F.current_timestamp())
-            .withWatermark("_arrived", horizon)
-            .dropDuplicatesWithinWatermark([key, "_salt"])
-            .drop("_salt", "_arrived")
-        )
     return rows.dropDuplicates([key])
 
 

@@ -18,9 +18,13 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table as a file stream. The pattern matches one file or a folder of parts."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return _timed(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*"))
+    """The same table as a file stream: one file, or a folder of parts."""
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    reader = spark.readStream.schema(table.schema).option("maxFileAge", "36500d")
+    # A stream reads folders; a table that is one file is found in its own by name.
+    if any(name.rsplit("/", 1)[-1] == "events.parquet" for name in table.inputFiles()):
+        return _timed(reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    return _timed(reader.parquet(f"{sf_dir}/events.parquet"))
 
 
 def _timed(events: DataFrame) -> DataFrame:
@@ -101,8 +105,9 @@ def snapshot_documents(events: DataFrame, *keep: str) -> DataFrame:
     """One snapshot document per event: the event itself, a repeat, and two without id.
 
     The repeat is one incident for ten events, or for every third event one incident per
-    model, so that single keys are hot. Its copies differ in the description only. Some
-    documents have no model id, no incidents or no model, and some are not JSON.
+    model, so that single keys are hot. Its copies differ in description, type, delay and time.
+    ``polled`` numbers the documents. Some documents have no model id, no incidents or no model,
+    and some are not JSON.
     """
     number = F.col("event_id")
     own = _incident(
@@ -122,11 +127,14 @@ def snapshot_documents(events: DataFrame, *keep: str) -> DataFrame:
         id=F.when(number % 3 == 0, F.lit("hot")).otherwise(
             F.concat(F.lit("block-"), F.floor(number / 10))
         ),
-        ty=F.lit("repeat"),
+        ty=F.concat(F.lit("repeat-"), number % 5),
         d=F.concat(F.lit("seen by "), number),
         t=F.lit("everywhere"),
-        dl=F.lit(7),
-        st=F.lit("2024-01-15T12:00:00Z"),
+        dl=number % 97,
+        # Within the hour from noon of 15 January 2024.
+        st=F.date_format(
+            F.timestamp_seconds(F.lit(1705320000) + number % 60 * 60), "yyyy-MM-dd'T'HH:mm:ss'Z'"
+        ),
     )
     empty_id = _incident(id=F.lit(""), ty=F.lit("dropped"))
     without_id = _incident(ty=F.lit("dropped"))
@@ -134,7 +142,9 @@ def snapshot_documents(events: DataFrame, *keep: str) -> DataFrame:
         F.when(number % 17 != 0, _model()).alias("@id"),
         F.when(number % 11 != 0, F.array(own, repeat, empty_id, without_id)).alias("poi"),
     )
-    document = F.to_json(F.struct(F.when(number % 13 != 0, model).alias("tm")))
+    document = F.to_json(
+        F.struct(number.alias("polled"), F.when(number % 13 != 0, model).alias("tm"))
+    )
     return events.select(
         *keep, F.when(number % 19 == 0, F.lit("not json")).otherwise(document).alias("payload")
     )

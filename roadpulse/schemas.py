@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
-    BinaryType,
     DateType,
     DoubleType,
     IntegerType,
@@ -66,6 +65,7 @@ WIRE = _fields(
 
 BRONZE = StructType([*WIRE.fields, StructField("event_ts", TimestampType())])
 
+# The columns of the clean table, in order.
 SILVER = _fields(
     [
         "incident_id",
@@ -91,6 +91,7 @@ SILVER = _fields(
     },
 )
 
+# The columns of the windowed table, in order.
 GOLD = _fields(
     ["window_start", "window_end", "type_code", "road", "event_count", "avg_delay_seconds"],
     {
@@ -100,6 +101,3 @@ GOLD = _fields(
         "avg_delay_seconds": DoubleType(),
     },
 )
-
-# What a message source delivers; only the value is used.
-ENVELOPE = StructType([StructField("value", BinaryType())])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
@@ -87,6 +88,35 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether tasks run in this very process, so that its folders are theirs."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
+def require_shared(spark: SparkSession, places: Mapping[str, str]) -> None:
+    """Refuse folders of one machine on a cluster: each executor would write its own disk.
+
+    A ``file:`` folder is taken as shared only if it lies below the one the session names.
+    """
+    if is_local(spark):
+        return
+    configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def full(place: str) -> str:
+        path = jvm.org.apache.hadoop.fs.Path(place)
+        return path.getFileSystem(hadoop).makeQualified(path).toString()
+
+    shared = f"{full(configured).rstrip('/')}/" if configured else None
+    for name, place in places.items():
+        where = full(place)
+        if where.startswith("file:") and not (shared and f"{where}/".startswith(shared)):
+            raise RuntimeError(
+                f"{name} is {where}, a folder of one machine; on a cluster name one that all "
+                f"executors share, or one below {CHECKPOINT_DIR}"
+            )
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
@@ -96,7 +126,7 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if is_local(spark):
         return tempfile.mkdtemp(prefix="roadpulse-")
     raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
 

@@ -1,8 +1,11 @@
 from roadpulse.sinks.writers import (
+    backfill_table,
     console_writer,
     ensure_dir,
     ensure_table,
+    has_sink_log,
     message_writer,
+    refuse_stream_into_batch,
     table_writer,
     trigger_options,
     write_messages,
@@ -10,10 +13,13 @@ from roadpulse.sinks.writers import (
 )
 
 __all__ = [
+    "backfill_table",
     "console_writer",
     "ensure_dir",
     "ensure_table",
+    "has_sink_log",
     "message_writer",
+    "refuse_stream_into_batch",
     "table_writer",
     "trigger_options",
     "write_messages",

@@ -10,6 +10,31 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
 from roadpulse.config import FeedConfig
+from roadpulse.sources.readers import backfill_path, exists, has_files
+
+# Fixed value: where a file stream keeps the list of the files it has written.
+SINK_LOG = "_spark_metadata"
+
+
+def has_sink_log(spark: SparkSession, path: str) -> bool:
+    """Whether a stream has written to a folder, so that readers see its files only."""
+    return exists(spark, f"{path.rstrip('/')}/{SINK_LOG}")
+
+
+def refuse_batch_into_stream(spark: SparkSession, path: str) -> None:
+    if has_sink_log(spark, path):
+        raise ValueError(
+            f"a stream writes {path}, and readers would not see a batch put there; "
+            "use backfill_table, or land the rows where the stream reads"
+        )
+
+
+def refuse_stream_into_batch(spark: SparkSession, path: str) -> None:
+    if has_files(spark, path) and not has_sink_log(spark, path):
+        raise ValueError(
+            f"{path} holds files of a batch, which readers would not see once a stream writes "
+            "there; move them, or put them there by backfill_table"
+        )
 
 
 def trigger_options(seconds: int | None, available_now: bool = False) -> dict:
@@ -52,9 +77,19 @@ def message_writer(
     return writer.format("text").option("path", config.wire_path)
 
 
-def console_writer(rows: DataFrame) -> DataStreamWriter:
-    """Print new rows in full as they arrive. For looking, so it has no checkpoint."""
-    return rows.writeStream.format("console").option("truncate", "false").outputMode("append")
+def console_writer(rows: DataFrame, shown: int) -> DataStreamWriter:
+    """Print the first ``shown`` rows of each micro-batch and how many more it has.
+
+    Only those rows come to the driver. For looking, so it has no checkpoint.
+    """
+
+    def show(batch: DataFrame, number: int) -> None:
+        total = batch.count()
+        if total:
+            print(f"batch {number}: {total} rows, {max(total - shown, 0)} of them not shown")
+            batch.show(shown, truncate=False)
+
+    return rows.writeStream.foreachBatch(show).outputMode("append")
 
 
 def kafka_sink_options(config: FeedConfig) -> dict[str, str]:
@@ -66,6 +101,7 @@ def write_messages(messages: DataFrame, config: FeedConfig) -> None:
     if config.transport == "kafka":
         messages.write.format("kafka").options(**kafka_sink_options(config)).save()
     else:
+        refuse_batch_into_stream(messages.sparkSession, config.wire_path)
         messages.write.mode("append").text(config.wire_path)
 
 
@@ -84,6 +120,31 @@ def write_table(
     over several tasks. ``rebalance=False`` saves that shuffle where the rows already come
     in order of the partition columns.
     """
+    if config.table_format == "parquet":
+        refuse_batch_into_stream(rows.sparkSession, path)
+    _append(rows, path, config, partition_by, rebalance)
+
+
+def backfill_table(
+    rows: DataFrame,
+    path: str,
+    config: FeedConfig,
+    *,
+    partition_by: Sequence[str] = (),
+    rebalance: bool = True,
+) -> None:
+    """Append a batch to a stage table that a stream writes too.
+
+    The rows go to a folder beside it, which ``read_table`` and the next stage read as part of
+    the table. A Delta table takes both kinds of writes itself.
+    """
+    place = path if config.table_format == "delta" else backfill_path(path)
+    _append(rows, place, config, partition_by, rebalance)
+
+
+def _append(
+    rows: DataFrame, path: str, config: FeedConfig, partition_by: Sequence[str], rebalance: bool
+) -> None:
     if partition_by and rebalance:
         rows = rows.hint("rebalance", *[F.col(name) for name in partition_by])
     writer = rows.write.format(config.table_format).mode("append")
@@ -110,6 +171,7 @@ def ensure_table(
     """Make a stage table that the next stage can start to read before it has rows."""
     if config.table_format == "parquet":
         ensure_dir(spark, path)
+        ensure_dir(spark, backfill_path(path))
         return
     empty = spark.createDataFrame([], schema).write.format(config.table_format).mode("ignore")
     (empty.partitionBy(*partition_by) if partition_by else empty).save(path)

@@ -1,4 +1,7 @@
 from roadpulse.sources.readers import (
+    backfill_path,
+    exists,
+    has_files,
     kafka_options,
     read_messages,
     read_snapshots,
@@ -9,6 +12,9 @@ from roadpulse.sources.readers import (
 )
 
 __all__ = [
+    "backfill_path",
+    "exists",
+    "has_files",
     "kafka_options",
     "read_messages",
     "read_snapshots",

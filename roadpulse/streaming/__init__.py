@@ -2,9 +2,11 @@ from roadpulse.streaming.runner import STAGES, hold, run_stages, start_stages, s
 from roadpulse.streaming.stages import (
     bronze_rows,
     gold_rows,
-    publish_rows,
+    incident_rows,
+    message_rows,
     silver_rows,
     start_bronze,
+    start_first_copies,
     start_gold,
     start_publish,
     start_quarantine,
@@ -17,10 +19,12 @@ __all__ = [
     "bronze_rows",
     "gold_rows",
     "hold",
-    "publish_rows",
+    "incident_rows",
+    "message_rows",
     "run_stages",
     "silver_rows",
     "start_bronze",
+    "start_first_copies",
     "start_gold",
     "start_publish",
     "start_quarantine",

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from roadpulse import sinks
 from roadpulse.config import FeedConfig
 from roadpulse.schemas import BRONZE, SILVER
+from roadpulse.session import require_shared
 from roadpulse.streaming import stages as _stages
 
 # Upstream first. `quarantine` runs beside them when it is asked for by name.
@@ -126,12 +127,26 @@ def _in_order(stages: Sequence[str]) -> list[str]:
 
 
 def _prepare(spark: SparkSession, config: FeedConfig, stages: Sequence[str]) -> None:
-    """Make the sources of the stages; a stream over a missing one would end at once."""
+    """Check the places, and make the sources of the stages: a stream over a missing one would
+    end at once."""
+    require_shared(spark, config.locations)
+    written = {
+        "publish": config.wire_path if config.transport == "files" else None,
+        "bronze": config.bronze_table,
+        "silver": config.silver_table,
+        "gold": config.gold_table,
+        QUARANTINE: config.quarantine_table,
+    }
+    for name in stages:
+        place = written.get(name)
+        if place and (name == "publish" or config.table_format == "parquet"):
+            sinks.refuse_stream_into_batch(spark, place)
     if "publish" in stages:
         sinks.ensure_dir(spark, config.snapshot_path)
-    if "bronze" in stages and config.transport == "files":
+        sinks.ensure_dir(spark, config.first_copies_path)
+    if {"bronze", QUARANTINE} & set(stages) and config.transport == "files":
         sinks.ensure_dir(spark, config.wire_path)
-    if {"silver", QUARANTINE} & set(stages):
+    if "silver" in stages:
         sinks.ensure_table(spark, config.bronze_table, BRONZE, config)
     if "gold" in stages:
         sinks.ensure_table(

@@ -3,7 +3,9 @@ each ``start_*`` connects it to the configured source and sink."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,7 +15,9 @@ from roadpulse.functions import incident_key
 from roadpulse.operators import (
     aggregate_windows,
     drop_seen,
+    drop_seen_within,
     explode_snapshots,
+    first_per_key,
     flatten_incidents,
     normalize,
     parse_events,
@@ -24,48 +28,54 @@ from roadpulse.operators import (
     within_bbox,
 )
 from roadpulse.schemas import BRONZE, SILVER
-from roadpulse.session import NO_DATA_BATCHES, settings
-from roadpulse.sources.readers import ORIGIN
+from roadpulse.session import DEDUP_SETTINGS, settings
+from roadpulse.sources.readers import ARRIVAL, SNAPSHOT_ORDER, exists
 
 
-def publish_rows(documents: DataFrame, config: FeedConfig) -> DataFrame:
-    """Snapshot documents, as ``stream_snapshots`` gives them -> one message per new incident.
+def incident_rows(documents: DataFrame, config: FeedConfig) -> DataFrame:
+    """Snapshot documents, as ``stream_snapshots`` gives them -> one row per incident with an id.
 
-    Repeats are dropped before flattening: the flat event carries its content twice (columns
-    and ``_raw``) and would double what the shuffle moves. The progress of the query reports
-    the snapshots read and the incidents in them, counted before repeats are dropped. The
+    Flattening waits until repeats are dropped: the flat event carries its content twice (columns
+    and ``_raw``) and would double what is moved. The progress of the query reports the snapshots
+    read, how many of them are no JSON object, and the incidents in them, repeats included. The
     box is applied first: the feed would not have sent what lies outside.
     """
-    polled = documents.observe("polled", F.count("*").alias("snapshots"))
+    unreadable = F.json_object_keys("payload").isNull()
+    polled = documents.observe(
+        "polled", F.count("*").alias("snapshots"), F.count_if(unreadable).alias("unreadable")
+    )
     incidents = explode_snapshots(polled)
     if config.apply_bbox:
         incidents = within_bbox(
             incidents, config.bbox, "incident.p", config.lon_key, config.lat_key
         )
     counted = incidents.observe("exploded", F.count("*").alias("incidents"))
-    keyed = with_id(counted).select(
-        ORIGIN,
+    return with_id(counted).select(
+        *SNAPSHOT_ORDER,
+        "position_in_snapshot",
         "trafficModelId",
         "incident",
         "_raw",
         F.unhex(incident_key("trafficModelId", "incident.id")).alias("key"),
     )
-    fresh = drop_seen(
-        keyed,
-        salt_by=[ORIGIN],
-        salts=config.dedup_salts,
-        horizon=config.dedup_salt_horizon,
-    )
+
+
+def message_rows(first: DataFrame, config: FeedConfig) -> DataFrame:
+    """First copies, one micro-batch of them at a time -> one message per new incident."""
+    if config.dedup_bound:
+        fresh = drop_seen_within(first, "key", ARRIVAL, config.dedup_bound)
+    else:
+        fresh = drop_seen(first)
     return to_messages(flatten_incidents(fresh))
 
 
-def bronze_rows(messages: DataFrame) -> DataFrame:
+def bronze_rows(messages: DataFrame, config: FeedConfig | None = None) -> DataFrame:
+    if config is not None and config.quarantine:
+        messages, _ = split_malformed(messages)
     return parse_events(messages)
 
 
 def silver_rows(events: DataFrame, config: FeedConfig) -> DataFrame:
-    if config.quarantine:
-        events, _ = split_malformed(events)
     return normalize(events, config.missing_time)
 
 
@@ -73,21 +83,87 @@ def gold_rows(clean: DataFrame, config: FeedConfig) -> DataFrame:
     return aggregate_windows(watermarked(clean, config.watermark), config.window)
 
 
+def start_first_copies(
+    rows: DataFrame,
+    order: Sequence[Column],
+    folder: str,
+    checkpoint: str,
+    send: Callable[[DataFrame], StreamingQuery],
+    config: FeedConfig,
+    trigger: Mapping[str, str | bool],
+) -> StreamingQuery:
+    """Keep the first copy of each ``key`` of a stream, by micro-batch and then by ``order``.
+
+    Two steps. This query reduces each micro-batch to one row per key (each task does before the
+    shuffle, so a hot key is a row per task) and writes these to a folder of the batch's number.
+    ``send`` gets them as a stream, starts a query over it that keeps the keys it has seen and
+    ends with what is there, and is waited for; so it takes one folder as one micro-batch.
+
+    A batch that is tried again finds its folder complete, or writes it anew before the second
+    query has looked, and that one's checkpoint knows which files it has taken. So nothing is
+    lost, repeated or out of order, whichever of the two stops where.
+    """
+    shape = rows.schema
+
+    def reduce_and_send(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        place = f"{folder}/batch-{number:012d}"
+        if not exists(session, f"{place}/_SUCCESS"):
+            first_per_key(batch, ["key"], order).write.mode("overwrite").parquet(place)
+        first = (
+            session.readStream.schema(shape)
+            .options(maxFileAge=config.max_file_age, recursiveFileLookup="true")
+            .option("cleanSource", "delete")
+            .parquet(folder)
+        )
+        with settings(session, DEDUP_SETTINGS):
+            query = send(first)
+        try:
+            query.awaitTermination()
+        finally:
+            query.stop()
+
+    return (
+        rows.writeStream.foreachBatch(reduce_and_send)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def start_publish(
     spark: SparkSession, config: FeedConfig, available_now: bool = False
 ) -> StreamingQuery:
-    messages = publish_rows(sources.stream_snapshots(spark, config), config)
-    writer = sinks.message_writer(
-        messages, config.publish_checkpoint, config, available_now=available_now
+    """Send each incident once, the first copy of it.
+
+    Lines of one file that carry no ``poll_key`` share their place in the order of snapshots;
+    their text decides, so that a retry finds the same rows.
+    """
+    base = config.publish_checkpoint.rstrip("/")
+
+    def send(first: DataFrame) -> StreamingQuery:
+        messages = message_rows(first, config)
+        return sinks.message_writer(messages, f"{base}/sent", config, available_now=True).start()
+
+    return start_first_copies(
+        incident_rows(sources.stream_snapshots(spark, config), config),
+        [
+            *[F.col(name).asc_nulls_last() for name in SNAPSHOT_ORDER],
+            F.col("position_in_snapshot"),
+            F.to_json("incident"),
+        ],
+        config.first_copies_path,
+        f"{base}/poll",
+        send,
+        config,
+        sinks.trigger_options(config.poll_seconds, available_now),
     )
-    with settings(spark, {NO_DATA_BATCHES: "false"}):
-        return writer.start()
 
 
 def start_bronze(
     spark: SparkSession, config: FeedConfig, available_now: bool = False
 ) -> StreamingQuery:
-    events = bronze_rows(sources.stream_messages(spark, config))
+    events = bronze_rows(sources.stream_messages(spark, config), config)
     return sinks.table_writer(
         events, config.bronze_checkpoint, config, available_now=available_now
     ).start(config.bronze_table)
@@ -96,20 +172,23 @@ def start_bronze(
 def start_quarantine(
     spark: SparkSession, config: FeedConfig, available_now: bool = False
 ) -> StreamingQuery:
-    """Collect the bronze rows of unreadable messages."""
-    events = sources.stream_table(spark, config.bronze_table, BRONZE, config)
-    _, malformed = split_malformed(events)
+    """Collect the text of unreadable messages, in a table with the column ``value``."""
+    _, malformed = split_malformed(sources.stream_messages(spark, config))
+    texts = malformed.select(F.col("value").cast("string").alias("value"))
     return sinks.table_writer(
-        malformed, config.quarantine_checkpoint, config, available_now=available_now
+        texts, config.quarantine_checkpoint, config, available_now=available_now
     ).start(config.quarantine_table)
 
 
 def start_silver(
     spark: SparkSession, config: FeedConfig, available_now: bool = False
 ) -> StreamingQuery:
+    """Write clean rows by day. The rows of a day come together in ``silver_buckets`` tasks first:
+    a micro-batch adds so many files per day, however many tasks read it."""
     events = sources.stream_table(spark, config.bronze_table, BRONZE, config)
+    bucket = F.pmod(F.xxhash64("incident_id"), F.lit(config.silver_buckets))
     return sinks.table_writer(
-        silver_rows(events, config),
+        silver_rows(events, config).repartition("event_date", bucket),
         config.silver_checkpoint,
         config,
         partition_by=["event_date"],
@@ -127,13 +206,6 @@ def start_gold(
 
 
 def start_tail(spark: SparkSession, config: FeedConfig) -> StreamingQuery:
-    """Print parsed messages as they arrive.
-
-    The console sink brings each micro-batch to the driver, so a backlog is taken in small
-    ones.
-    """
-    small = config.with_(
-        max_files_per_trigger=config.max_files_per_trigger or 1,
-        max_offsets_per_trigger=config.max_offsets_per_trigger or 1000,
-    )
-    return sinks.console_writer(bronze_rows(sources.stream_messages(spark, small))).start()
+    """Print the first ``tail_rows`` parsed messages of each micro-batch as they arrive."""
+    rows = bronze_rows(sources.stream_messages(spark, config))
+    return sinks.console_writer(rows, config.tail_rows).start()

@@ -105,9 +105,14 @@ def test_event_time_of_a_missing_key_or_map(spark, ansi):
 
 
 def test_split_malformed(spark):
-    usable, malformed = split_malformed(parse(spark, '{"id":"i"}', "junk", "{}"))
-    assert [r.id for r in usable.collect()] == ["i"]
-    assert malformed.count() == 2
+    """Malformed is what is no JSON object to its end; an object without id is readable."""
+    texts = ['{"id":"i"}', "{}", '{"typeCode":8}', "junk", '{"id":"a"', '{"id":"a","_raw":{"st":', "null"]
+    texts += ["5", '[{"id":"a"}]', "", None]
+    messages = spark.createDataFrame([(t,) for t in texts], "value string")
+    usable, malformed = split_malformed(messages.withColumn("value", messages.value.cast("binary")))
+    read = [None if r.value is None else bytes(r.value).decode() for r in usable.collect()]
+    lost = [None if r.value is None else bytes(r.value).decode() for r in malformed.collect()]
+    assert read == texts[:3] and lost == texts[3:]
 
 
 def bronze(spark, *times):

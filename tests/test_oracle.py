@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as contract
 import compare
+from roadpulse import catalog
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -17,14 +18,15 @@ def tables():
     return compare.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_sql(spark, tables, name):
-    rows = contract.queries()[name](spark, SF_DIR)
-    assert compare.differences(rows, tables, contract.oracle_sql()[name]) == []
+    rows = catalog.queries()[name](spark, SF_DIR)
+    assert compare.differences(rows, tables, catalog.oracle_sql()[name]) == []
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(contract.queries())
 
 
 def test_entry_has_rows_and_gold_columns(spark):

@@ -18,8 +18,8 @@ from roadpulse.session import DELTA_SETTINGS, new_work_dir, shared_root
 from roadpulse.streaming import (
     bronze_rows,
     hold,
-    publish_rows,
     run_stages,
+    start_publish,
     start_stages,
     start_tail,
     stop_all,
@@ -100,13 +100,14 @@ def test_first_position_wins_within_a_snapshot(spark, config):
 def test_incidents_are_counted_while_polling(spark, config):
     land(config, "a.json", incident("1", "00:01"), incident("", "00:02"))
     land(config, "b.json", incident("1", "00:01"))
-    messages = publish_rows(sources.stream_snapshots(spark, config), config)
-    query = sinks.message_writer(
-        messages, config.publish_checkpoint, config, available_now=True
-    ).start()
+    with open(os.path.join(config.snapshot_path, "c.json"), "w") as file:
+        file.write("not json")
+    for path in (config.wire_path, config.first_copies_path):
+        os.makedirs(path)
+    query = start_publish(spark, config, available_now=True)
     query.awaitTermination()
     observed = query.recentProgress[0]["observedMetrics"]
-    assert observed["polled"]["snapshots"] == 2
+    assert observed["polled"]["snapshots"] == 3 and observed["polled"]["unreadable"] == 1
     assert observed["exploded"]["incidents"] == 3
 
 
@@ -127,7 +128,8 @@ def test_quarantine_keeps_unreadable_messages_out_of_silver(spark, config):
     run_stages(spark, config, ["bronze", "silver", "quarantine"], drain=True)
     silver = table(spark, config.silver_table, SILVER, config)
     assert [r.incident_id for r in silver.collect()] == ["a"]
-    assert table(spark, config.quarantine_table, BRONZE, config).count() == 2
+    kept = spark.read.parquet(config.quarantine_table)
+    assert {r.value for r in kept.collect()} == {"junk", '{"id":"b"'}
 
 
 def test_stages_run_side_by_side_and_stop(spark, config):
@@ -207,19 +209,18 @@ def test_unknown_stage(spark, config):
         start_stages(spark, config, ["platinum"])
 
 
-def test_tail_prints_new_messages(spark, config):
-    """The JVM prints to its own output, so the query's progress stands for the text."""
+def test_tail_prints_some_rows_and_counts_the_rest(spark, config, capfd):
     os.makedirs(config.wire_path)
-    query = start_tail(spark, config)
+    with open(os.path.join(config.wire_path, "m.txt"), "w") as file:
+        file.write("".join(f'{{"id":"id-{n:02}"}}\n' for n in range(50)))
+    query = start_tail(spark, config.with_(tail_rows=7))
     try:
-        with open(os.path.join(config.wire_path, "m.txt"), "w") as file:
-            file.write('{"id":"a"}\n{"id":"b"}\n')
         query.processAllAvailable()
-        done = [p for p in query.recentProgress if p["numInputRows"]]
     finally:
         query.stop()
-    assert [p["numInputRows"] for p in done] == [2]
-    assert "ConsoleTable" in done[0]["sink"]["description"]
+    shown = capfd.readouterr().out
+    assert "50 rows, 43 of them not shown" in shown
+    assert sum(f"id-{n:02}" in shown for n in range(50)) == 7
 
 
 def test_tailed_rows_are_parsed(spark, config):
@@ -247,6 +248,148 @@ def test_written_days_are_few_files_each(spark, config):
     assert spark.read.parquet(config.silver_table).count() == 4000
 
 
+@pytest.mark.parametrize("attempt", range(3))
+def test_first_copy_wins_among_many_files_of_one_batch(spark, config, attempt):
+    """Files in the order of their times, all in one micro-batch: the first one's copies pass."""
+    for number in range(40):
+        copies = [incident(str(n), "00:01", d=f"file {number}", dl=number) for n in range(25)]
+        land(config, f"{(number * 17) % 40:02}.json", *copies)
+    run_stages(spark, config, ["publish"], drain=True)
+    land(config, "later.json", incident("3", "00:01", d="later"), incident("new", "00:01", d="later"))
+    run_stages(spark, config, ["publish"], drain=True)
+    rows = bronze_rows(sources.read_messages(spark, config)).collect()
+    assert sorted((r.id, r.description) for r in rows) == sorted(
+        [(str(n), "file 0") for n in range(25)] + [("new", "later")]
+    )
+
+
+def test_poll_key_orders_lines_of_any_file(spark, config):
+    config = config.with_(whole_files=False, poll_key="polled")
+    os.makedirs(config.snapshot_path)
+    for number, polls in enumerate([(9, 5), (3, 10), (4, 100)]):
+        with open(os.path.join(config.snapshot_path, f"{number}.txt"), "w") as file:
+            for poll in polls:
+                copy = incident("1", "00:01", d=f"poll {poll}")
+                file.write(json.dumps({"polled": poll, "tm": {"@id": "m", "poi": [copy]}}) + "\n")
+    run_stages(spark, config, ["publish"], drain=True)
+    rows = bronze_rows(sources.read_messages(spark, config)).collect()
+    assert [r.description for r in rows] == ["poll 3"]
+
+
+@pytest.mark.parametrize("complete", [False, True])
+def test_a_batch_that_failed_between_the_steps_is_sent_once(spark, config, monkeypatch, complete):
+    """The first step has written its rows, or part of them, and the second has not run."""
+    from roadpulse.streaming import stages
+
+    land(config, "a.json", incident("1", "00:01"), incident("2", "00:02"))
+    send = sinks.message_writer
+    monkeypatch.setattr(stages.sinks, "message_writer", lambda *a, **k: 1 / 0)
+    with pytest.raises(Exception, match="division by zero"):
+        run_stages(spark, config, ["publish"], drain=True)
+    monkeypatch.setattr(stages.sinks, "message_writer", send)
+    folder = os.path.join(config.first_copies_path, "batch-000000000000")
+    if not complete:
+        os.rename(f"{folder}/_SUCCESS", f"{config.snapshot_path}/../was_success")
+    for _ in range(2):
+        run_stages(spark, config, ["publish"], drain=True)
+    rows = bronze_rows(sources.read_messages(spark, config)).collect()
+    assert sorted(r.id for r in rows) == ["1", "2"]
+
+
+def test_publish_reduces_below_the_exchange(spark, config, plan):
+    from roadpulse.operators import first_per_key
+    from roadpulse.streaming import incident_rows
+
+    land(config, "a.json", incident("1", "00:01"))
+    rows = incident_rows(sources.read_snapshots(spark, config), config)
+    text = plan(first_per_key(rows, ["key"], [F.col(x) for x in ("arrival", "position_in_snapshot")]))
+    above, below = text.split("Exchange hashpartitioning(key")[:2]
+    assert "WindowGroupLimit" in above and "WindowGroupLimit" in below and "Partial" in below
+
+
+def test_publish_keeps_its_keys_in_rocksdb(spark, config, monkeypatch):
+    from roadpulse.streaming import stages
+
+    seen = []
+    send = sinks.message_writer
+
+    def watched(rows, *args, **kwargs):
+        seen.append(rows.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass"))
+        return send(rows, *args, **kwargs)
+
+    land(config, "a.json", incident("1", "00:01"))
+    monkeypatch.setattr(stages.sinks, "message_writer", watched)
+    run_stages(spark, config, ["publish"], drain=True)
+    assert len(seen) == 1 and seen[0].endswith("RocksDBStateStoreProvider")
+
+
+def age(path, days):
+    at = time.time() - days * 86_400
+    os.utime(path, (at, at))
+
+
+def test_old_files_are_read(spark, config):
+    land(config, "a.json", incident("1", "00:01"))
+    run_stages(spark, config, ["publish", "bronze"], drain=True)
+    land(config, "b.json", incident("2", "00:01"))
+    age(os.path.join(config.snapshot_path, "b.json"), 30)
+    run_stages(spark, config, ["publish"], drain=True)
+    name = next(n for n in sorted(os.listdir(config.wire_path)) if n.startswith("part"))
+    rows = bronze_rows(sources.read_messages(spark, config)).collect()
+    assert name and sorted(r.id for r in rows) == ["1", "2"]
+
+
+def test_read_snapshots_can_be_archived(spark, config, tmp_path):
+    config = config.with_(archive_path=str(tmp_path / "archive"))
+    for name in ("a", "b"):
+        land(config, f"{name}.json", incident(name, "00:01"))
+        run_stages(spark, config, ["publish"], drain=True)
+    left = [n for n in os.listdir(config.snapshot_path) if n.endswith(".json") and n[0] != "."]
+    found = [n for _, _, names in os.walk(tmp_path / "archive") for n in names if n.endswith(".json")]
+    assert sorted(left + found) == ["a.json", "b.json"] and "a.json" in found
+
+
+def test_batch_and_stream_refuse_each_others_folders(spark, config):
+    os.makedirs(config.wire_path)
+    with open(os.path.join(config.wire_path, "m.txt"), "w") as file:
+        file.write('{"id":"a","_raw":{"st":"2024-01-01T00:00:00Z"}}\n')
+    run_stages(spark, config, ["bronze"], drain=True)
+    rows = bronze_rows(sources.read_messages(spark, config))
+    with pytest.raises(ValueError, match="a stream writes"):
+        sinks.write_table(rows, config.bronze_table, config)
+    sinks.write_table(rows, config.gold_table, config)
+    with pytest.raises(ValueError, match="files of a batch"):
+        run_stages(spark, config, ["gold"], drain=True)
+    # What is put beside the table is part of it, for readers and for the next stage.
+    sinks.backfill_table(rows.withColumn("id", F.lit("b")), config.bronze_table, config)
+    assert table(spark, config.bronze_table, BRONZE, config).count() == 2
+    run_stages(spark, config, ["silver"], drain=True)
+    silver = table(spark, config.silver_table, SILVER, config)
+    assert sorted(r.incident_id for r in silver.collect()) == ["a", "b"]
+
+
+def test_a_batch_of_messages_does_not_go_into_a_published_folder(spark, config):
+    land(config, "a.json", incident("1", "00:01"))
+    run_stages(spark, config, ["publish"], drain=True)
+    with pytest.raises(ValueError, match="a stream writes"):
+        sinks.write_messages(spark.createDataFrame([("{}",)], "value string"), config)
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_a_micro_batch_adds_few_files_per_day(spark, config, buckets):
+    config = config.with_(silver_buckets=buckets)
+    rows = spark.range(0, 2000, numPartitions=8).select(
+        F.col("id").cast("string").alias("id"),
+        F.expr("timestamp '2024-01-01' + make_dt_interval(cast(id % 10 as int))").alias("event_ts"),
+    )
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in BRONZE if f.name not in rows.columns]
+    sinks.write_table(rows.select("*", *missing).select(BRONZE.names), config.bronze_table, config)
+    run_stages(spark, config, ["silver"], drain=True)
+    files = [n for _, _, names in os.walk(config.silver_table) for n in names if n.endswith(".parquet")]
+    assert 10 <= len(files) <= 10 * buckets
+    assert table(spark, config.silver_table, SILVER, config).count() == 2000
+
+
 # ---------------------------------------------------------------- settings
 
 
@@ -273,6 +416,7 @@ def test_settings_are_checked():
 def test_every_location_moves_under_one_root():
     config = FeedConfig.under("/shared/run")
     paths = [v for k, v in vars(config).items() if k.endswith(("_path", "_checkpoint"))]
+    paths = [path for path in paths if path is not None]
     assert len(paths) == len(set(paths)) == 10
     assert all(path.startswith("/shared/run/") for path in paths)
 
@@ -317,3 +461,44 @@ def test_command_line_drains_the_chosen_stages(spark, config, tmp_path):
     main(["--root", str(tmp_path), "--drain", "--skip", "gold"])
     assert table(spark, config.silver_table, SILVER, config).count() == 2
     assert not os.path.exists(config.gold_table)
+
+
+def test_command_line_settings(monkeypatch):
+    from roadpulse.__main__ import arguments, configured
+
+    env = {"KAFKA_TOPIC": "t", "POLL_SECONDS": "9", "BBOX": "1,2,3,4"}
+    found = configured(arguments(["--root", "/r"]), env)
+    assert (found.transport, found.kafka_topic, found.poll_seconds) == ("files", "t", 9)
+    assert found.wire_path == "/r/data/wire" and found.bbox == (1.0, 2.0, 3.0, 4.0)
+    assert configured(arguments(["--root", "/r", "--transport", "kafka"]), env).transport == "kafka"
+    assert configured(arguments([]), env).transport == "kafka"
+    with pytest.raises(SystemExit, match="SILVER_PATH"):
+        configured(arguments(["--root", "/r"]), {**env, "SILVER_PATH": "/s"})
+    places = {
+        "SNAPSHOT_PATH": "/a",
+        "WIRE_PATH": "/b",
+        "PUBLISH_CHECKPOINT": "/c",
+        "QUARANTINE_CHECKPOINT": "/d",
+    }
+    found = configured(arguments(["--transport", "files"]), places)
+    assert [found.snapshot_path, found.wire_path] == ["/a", "/b"]
+    assert [found.publish_checkpoint, found.quarantine_checkpoint] == ["/c", "/d"]
+
+
+def test_topic_settings():
+    config = FeedConfig(starting_offsets="earliest", fail_on_data_loss=True)
+    options = sources.kafka_options(config)
+    assert (options["startingOffsets"], options["failOnDataLoss"]) == ("earliest", "true")
+
+
+def test_folders_of_one_machine_are_refused_on_a_cluster(spark, tmp_path, monkeypatch):
+    from roadpulse import session
+
+    config = FeedConfig.under(str(tmp_path))
+    session.require_shared(spark, config.locations)
+    monkeypatch.setattr(session, "is_local", lambda spark: False)
+    with pytest.raises(RuntimeError, match="a folder of one machine"):
+        session.require_shared(spark, config.locations)
+    monkeypatch.setattr(session, "CHECKPOINT_DIR", "spark.test.checkpoint.dir")
+    spark.conf.set("spark.test.checkpoint.dir", f"file://{tmp_path}")
+    session.require_shared(spark, config.locations)

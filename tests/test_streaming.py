@@ -9,8 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadpulse.functions import incident_key
-from roadpulse.operators import aggregate_windows, drop_seen, watermarked
-from roadpulse.operators.dedup import drop_seen_within
+from roadpulse.operators import aggregate_windows, drop_seen, drop_seen_within, watermarked
 from roadpulse.session import ROCKSDB_SETTINGS, settings
 
 CLEAN = "typeCode string, road string, delay_seconds int, event_ts timestamp"
@@ -249,37 +248,11 @@ def test_first_sighting_passes_once(spark, tmp_path):
     assert run_dedup(spark, tmp_path, drop_seen) == ["m1a1", "m1b1", "m1z1", "m2a5"]
 
 
-def test_salting_does_not_change_what_passes(spark, tmp_path):
-    found = run_dedup(spark, tmp_path, lambda rows: drop_seen(rows, salt_by=["origin"], salts=4))
-    assert found == ["m1a1", "m1b1", "m1z1", "m2a5"]
-
-
 def test_bounded_dedup_forgets_after_the_delay(spark, tmp_path):
     found = run_dedup(spark, tmp_path, lambda r: drop_seen_within(r, "key", "seen", "30 minutes"))
     assert found == ["m1a1", "m1a7", "m1b1", "m1z1", "m2a5"]
 
 
-def test_salted_dedup_of_a_hot_key_sends_few_copies_to_the_last_step(spark, tmp_path):
-    feed = Feed(
-        spark,
-        tmp_path,
-        "key string, n bigint",
-        lambda rows: drop_seen(rows, salt_by=["n"], salts=8),
-    )
-    spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, "hot")
-        .otherwise(F.concat(F.lit("k"), F.col("id")))
-        .alias("key"),
-        F.col("id").alias("n"),
-    ).write.parquet(feed.landed + "/part")
-    feed.landed += "/part"
-    feed.run()
-    assert len(feed.rows()) == len({r[0] for r in feed.rows()}) == 2001
-    last, first = feed.progress[0]["stateOperators"]
-    assert last["numRowsTotal"] == 2001
-    assert first["numRowsTotal"] <= 2000 + 8
-
-
 def test_rocksdb_state_gives_the_same_rows(spark, tmp_path):
     with settings(spark, ROCKSDB_SETTINGS):
         assert run_dedup(spark, tmp_path, drop_seen) == ["m1a1", "m1b1", "m1z1", "m2a5"]
