@@ -30,7 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import connected_components, saved, table
+from roadpulse.llm.common import (
+    ASCII_LOWER,
+    ASCII_UPPER,
+    connected_components,
+    saved,
+    table,
+)
 
 SHINGLE_WORDS = 4
 #: Links need 100 * intersection >= SIMILAR * union.
@@ -359,3 +365,38 @@ def one_per_group(docs: DataFrame) -> DataFrame:
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = f"""
+with recursive words as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), '[^ \\t-\\r]+') as w
+    from documents
+), sets as (
+    select doc_id, case
+        when len(w) = 0 then []::varchar[]
+        when len(w) < {SHINGLE_WORDS} then [array_to_string(w, ' ')]
+        else list_distinct(list_transform(
+            range(1, len(w) - {SHINGLE_WORDS - 2}),
+            lambda i: array_to_string(w[i:i + {SHINGLE_WORDS - 1}], ' '))) end as s
+    from words
+), grams as (
+    select doc_id, unnest(s) as gram from sets
+), shared as (
+    select a.doc_id as a, b.doc_id as b, count(*) as n
+    from grams a join grams b on a.gram = b.gram and a.doc_id <> b.doc_id
+    group by a.doc_id, b.doc_id
+), links as (
+    select a, b from shared
+    join sets x on x.doc_id = a join sets y on y.doc_id = b
+    where 100 * n >= {SIMILAR} * (len(x.s) + len(y.s) - n)
+), reach(doc_id, other) as (
+    select doc_id, doc_id from sets
+    union
+    select reach.doc_id, links.b from reach join links on links.a = reach.other
+), least as (
+    select doc_id, min(other) as component_id from reach group by doc_id
+)
+select doc_id, len(s)::bigint as n_shingles, component_id, doc_id = component_id as kept
+from sets join least using (doc_id)
+"""

@@ -40,5 +40,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_url_filter": url_filter.OP4_SQL,
+        "op5_minhash": minhash.OP5_SQL,
         "op10_embedding_dedup": embedding_dedup.OP10_SQL,
     }
