@@ -285,6 +285,39 @@ def wire_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("delay_seconds", F.col("delay_seconds").cast("int"))
 
 
+@query(
+    f"""
+    with {sql.EXPLODED}
+    select model as model_id, id, 'STRING' as type_code,
+           case when ic is null then 'VOID' else 'BIGINT' end as icon_code, 'BIGINT' as delay_seconds,
+           case when lat is null then 'VOID' else 'OBJECT' end as position,
+           case when lat is null then 'VOID' else 'OBJECT' end as raw_position,
+           case when lon is not null then 'BIGINT' end as raw_longitude
+    from exploded where id <> ''
+    qualify row_number() over (partition by model, id order by event_id, pos) = 1
+    """
+)
+def wire_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON types of published values: those of the snapshot, nested ones included."""
+    documents = snapshot_documents(read_events(spark, sf_dir), "event_id")
+    message = publish_batch(documents, ["event_id"]).select(F.parse_json("value").alias("m"))
+
+    def kind(path: str) -> Column:
+        found = F.schema_of_variant(F.variant_get("m", path, "variant"))
+        return F.regexp_extract(found, "^[A-Z]+", 0)
+
+    return message.select(
+        F.variant_get("m", "$.trafficModelId", "string").alias("model_id"),
+        F.variant_get("m", "$.id", "string").alias("id"),
+        kind("$.typeCode").alias("type_code"),
+        kind("$.iconCode").alias("icon_code"),
+        kind("$.delaySeconds").alias("delay_seconds"),
+        kind("$.position").alias("position"),
+        F.coalesce(kind("$._raw.p"), F.lit("VOID")).alias("raw_position"),
+        kind("$._raw.p.x").alias("raw_longitude"),
+    )
+
+
 @query(
     f"""
     with {sql.EVENT_COLUMNS}

@@ -4,9 +4,12 @@ from roadpulse.operators.gold import aggregate_windows, closed_only, watermarked
 from roadpulse.operators.silver import normalize
 from roadpulse.operators.snapshots import (
     explode_snapshots,
+    explode_texts,
     flatten_incidents,
     incidents_per_snapshot,
     message_of_event,
+    read_position,
+    read_texts,
     to_messages,
     with_id,
 )
@@ -18,6 +21,7 @@ __all__ = [
     "drop_seen",
     "drop_seen_within",
     "explode_snapshots",
+    "explode_texts",
     "first_per_key",
     "flatten_incidents",
     "incidents_per_snapshot",
@@ -25,6 +29,8 @@ __all__ = [
     "message_of_event",
     "normalize",
     "parse_events",
+    "read_position",
+    "read_texts",
     "split_malformed",
     "stamp_events",
     "to_messages",

@@ -49,6 +49,39 @@ def _elements(parsed: Column, payload: str, element: DataType) -> Column:
     return F.coalesce(parsed, F.transform(texts, lambda text: F.from_json(text, element)))
 
 
+def explode_texts(documents: DataFrame, payload: str = "payload") -> DataFrame:
+    """One row per element of ``tm.poi`` as the JSON text it came as, the document read once.
+
+    Adds ``trafficModelId``, ``position_in_snapshot``, ``text`` and ``incident`` (its id only, as
+    text). For plans that drop repeats before they look at the other keys; ``read_texts`` reads
+    those of what is left.
+    """
+    kept = [name for name in documents.columns if name != payload]
+    model = F.from_json(payload, snapshot_of(StringType()))["tm"]
+    only_id = StructType([StructField("id", StringType())])
+    return (
+        documents.select(*kept, model.alias("_model"))
+        .select(
+            *kept,
+            F.coalesce("_model.@id", F.lit("")).alias("trafficModelId"),
+            F.posexplode("_model.poi").alias("position_in_snapshot", "text"),
+        )
+        .withColumn("incident", F.from_json("text", only_id))
+    )
+
+
+def read_texts(incidents: DataFrame) -> DataFrame:
+    """Rows of ``explode_texts`` with ``incident`` and ``_raw`` as ``explode_snapshots`` has them."""
+    return incidents.withColumn("_raw", F.from_json("text", TEXT_MAP)).withColumn(
+        "incident", F.from_json("text", INCIDENT)
+    )
+
+
+def read_position(text: str) -> Column:
+    """The position of an incident given as JSON text, as a text map."""
+    return F.from_json(text, StructType([StructField("p", TEXT_MAP)]))["p"]
+
+
 def with_id(incidents: DataFrame) -> DataFrame:
     """Drop incidents whose id is missing or empty."""
     return incidents.where(F.col("incident.id").isNotNull() & (F.col("incident.id") != ""))
@@ -83,9 +116,46 @@ def _last_of_each_key(texts: str) -> Column:
     return F.when(F.size(names) < F.size(texts), rebuilt).otherwise(F.col(texts))
 
 
-def to_messages(events: DataFrame) -> DataFrame:
-    """One ``value`` text per event. No key: the broker spreads the messages."""
-    return events.select(message_of_event().alias("value"))
+def to_messages(events: DataFrame, text: str | None = None) -> DataFrame:
+    """One ``value`` text per event. No key: the broker spreads the messages.
+
+    With the ``text`` of the incident every value keeps the JSON type it came with, and ``_raw``
+    is the incident itself. Without, or where an object holds a key twice, numbers and nested
+    values are texts; the parsed table is the same either way.
+    """
+    if text is None:
+        return events.select(message_of_event().alias("value"))
+    typed = F.coalesce(_typed_message(text), message_of_event())
+    return events.select(typed.alias("value"))
+
+
+def _typed_message(text: str) -> Column:
+    raw = F.try_parse_json(text)
+
+    def value(key: str) -> Column:
+        return F.try_variant_get(raw, f"$.{key}", "variant")
+
+    label = F.coalesce(
+        *[F.when(_counts(value(key)), value(key)) for key in ("r", "f")], value("t")
+    )
+    named = [value(key).alias(wire) for key, wire in RAW_TO_WIRE.items()]
+    fields = [F.col("trafficModelId"), *named, label.alias("area_hint"), raw.alias("_raw")]
+    return F.when(raw.isNotNull(), json_message(*fields))
+
+
+def _counts(value: Column) -> Column:
+    """Whether a JSON value says something: not null, empty, zero or false."""
+    kind = F.schema_of_variant(value)
+    text = F.try_variant_get(value, "$", "string")
+    return F.coalesce(
+        F.when(kind == "STRING", text != "")
+        .when(kind == "BOOLEAN", text == "true")
+        .when(kind == "VOID", F.lit(False))
+        .when(kind.startswith("OBJECT"), text != "{}")
+        .when(kind.startswith("ARRAY"), text != "[]")
+        .otherwise(text.try_cast("double") != 0),
+        F.lit(False),
+    )
 
 
 def message_of_event() -> Column:

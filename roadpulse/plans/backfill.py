@@ -10,10 +10,12 @@ from roadpulse.functions import incident_key
 from roadpulse.operators import (
     aggregate_windows,
     explode_snapshots,
+    explode_texts,
     first_per_key,
     flatten_incidents,
     normalize,
     parse_events,
+    read_texts,
     stamp_events,
     to_messages,
     with_id,
@@ -31,8 +33,12 @@ def new_incidents(documents: DataFrame, arrival: Sequence[str | Column]) -> Data
 
 
 def publish_batch(documents: DataFrame, arrival: Sequence[str | Column]) -> DataFrame:
-    """Messages a feed would have published for ``documents``."""
-    return to_messages(flatten_incidents(new_incidents(documents, arrival)))
+    """Messages a feed would have published for ``documents``, with the JSON types they came in."""
+    keyed = with_id(explode_texts(documents)).withColumn(
+        "key", incident_key("trafficModelId", "incident.id")
+    )
+    first = first_per_key(keyed, ["key"], [*arrival, "position_in_snapshot"])
+    return to_messages(flatten_incidents(read_texts(first), "text"), "text")
 
 
 def clean_table(

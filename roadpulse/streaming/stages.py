@@ -16,11 +16,13 @@ from roadpulse.operators import (
     aggregate_windows,
     drop_seen,
     drop_seen_within,
-    explode_snapshots,
+    explode_texts,
     first_per_key,
     flatten_incidents,
     normalize,
     parse_events,
+    read_position,
+    read_texts,
     split_malformed,
     to_messages,
     watermarked,
@@ -35,8 +37,7 @@ from roadpulse.sources.readers import ARRIVAL, SNAPSHOT_ORDER, exists
 def incident_rows(documents: DataFrame, config: FeedConfig) -> DataFrame:
     """Snapshot documents, as ``stream_snapshots`` gives them -> one row per incident with an id.
 
-    Flattening waits until repeats are dropped: the flat event carries its content twice (columns
-    and ``_raw``) and would double what is moved. The progress of the query reports the snapshots
+    An incident stays the text it came as until repeats are dropped; only its id is read. The progress of the query reports the snapshots
     read, how many of them are no JSON object, and the incidents in them, repeats included. The
     box is applied first: the feed would not have sent what lies outside.
     """
@@ -44,18 +45,17 @@ def incident_rows(documents: DataFrame, config: FeedConfig) -> DataFrame:
     polled = documents.observe(
         "polled", F.count("*").alias("snapshots"), F.count_if(unreadable).alias("unreadable")
     )
-    incidents = explode_snapshots(polled)
+    incidents = explode_texts(polled)
     if config.apply_bbox:
-        incidents = within_bbox(
-            incidents, config.bbox, "incident.p", config.lon_key, config.lat_key
-        )
+        placed = incidents.withColumn("_p", read_position("text"))
+        inside = within_bbox(placed, config.bbox, "_p", config.lon_key, config.lat_key)
+        incidents = inside.drop("_p")
     counted = incidents.observe("exploded", F.count("*").alias("incidents"))
     return with_id(counted).select(
         *SNAPSHOT_ORDER,
         "position_in_snapshot",
         "trafficModelId",
-        "incident",
-        "_raw",
+        "text",
         F.unhex(incident_key("trafficModelId", "incident.id")).alias("key"),
     )
 
@@ -66,7 +66,7 @@ def message_rows(first: DataFrame, config: FeedConfig) -> DataFrame:
         fresh = drop_seen_within(first, "key", ARRIVAL, config.dedup_bound)
     else:
         fresh = drop_seen(first)
-    return to_messages(flatten_incidents(fresh))
+    return to_messages(flatten_incidents(read_texts(fresh), "text"), "text")
 
 
 def bronze_rows(messages: DataFrame, config: FeedConfig | None = None) -> DataFrame:
@@ -150,7 +150,7 @@ def start_publish(
         [
             *[F.col(name).asc_nulls_last() for name in SNAPSHOT_ORDER],
             F.col("position_in_snapshot"),
-            F.to_json("incident"),
+            F.col("text"),
         ],
         config.first_copies_path,
         f"{base}/poll",
