@@ -7,7 +7,7 @@ latent space. Every document is projected into it, its cosines with all labelled
 computed exactly, block by block, and the nearest vote with their similarity as weight.
 
 The model is fitted on a bounded sample of the labelled rows (``MOST_PER_LABEL`` of each label,
-chosen by a hash of the doc_id; documented bound), so it is a few megabytes whatever the corpus,
+chosen by a hash of the doc_id; documented bound), so it is less than a megabyte whatever the corpus,
 and it is broadcast. Scoring is a map over whole texts: no shuffle.
 """
 
@@ -25,14 +25,16 @@ from pyspark.sql import functions as F
 from roadpulse.llm.common import table
 
 #: Labelled rows of each label (good and bad) that a model is fitted on, at most.
-MOST_PER_LABEL = 1500
+MOST_PER_LABEL = 1000
 #: Places that trigrams are hashed to; the term of repeated words has one more.
-TRIGRAMS = 2048
+TRIGRAMS = 1024
 #: Directions of the latent space.
 DIRECTIONS = 64
 NEIGHBOURS = 15
 #: Votes weigh cosine to this power: near neighbours count more.
 SHARPNESS = 4
+#: Weight of the prior beside the votes: what is like nothing labelled is not rejected for it.
+PRIOR_WEIGHT = 1.0
 #: Least score of a document that counts as good. Fixed value.
 GOOD = 0.7
 #: Documents compared with all labelled vectors at a time.
@@ -63,6 +65,13 @@ def terms(text: str | None) -> np.ndarray:
     return damped
 
 
+def project(rows: np.ndarray, projection: np.ndarray) -> np.ndarray:
+    """Unit vectors of the latent space (zero for rows without terms)."""
+    points = (rows @ projection).astype(np.float32)
+    lengths = np.linalg.norm(points, axis=1, keepdims=True)
+    return np.divide(points, lengths, out=np.zeros_like(points), where=lengths > 0)
+
+
 @dataclass(frozen=True)
 class Model:
     """Projection of term vectors, unit labelled vectors, their labels, and the prior score."""
@@ -72,11 +81,6 @@ class Model:
     labels: np.ndarray
     prior: float
 
-    def project(self, rows: np.ndarray) -> np.ndarray:
-        points = (rows @ self.projection).astype(np.float32)
-        lengths = np.linalg.norm(points, axis=1, keepdims=True)
-        return np.divide(points, lengths, out=np.zeros_like(points), where=lengths > 0)
-
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """Scores from 0 to 1; a text without terms, or like none labelled, gets the prior."""
         scores = np.full(len(texts), self.prior)
@@ -84,14 +88,14 @@ class Model:
             return scores
         k = min(NEIGHBOURS, len(self.labels))
         for at in range(0, len(texts), BLOCK):
-            points = self.project(np.stack([terms(x) for x in texts[at : at + BLOCK]]))
+            rows = np.stack([terms(x) for x in texts[at : at + BLOCK]])
+            points = project(rows, self.projection)
             cosines = points @ self.vectors.T
             nearest = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
             weights = np.maximum(np.take_along_axis(cosines, nearest, axis=1), 0) ** SHARPNESS
-            total = weights.sum(axis=1)
-            votes = (weights * self.labels[nearest]).sum(axis=1)
-            told = total > 0
-            scores[at : at + BLOCK][told] = np.clip(votes[told] / total[told], 0, 1)
+            votes = (weights * self.labels[nearest]).sum(axis=1) + PRIOR_WEIGHT * self.prior
+            found = votes / (weights.sum(axis=1) + PRIOR_WEIGHT)
+            scores[at : at + BLOCK] = np.clip(found, 0, 1)
         return scores
 
 
@@ -135,16 +139,16 @@ def fit(docs: DataFrame, labels: DataFrame, most_per_label: int = MOST_PER_LABEL
         empty = np.zeros((0, DIRECTIONS), np.float32)
         return Model(np.zeros((TRIGRAMS + 1, DIRECTIONS), np.float32), empty, np.zeros(0), prior)
     found = found.sort_values("doc_id")
-    rows = np.stack([np.frombuffer(x, np.float32) for x in found["terms"]]).astype(np.float64)
-    frequency = (rows > 0).sum(axis=0)
-    inverse = np.log((1 + len(rows)) / (1 + frequency)) + 1
-    weighted = rows * inverse
+    rows = np.stack([np.frombuffer(x, np.float32) for x in found.pop("terms")])
+    inverse = (np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))) + 1).astype(np.float32)
     # The right singular vectors are the eigenvectors of the terms' products.
-    _, directions = np.linalg.eigh(weighted.T @ weighted)
-    directions = directions[:, ::-1][:, :DIRECTIONS]
-    projection = (inverse[:, None] * directions).astype(np.float32)
-    model = Model(projection, np.zeros((0, DIRECTIONS), np.float32), np.zeros(0), prior)
-    points = model.project(rows)
+    products = np.zeros((len(inverse), len(inverse)))
+    for at in range(0, len(rows), BLOCK):
+        weighted = rows[at : at + BLOCK] * inverse
+        products += weighted.T @ weighted
+    _, directions = np.linalg.eigh(products)
+    projection = (inverse[:, None] * directions[:, ::-1][:, :DIRECTIONS]).astype(np.float32)
+    points = project(rows, projection)
     return Model(projection, points, found["good"].to_numpy(dtype=np.float64), prior)
 
 
