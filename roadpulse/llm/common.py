@@ -55,7 +55,17 @@ def saved(rows: DataFrame, purpose: str) -> DataFrame:
     spark = rows.sparkSession
     path = new_work_dir(spark, purpose)
     rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    found = spark.read.schema(rows.schema).parquet(path)
+    found.saved_path = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of ``saved`` tables that no plan will read any more."""
+    for rows in tables:
+        path = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(rows.saved_path)
+        hadoop = rows.sparkSession._jsc.hadoopConfiguration()
+        path.getFileSystem(hadoop).delete(path, True)
 
 
 def ascii_lower(text: Column) -> Column:
@@ -64,48 +74,56 @@ def ascii_lower(text: Column) -> Column:
 
 
 def connected_components(edges: DataFrame, purpose: str) -> DataFrame:
-    """(id, component) for every id in ``edges`` (a, b): the smallest id that links reach.
-
-    Alternates the large-star and small-star steps of Kiveris et al. (2014) until the edges
-    stop changing: each step joins every edge with the minimum of one endpoint's neighbours, so
-    a hub costs rows in proportion to its edges, the minimum is pre-aggregated before its
-    shuffle, and the skewed side of the join can be split. No component is gathered anywhere.
-    Loops, repeated edges, null ends and an empty table are fine: nulls are dropped and an id
-    that only has a loop is its own component.
+    """(id, component) for every id that ``edges`` (a, b) links with another: the smallest reached.
+
+    Alternates the large-star and small-star steps of Kiveris et al. (2014) until the edges are
+    stars: each step joins every edge with the minimum of one endpoint's neighbours, so a hub
+    costs rows in proportion to its edges, the minimum is pre-aggregated before its shuffle, and
+    the skewed side of the join can be split. No component is gathered anywhere. Loops, repeated
+    edges, null ends and an empty table are fine: an id without a link to another has no row.
+    The result is written; ``discard`` it after use.
     """
-    edges = edges.select(F.col("a").alias("a"), F.col("b").alias("b")).na.drop()
-    known = saved(edges.select("a", "b").distinct(), f"{purpose}-links")
-    current = known.where("a <> b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    ).distinct()
-    current = saved(current, f"{purpose}-star")
-    before = None
-    while True:
-        mark = current.agg(
-            F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
-        ).first()
-        if mark == before or mark["n"] == 0:
-            break
-        before = mark
-        current = saved(_star(_star(current, large=True), large=False), f"{purpose}-star")
-    roots = current.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    ids = known.select(F.col("a").alias("id")).union(known.select("b")).distinct()
-    return ids.join(roots, "id", "left").select(
-        "id", F.coalesce("component", "id").alias("component")
+    edges = edges.select("a", "b").na.drop().where("a <> b")
+    current = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    current = saved(current.distinct(), f"{purpose}-star")
+    while not _are_stars(current):
+        wide, least = _large_star(current, purpose)
+        after = saved(_small_star(wide), f"{purpose}-star")
+        discard(current, least)
+        current = after
+    named = current.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    roots = current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
+    found = saved(named.union(roots), f"{purpose}-components")
+    discard(current)
+    return found
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every edge (a, b), a > b, leads from a node with one edge to a node with none."""
+    ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("out")).union(
+        edges.select("b", F.lit(0)).distinct()
+    )
+    sums = ends.groupBy("id").agg(F.sum("out").alias("out"), F.count("*").alias("rows"))
+    # A node that is only an a has as many rows as edges; one that is also a b has one more.
+    return sums.where("out > 1 or (out = 1 and rows > 1)").isEmpty()
+
+
+def _large_star(edges: DataFrame, purpose: str) -> tuple[DataFrame, DataFrame]:
+    """Links each node's larger neighbours with the least of it and its neighbours."""
+    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.min("b").alias("m"))
+    # Written, so that both sides of the join are shuffled for it and a hub's edges can be
+    # split over tasks: a component of a third of all ids has such a hub.
+    least = saved(least.select("a", F.least("a", "m").alias("m")), f"{purpose}-least")
+    joined = both.join(least, "a").where("b > a")
+    return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), least
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Links each node and its smaller neighbours with the least of these."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    joined = edges.join(least, "a")
+    linked = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
+        joined.select("a", F.col("m").alias("b"))
     )
-
-
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step over edges (a, b) with a > b; so are the edges it returns."""
-    if large:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        least = least.select("a", F.least("a", "m").alias("m"))
-        linked = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        least = edges.groupBy("a").agg(F.min("b").alias("m"))
-        joined = edges.join(least, "a")
-        linked = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            joined.select("a", F.col("m").alias("b"))
-        )
     return linked.where("a <> b").distinct()

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import connected_components, saved, table
+from roadpulse.llm.common import connected_components, discard, saved, table
 
 COSINE = 0.93
 #: Blocks the rotated vectors are cut into, and coordinates of a block that make its grid.
@@ -198,14 +198,16 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     )
     found = saved(_found(classes, cosine), "embedding-found")
     counts = found.where("n is not null").groupBy("a").agg(F.sum("n").alias("others"))
-    parts = connected_components(found.where("b is not null"), "embedding")
+    parts = connected_components(found.where("b is not null").select("a", "b"), "embedding")
     named = classes.select("id", "least", "size").join(counts, F.col("id") == F.col("a"), "left")
     named = named.drop("a").join(parts, "id", "left")
     named = saved(
         named.withColumn("component", F.coalesce("component", "id")), "embedding-named"
     )
     roots = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = saved(named.join(roots, "component"), "embedding-roots").select(
+    ready = saved(named.join(roots, "component"), "embedding-roots")
+    discard(classes, found, parts, named)
+    named = ready.select(
         F.col("id").alias("class"),
         (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
         "component_id",

@@ -34,6 +34,7 @@ from roadpulse.llm.common import (
     ASCII_LOWER,
     ASCII_UPPER,
     connected_components,
+    discard,
     saved,
     table,
 )
@@ -185,7 +186,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n")),
         "minhash-classes",
     )
-    links = _links(docs, signed, classes)
+    links, used = _links(docs, signed, classes)
+    links = saved(links, "minhash-found")
+    discard(*used)
     # Rows of one doc_id that differ in text: their classes are linked through the document.
     placed = signed.where("digest is not null and doc_id is not null").join(
         classes.select("digest", "id"), "digest"
@@ -193,11 +196,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     several = placed.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("most"))
     several = several.where("a < most").select("doc_id", "a")
     same = several.join(placed, "doc_id").select("a", F.col("id").alias("b")).where("a <> b")
-    parts = saved(connected_components(links.union(same), "minhash"), "minhash-parts")
+    parts = connected_components(links.union(same), "minhash")
     roots = classes.join(parts, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component_id")
     )
     roots = saved(roots, "minhash-roots")
+    discard(links, classes, parts)
     rows = signed.drop("keys").join(roots, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.select(
@@ -205,8 +209,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _links(docs: DataFrame, signed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Confirmed links (a, b) between classes, enough of them to give every component."""
+def _links(
+    docs: DataFrame, signed: DataFrame, classes: DataFrame
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Confirmed links (a, b) between classes, enough of them to give every component, and the
+    written tables that they are read from."""
     wanted = signed.where("digest is not null and doc_id is not null").join(
         classes.select("digest", "id"), "digest"
     )
@@ -223,6 +230,7 @@ def _links(docs: DataFrame, signed: DataFrame, classes: DataFrame) -> DataFrame:
         "minhash-buckets",
     )
     members = saved(keyed.join(buckets, "key"), "minhash-members")
+    discard(keyed, buckets)
     ids = saved(members.select("id").distinct(), "minhash-ids")
     sets = saved(
         docs.withColumnRenamed("doc_id", "id")
@@ -232,24 +240,31 @@ def _links(docs: DataFrame, signed: DataFrame, classes: DataFrame) -> DataFrame:
         .where(F.size("shingles") > 0),
         "minhash-sets",
     )
-    alone = ids.select("id", F.col("id").alias("component"))
-    parts, links = alone, None
+    parts = None
     for rows in (members.where("early"), members):
-        pairs = saved(_star_pairs(rows, parts), "minhash-pairs")
-        found = saved(_confirmed(pairs, sets), "minhash-found")
-        links = found if links is None else links.union(found)
-        linked = saved(connected_components(links, "minhash"), "minhash-linked")
-        parts = alone.select("id").join(linked, "id", "left")
-        parts = saved(
-            parts.select("id", F.coalesce("component", "id").alias("component")),
-            "minhash-parts",
-        )
-    return links.union(saved(_block_links(members, parts, sets), "minhash-found"))
+        found = saved(_confirmed(_star_pairs(rows, parts), sets), "minhash-found")
+        links = found if parts is None else found.union(_star_edges(parts))
+        before, parts = parts, connected_components(links, "minhash")
+        discard(found, *([] if before is None else [before]))
+    # What the stars link, and what blocks add to it.
+    links = _star_edges(parts).union(_block_links(members, parts, sets))
+    return links, [members, ids, sets, parts]
+
+
+def _star_edges(parts: DataFrame) -> DataFrame:
+    return parts.select(F.col("id").alias("a"), F.col("component").alias("b"))
+
+
+def _with_components(rows: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """Rows with the component of their ``id``: itself where nothing is linked with it."""
+    if parts is None:
+        return rows.withColumn("component", F.col("id"))
+    return rows.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
 
-def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
+def _mixed(members: DataFrame, parts: DataFrame | None) -> DataFrame:
     """(key, id, n, component, center) of the buckets that hold several components."""
-    placed = saved(members.select("id", "n", "key").join(parts, "id"), "minhash-placed")
+    placed = _with_components(members.select("id", "n", "key"), parts)
     mixed = (
         placed.groupBy("key")
         .agg(
@@ -262,7 +277,7 @@ def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
     return placed.join(saved(mixed.select("key", "center"), "minhash-mixed"), "key")
 
 
-def _star_pairs(members: DataFrame, parts: DataFrame) -> DataFrame:
+def _star_pairs(members: DataFrame, parts: DataFrame | None) -> DataFrame:
     """Pairs (a < b) of a bucket's smallest member and its members of other components.
 
     Pairs whose sizes alone rule a link out are left out: exact.
@@ -281,11 +296,11 @@ def _block_links(members: DataFrame, parts: DataFrame, sets: DataFrame) -> DataF
     fields = connected_components(
         mixed.select(F.col("id").alias("a"), F.col("center").alias("b")), "minhash-fields"
     )
-    fields = saved(fields.withColumnRenamed("component", "field"), "minhash-fields")
+    fields = fields.withColumnRenamed("component", "field")
     sizes = fields.groupBy("field").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     sizes = saved(sizes, "minhash-sizes")
     chunk = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
-    placed = fields.join(sizes, "field").join(parts, "id").withColumn("chunk", chunk)
+    placed = _with_components(fields.join(sizes, "field"), parts).withColumn("chunk", chunk)
     blocks = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     blocks = blocks.select(
         "field",

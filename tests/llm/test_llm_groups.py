@@ -64,7 +64,7 @@ def test_components(spark):
     for a, b in edges:
         if a is not None and b is not None:
             groups.link(a, b)
-    ids = {x for a, b in edges if a is not None and b is not None for x in (a, b)}
+    ids = {x for a, b in edges if None not in (a, b) and a != b for x in (a, b)}
     rows = connected_components(spark.createDataFrame(edges, "a long, b long"), "test")
     assert {r.id: r.component for r in rows.collect()} == {x: groups.root(x) for x in ids}
     empty = spark.createDataFrame([], "a long, b long")
