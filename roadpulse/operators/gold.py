@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions import tumbling
@@ -47,12 +47,21 @@ def aggregate_windows(
 
 
 def closed_only(
-    windows: DataFrame, rows: DataFrame, delay: str = "30 minutes", time: str = "event_ts"
+    windows: DataFrame,
+    rows: DataFrame | None = None,
+    delay: str = "30 minutes",
+    time: str = "event_ts",
+    *,
+    latest: Column | None = None,
 ) -> DataFrame:
     """Windows a stream in append mode has emitted once ``rows`` have all arrived in order.
 
-    A window is closed when its end is not after the greatest event time minus ``delay``. The
-    bound is one value, read by a scalar subquery over one column of ``rows``.
+    A window is closed when its end is not after the greatest event time minus ``delay``. That
+    time is read by a scalar subquery over one column of ``rows``; where reading them again is
+    dear (they are parsed, not a table), give it as ``latest`` instead.
     """
-    bound = rows.select(F.max(time) - F.expr(f"interval {delay}")).scalar()
-    return windows.where(F.col("window_end") <= bound)
+    if (rows is None) == (latest is None):
+        raise ValueError("give either the rows or the latest event time")
+    if latest is None:
+        latest = rows.select(F.max(time)).scalar()
+    return windows.where(F.col("window_end") <= latest - F.expr(f"interval {delay}"))

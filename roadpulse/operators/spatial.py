@@ -12,13 +12,20 @@ def within_bbox(
     position: str = "position",
     lon_key: str = "x",
     lat_key: str = "y",
+    *,
+    columns: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Rows inside ``(minLon, minLat, maxLon, maxLat)``, edges included.
 
-    Positions are text maps; a missing or unreadable coordinate is outside.
+    Positions are text maps; a missing or unreadable coordinate is outside. A table that has
+    the coordinates as numeric ``columns`` (longitude, latitude) is better asked for these: the
+    bounds then reach the scan, which skips row groups by their statistics.
     """
     min_lon, min_lat, max_lon, max_lat = bbox
-    place = F.col(position)
-    lon = place[lon_key].try_cast("double")
-    lat = place[lat_key].try_cast("double")
+    if columns is None:
+        place = F.col(position)
+        lon = place[lon_key].try_cast("double")
+        lat = place[lat_key].try_cast("double")
+    else:
+        lon, lat = map(F.col, columns)
     return rows.where(lon.between(min_lon, max_lon) & lat.between(min_lat, max_lat))

@@ -162,3 +162,18 @@ def test_day_follows_the_session_zone(spark):
         assert str(normalize(rows).select("event_date").first()[0]) == "2024-01-01"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_closed_windows_by_a_given_time(spark):
+    from roadpulse.operators import aggregate_windows, closed_only
+
+    rows = spark.sql(
+        "select '8' as typeCode, 'r' as road, 1 as delay_seconds, "
+        "timestamp '2024-01-01' + make_dt_interval(0, 0, cast(id as int)) as event_ts from range(60)"
+    )
+    windows = aggregate_windows(rows)
+    read = closed_only(windows, rows)
+    given = closed_only(windows, latest=F.lit("2024-01-01 00:59:00").cast("timestamp"))
+    assert sorted(read.collect()) == sorted(given.collect()) and read.count() == 2
+    with pytest.raises(ValueError):
+        closed_only(windows)

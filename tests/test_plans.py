@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from roadpulse import catalog
 from roadpulse.operators import (
     aggregate_windows,
     first_per_key,
@@ -93,13 +93,13 @@ def test_silver_reads_only_what_it_keeps(spark, plan, tmp_path):
     assert "_raw" not in re.search(r"ReadSchema: (.*)", text).group(1)
 
 
-BATCH = [name for name in contract.queries() if not name.endswith(("_stream", "_chain", "_settled"))
+BATCH = [name for name in catalog.queries() if not name.endswith(("_stream", "_chain", "_settled"))
          and name != "dedup_stream_hot_keys"]
 
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_no_cross_join(spark, plan, name):
-    text = plan(contract.queries()[name](spark, SF_DIR))
+    text = plan(catalog.queries()[name](spark, SF_DIR))
     for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in text
     if name != "gold_10m_closed":  # its bound is one row

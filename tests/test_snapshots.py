@@ -240,3 +240,13 @@ def test_bbox_key_names_are_parameters(spark):
 def test_other_columns_of_a_document_are_kept(spark):
     rows = documents(spark, snapshot({"id": "a"})).withColumn("origin", F.lit("file"))
     assert explode_snapshots(rows).columns[:2] == ["n", "origin"]
+
+
+def test_box_on_numeric_columns_reaches_the_scan(spark, tmp_path, plan):
+    rows = [(1, -122.4, 37.75), (2, 0.0, 0.0), (3, None, 37.75), (4, -122.52, 37.83)]
+    spark.createDataFrame(rows, "id int, lon double, lat double").write.parquet(str(tmp_path / "t"))
+    found = within_bbox(
+        spark.read.parquet(str(tmp_path / "t")), (-122.52, 37.70, -122.35, 37.83), columns=("lon", "lat")
+    )
+    assert sorted(r.id for r in found.collect()) == [1, 4]
+    assert "GreaterThanOrEqual(lon,-122.52)" in plan(found)
