@@ -43,6 +43,9 @@ REMEMBERED_WORDS = 250_000
 #: Pairs of ids whose compatibility a task remembers.
 REMEMBERED_PAIRS = 250_000
 
+#: Texts whose ids a task holds before it passes them on.
+HELD_TEXTS = 512
+
 #: Longer words (runs of one class of characters) are encoded but not remembered.
 REMEMBERED_LENGTH = 64
 
@@ -237,7 +240,9 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     def ids_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         pairs = vocabulary(place)
         for batch in texts:
-            yield pd.Series([pairs.encode(text or "") for text in batch], dtype=object)
+            for at in range(0, len(batch), HELD_TEXTS):
+                part = batch.iloc[at : at + HELD_TEXTS]
+                yield pd.Series([pairs.encode(text or "") for text in part], dtype=object)
 
     return docs.withColumn("token_ids", ids_of("text"))
 

@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,7 @@ from roadpulse.llm.common import (
     ASCII_UPPER,
     connected_components,
     discard,
+    named,
     saved,
     table,
 )
@@ -143,20 +145,26 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each row: doc_id, size, digest and band keys of its set. Few texts are held at a time."""
     for batch in batches:
-        n, digests, keys = [], [], []
-        for shingles in shingle_sets(list(batch["text"])):
-            n.append(len(shingles))
-            if len(shingles):
-                digests.append(xxhash.xxh3_128_digest(shingles.tobytes()))
-                keys.append(band_keys(signature(shingles)))
-            else:
-                digests.append(None)
-                keys.append(None)
-        yield pd.DataFrame(
-            {"doc_id": batch["doc_id"], "n_shingles": n, "digest": digests, "keys": keys}
-        )
+        for at in range(0, len(batch), 256):
+            part = batch.slice(at, 256)
+            n, digests, keys = [], [], []
+            for shingles in shingle_sets(part.column("text").to_pylist()):
+                n.append(len(shingles))
+                known = len(shingles) > 0
+                digests.append(xxhash.xxh3_128_digest(shingles.tobytes()) if known else None)
+                keys.append(band_keys(signature(shingles)) if known else None)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    pa.array(n, pa.int64()),
+                    pa.array(digests, pa.binary()),
+                    pa.array(keys, pa.list_(pa.int64())),
+                ],
+                ["doc_id", "n_shingles", "digest", "keys"],
+            )
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,7 +183,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     signed = saved(
-        docs.mapInPandas(
+        docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
             _sign, "doc_id long, n_shingles long, digest binary, keys array<long>"
         ),
         "minhash-signed",
@@ -372,7 +380,7 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     """
     groups = near_duplicates(docs).where("kept").select("doc_id").distinct()
     with_id = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return with_id.join(groups, "doc_id", "left_semi").select(docs.columns).unionByName(
+    return with_id.join(groups, "doc_id", "left_semi").select(named(docs)).unionByName(
         docs.where("doc_id is null")
     )
 
