@@ -68,6 +68,11 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(hadoop).delete(path, True)
 
 
+def named(rows: DataFrame) -> list[Column]:
+    """All columns, also those with a dot or a quote in their name."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in rows.columns]
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower case for A-Z alone; every other character stays."""
     return F.translate(text, ASCII_UPPER, ASCII_LOWER)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import WORD, saved, table
+from roadpulse.llm.common import WORD, named, saved, table
 
 #: Documents that a leaf folds on average, and residuals that an inner node folds.
 FAN_IN = 256
@@ -274,5 +274,5 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     own = F.when(F.col("_mix_size") == 0, 1).otherwise(own).cast("int")
     return (
         both.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(1), own)))
-        .select(docs.columns)
+        .select(named(docs))
     )

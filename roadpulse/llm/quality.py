@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import table
+from roadpulse.llm.common import named, table
 
 #: Labelled rows of each label (good and bad) that a model is fitted on, at most.
 MOST_PER_LABEL = 1000
@@ -168,7 +168,7 @@ def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` with a score of at least GOOD, columns unchanged."""
     name = "_quality_score"
     scored = with_scores(docs, fit(docs, labels), name)
-    return scored.where(F.col(name) >= GOOD).select([F.col(f"`{x}`") for x in docs.columns])
+    return scored.where(F.col(name) >= GOOD).select(named(docs))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

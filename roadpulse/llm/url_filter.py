@@ -29,7 +29,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import ASCII_LOWER, ASCII_UPPER, ascii_lower, saved, table
+from roadpulse.llm.common import ASCII_LOWER, ASCII_UPPER, ascii_lower, named, saved, table
 
 # The rules of the registered query (verdict, host, beginning of the path).
 RULES = (
@@ -194,7 +194,7 @@ def _judge_by_index(
 
     judge = F.pandas_udf(judged, "host string, path string, rule string, verdict string")
     return pages.withColumn("_judged", judge("url")).select(
-        *[F.col(f"`{name}`") for name in pages.columns], "_judged.*"
+        *named(pages), "_judged.*"
     )
 
 
@@ -236,7 +236,7 @@ def _judge_by_join(
         best, F.col("url") == F.col("of"), "left"
     )
     return joined.select(
-        *[F.col(f"`{name}`") for name in pages.columns],
+        *named(pages),
         "host",
         "path",
         "rule",

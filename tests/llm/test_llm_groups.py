@@ -410,3 +410,33 @@ def test_pipeline_on_nothing(spark, tmp_path):
     spark.createDataFrame([], shape).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_stages_keep_odd_columns(spark):
+    """Extra columns, also with names that operators use themselves or that need quotes."""
+    rows = [(i, f"some words of text number {i}", "s", 1, "x", "y") for i in range(6)]
+    names = ["doc_id", "text", "source", "id", "a.b", "n`c"]
+    docs = spark.createDataFrame(rows, names)
+    labels = spark.createDataFrame([(0, 1)], "doc_id long, quality int")
+    kept = minhash.one_per_group(quality.good_documents(docs, labels))
+    assert kept.columns == names and kept.count() == 6
+    assert mixing.mixed_documents(kept).columns == names
+    pages = docs.withColumn("url", F.lit("http://net/es/")).withColumn("rule", F.lit("old"))
+    judged = url_filter.judge_urls(pages, rules(spark))
+    assert judged.columns == [*names, "url", "host", "path", "rule", "verdict"]
+    assert {r.rule for r in judged.collect()} == {"net/es/"}
+
+
+def test_consumed_tables_can_be_discarded(spark):
+    from roadpulse.llm.common import discard, saved
+
+    rows = saved(spark.range(3).toDF("id"), "test")
+    assert rows.count() == 3 and os.path.isdir(rows.saved_path.removeprefix("file:"))
+    discard(rows)
+    assert not os.path.exists(rows.saved_path.removeprefix("file:"))
+
+
+def test_components_of_text_ids(spark):
+    edges = spark.createDataFrame([("c", "b"), ("b", "a"), ("x", "y")], "a string, b string")
+    found = {r.id: r.component for r in connected_components(edges, "test").collect()}
+    assert found == {"a": "a", "b": "a", "c": "a", "x": "x", "y": "x"}
