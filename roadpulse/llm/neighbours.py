@@ -14,7 +14,7 @@ does. In the graph vectors are kept as bytes with a scale, for moving, not for r
 Scale. Rounds start from cells of a few random hyperplanes, dealt to chunks of bounded size. A
 node joins at most LINKS + BACKLINKS others: backlinks of hubs are thinned by a hash, never
 gathered. Equal vectors are one node from the start, whatever their number, and results take the
-smallest ids of each. Lists are kept as bytes; a round shuffles each node's code once per link.
+smallest ids of each. Queries start from different nodes of a pool, so that none is hot. Lists are kept as bytes; a round shuffles each node's code once per link.
 The search moves beams to nodes and offers back to beams; the graph is bucketed by node, so its
 lists are read where they lie. Work grows with nodes times links, and queries times beam.
 """
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import saved, table
+from roadpulse.llm.common import discard, saved, table
 from roadpulse.llm.embedding_dedup import usable
 from roadpulse.session import new_work_dir
 
@@ -43,8 +43,8 @@ PARTITIONS, CHUNK = 6, 1024
 ROUNDS, OFFERS = 2, 8
 #: Nodes a query keeps, opens at a time, and scores again; steps after which it ends at the latest.
 BEAM, OPENED, SCORED, STEPS = 256, 64, 64, 30
-#: Nodes chosen by hash where every query starts, besides its own node if it has one.
-ENTRIES = 32
+#: Nodes chosen by hash, and how many of them, the nearest, a query starts from besides its own.
+POOL, ENTRIES = 1024, 16
 
 
 def encode(vectors: np.ndarray) -> list[bytes]:
@@ -268,7 +268,8 @@ def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, floa
     lists = saved(_merged(_first_lists(coded, size["n"])), "nn-lists")
     for step in range(rounds):
         offers = _round(_members(lists, coded, step))
-        lists = saved(_merged(offers.union(lists)), "nn-lists")
+        before, lists = lists, saved(_merged(offers.union(lists)), "nn-lists")
+        discard(before)
 
     def flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,15 +294,24 @@ def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, floa
     )
     name = f"nn_graph_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    graph.repartition(buckets, "node").write.bucketBy(buckets, "node").option(
-        "path", new_work_dir(spark, "nn-graph")
-    ).format("parquet").saveAsTable(name)
-    return spark.table(name), longest
+    path = new_work_dir(spark, "nn-graph")
+    writer = graph.repartition(buckets, "node").write.bucketBy(buckets, "node")
+    writer.option("path", path).format("parquet").saveAsTable(name)
+    discard(coded, lists)
+    found = spark.table(name)
+    found.saved_path, found.saved_name = path, name
+    return found, longest
+
+
+def drop_graph(graph: DataFrame) -> None:
+    """Remove a graph that no plan will read any more."""
+    graph.sparkSession.sql(f"drop table {graph.saved_name}")
+    discard(graph)
 
 
 def _entries(nodes: DataFrame, longest: float) -> tuple[np.ndarray, np.ndarray]:
-    """ENTRIES nodes and their vectors: a bounded sample."""
-    rows = nodes.orderBy(F.xxhash64("node")).limit(ENTRIES).select("node", "embedding").toPandas()
+    """POOL nodes and their vectors: a bounded sample."""
+    rows = nodes.orderBy(F.xxhash64("node")).limit(POOL).select("node", "embedding").toPandas()
     if rows.empty:
         return np.empty(0, np.int64), np.empty((0, 0))
     return rows["node"].to_numpy(), _lengthened(rows["embedding"], longest)
@@ -325,9 +335,10 @@ def search_graph(queries: DataFrame, nodes: DataFrame, graph: DataFrame, longest
             scores = wide @ entry_vectors.T
             beams = []
             for own, row in zip(batch["node"], scores):
+                best = np.argsort(-row)[:ENTRIES]
                 # Its own node is opened first, whatever its length.
-                ids = np.append(entry_ids, np.int64(own))
-                beams.append(pack(*nearest(ids, np.append(row, 2.0), BEAM)))
+                ids = np.append(entry_ids[best], np.int64(own))
+                beams.append(pack(*nearest(ids, np.append(row[best], 2.0), BEAM)))
             yield pd.DataFrame(
                 {
                     "query": batch["query"],
@@ -460,6 +471,7 @@ def nearest_rows(vectors: DataFrame, queries: Column, k: int) -> DataFrame:
     ends = saved(
         search_graph(asked.select("query", "node", "embedding"), nodes, graph, longest), "nn-ends"
     )
+    drop_graph(graph)
     # The smallest ids of equal vectors; a query needs k of them besides its own.
     by_id = W.partitionBy("node", "embedding").orderBy("vec_id")
     copies = (
