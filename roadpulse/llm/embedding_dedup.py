@@ -204,9 +204,13 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     named = saved(
         named.withColumn("component", F.coalesce("component", "id")), "embedding-named"
     )
-    roots = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Written, so that both sides of the join are shuffled for it and a large component can be
+    # split over tasks.
+    roots = saved(
+        named.groupBy("component").agg(F.min("least").alias("component_id")), "embedding-names"
+    )
     ready = saved(named.join(roots, "component"), "embedding-roots")
-    discard(classes, found, parts, named)
+    discard(classes, found, parts, named, roots)
     named = ready.select(
         F.col("id").alias("class"),
         (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
