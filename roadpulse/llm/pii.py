@@ -7,13 +7,15 @@ and PMI(t; e) = log2(p(e | t) / p(e)) what term t tells of it. The disclosure of
 ratio: 1 where t occurs only next to e. In a document that holds e, terms from GENERALISE on are
 generalised (a class stands for them) and from REMOVE on removed.
 
-Counts cover all documents. A term counts for an entity once for each *distinct* context (the
-words around a mention), so that copies of one text are one witness, and needs SUPPORT of them.
-
-Plan: one scan emits, per task, document counts of terms and the contexts of mentions; both are
-aggregated with map-side combine, so an entity or term that a third of the documents share is a
-row per task. Pairs that disclose go back to the documents that hold the entity by a join on
-doc_id, whose skewed side can be split, and a second scan marks them.
+Counts are documents throughout, copies included: those that hold the term, those that hold the
+entity, and those that hold both, wherever in the text. The *distinct* contexts (the words around
+a document's first mention) are the witnesses, so that copies of one text are one; a term needs
+SUPPORT of them.
+
+Plan: one scan emits, per task, document counts of terms and, for documents with entities, a row
+for each entity and term; both are aggregated with map-side combine. Pairs that disclose go back
+to the rows they come from by a join on entity and term, whose skewed side can be split, so no
+entity's documents meet the terms of its other documents; a second scan marks them.
 """
 
 from __future__ import annotations
@@ -46,7 +48,7 @@ TERM = re.compile(r"\w+")
 
 #: Terms on each side of a mention that make its context.
 CONTEXT = 10
-#: Distinct contexts in which a term must stand by an entity.
+#: Distinct contexts in which a term must occur with an entity.
 SUPPORT = 3
 #: Disclosure (share of the entity's information content) from which terms are generalised, and
 #: from which they are removed.
@@ -115,8 +117,8 @@ def entity(text: str, span: Span) -> str:
 
 
 def _observed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (entity, term, context, n): with entity and context, a term near a mention; with
-    entity alone, a mention in a document (doc_id); with term alone, n documents that hold it."""
+    """Rows (entity, term, context, doc_id, n): with entity and term, a document that holds both;
+    with entity alone, a document that holds it; with term alone, n documents that hold it."""
     held: Counter[str] = Counter()
     columns = ["entity", "term", "context", "doc_id", "n"]
 
@@ -132,8 +134,13 @@ def _observed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             held.update(set(map(str.lower, TERM.findall(text))))
             if spans:
                 own = None if pd.isna(doc_id) else int(doc_id)
-                rows += [(name, None, None, own, 1) for name in {entity(text, x) for x in spans}]
-                rows += _near(text, spans)
+                terms, contexts = _beside(text, spans)
+                for name, context in contexts.items():
+                    rows.append((name, None, None, own, 1))
+                    rows += [(name, term, context, own, 1) for term in terms]
+                    if len(rows) >= HELD_TERMS:
+                        yield emit(rows)
+                        rows = []
             if len(held) >= HELD_TERMS:
                 rows += [(None, term, None, None, n) for term, n in held.items()]
                 held.clear()
@@ -144,8 +151,8 @@ def _observed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield emit([(None, term, None, None, n) for term, n in held.items()])
 
 
-def _near(text: str, spans: list[Span]) -> set[tuple]:
-    """The terms near each mention; those inside any mention are left out."""
+def _beside(text: str, spans: list[Span]) -> tuple[set[str], dict[str, str]]:
+    """The distinct terms outside of all mentions, and per entity its first mention's context."""
     inside = sorted((start, end) for _, start, end in spans)
     terms, starts, at, reach = [], [], 0, 0
     for match in TERM.finditer(text):
@@ -155,15 +162,15 @@ def _near(text: str, spans: list[Span]) -> set[tuple]:
         if match.start() >= reach:
             terms.append(match[0].lower())
             starts.append(match.start())
-    found = set()
+    contexts: dict[str, str] = {}
     place = 0
     for span in sorted(spans, key=lambda x: x[1]):
         while place < len(starts) and starts[place] < span[1]:
             place += 1
-        around = terms[max(place - CONTEXT, 0) : place + CONTEXT]
-        context = hashlib.blake2b(" ".join(around).encode(), digest_size=16).hexdigest()
-        found |= {(entity(text, span), term, context, None, 1) for term in around}
-    return found
+        if (name := entity(text, span)) not in contexts:
+            around = " ".join(terms[max(place - CONTEXT, 0) : place + CONTEXT])
+            contexts[name] = hashlib.blake2b(around.encode(), digest_size=16).hexdigest()
+    return set(terms), contexts
 
 
 def disclosing_terms(
@@ -174,9 +181,12 @@ def disclosing_terms(
     support: int = SUPPORT,
 ) -> DataFrame:
     """(entity, term, kind): terms that disclose an entity, with what happens to them."""
-    near = observed.where("context is not null").select("entity", "term", "context").distinct()
-    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("together"))
-    pairs = saved(pairs.where(F.col("together") >= support), "pii-pairs")
+    near = observed.where("context is not null")
+    witnesses = near.groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
+    pairs = witnesses.groupBy("entity", "term").agg(
+        F.sum("n").alias("together"), F.count("*").alias("witnesses")
+    )
+    pairs = saved(pairs.where(F.col("witnesses") >= support), "pii-pairs")
     mentions = (
         observed.where("entity is not null and context is null")
         .join(pairs.select("entity").distinct(), "entity", "left_semi")
@@ -207,7 +217,7 @@ def find_personal(docs: DataFrame, **thresholds: float) -> DataFrame:
     """doc_id, text and ``pii_spans`` (array of (kind, first, last), sorted) of every row.
 
     Null and empty texts have no spans. Rows of equal doc_id (null too) share the terms that
-    their entities mark; each row keeps its own base spans. Other columns are ignored.
+    are marked in one of them; each row keeps its own base spans. Other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
     observed = saved(
@@ -217,8 +227,9 @@ def find_personal(docs: DataFrame, **thresholds: float) -> DataFrame:
         "pii-observed",
     )
     marked = saved(disclosing_terms(observed, docs.count(), **thresholds), "pii-terms")
-    holders = observed.where("entity is not null and context is null").select("entity", "doc_id")
-    own = holders.join(marked, "entity").groupBy("doc_id", "term").agg(F.max("kind").alias("kind"))
+    holders = observed.where("context is not null").select("entity", "term", "doc_id")
+    own = holders.join(marked, ["entity", "term"])
+    own = own.groupBy("doc_id", "term").agg(F.max("kind").alias("kind"))
     own = own.groupBy(F.col("doc_id").alias("of")).agg(
         F.collect_list(F.struct("term", "kind")).alias("terms")
     )

@@ -155,6 +155,19 @@ def test_disclosure_follows_the_formula(spark):
     assert found[0].kind == pii.KINDS.index("remove")
 
 
+def test_copies_do_not_hide_a_disclosing_term(spark):
+    # Three texts, forty copies of each; the term stands far from the address.
+    told = [
+        (100 * i + k, f"Quillon {'of the house ' * 20} of room {i} wrote from q.zed@mail.example.com")
+        for i in range(3)
+        for k in range(40)
+    ]
+    other = [(1000 + i, f"The house of room {i} and the weather of day {i}") for i in range(4000)]
+    rows = spark.createDataFrame(told + other, "doc_id long, text string")
+    clean = texts_of(pii.sanitise(rows))
+    assert all("Quillon" not in clean[i] and "house" in clean[i] for i, _ in told)
+
+
 def test_licences(spark):
     changed = license_scan.TEXTS[0][1].replace("any person", "each and every person")
     texts = [
