@@ -9,8 +9,10 @@ generalised (a class stands for them) and from REMOVE on removed.
 
 Counts are documents throughout, copies included: those that hold the term, those that hold the
 entity, and those that hold both, wherever in the text. The *distinct* contexts (the words around
-a document's first mention) are the witnesses, so that copies of one text are one; a term needs
-SUPPORT of them.
+a document's first mention) are the witnesses, so that copies of one text are one. Every pair of
+an entity and a term is rated, with p(e | t) smoothed by DOUBT: the fewer the witnesses and the
+commoner the entity, the less a term discloses. An entity in a single document is not left out: a
+term that stands there alone discloses 1 - 1.81 / log2(documents) of it, 0.8 or more from 525 on.
 
 Plan: one scan emits, per task, document counts of terms and, for documents with entities, a row
 for each entity and term; both are aggregated with map-side combine. Pairs that disclose go back
@@ -48,13 +50,16 @@ TERM = re.compile(r"\w+")
 
 #: Terms on each side of a mention that make its context.
 CONTEXT = 10
-#: Distinct contexts in which a term must occur with an entity.
-SUPPORT = 3
+#: Weight of the smoothing: to each document that holds both, so many that hold the term without
+#: the entity are assumed where there is one witness; with the square of the witnesses they fade.
+DOUBT = 2.5
 #: Disclosure (share of the entity's information content) from which terms are generalised, and
 #: from which they are removed.
 GENERALISE, REMOVE = 0.8, 0.95
 #: Terms whose counts a task holds before it emits them.
 HELD_TERMS = 300_000
+#: Most common terms, and entities, that are broadcast to leave out pairs that cannot disclose.
+HEAD = 20_000
 
 Span = tuple[int, int, int]  # place in KINDS, start, end (exclusive), in code points
 
@@ -178,30 +183,19 @@ def disclosing_terms(
     documents: int,
     generalise: float = GENERALISE,
     remove: float = REMOVE,
-    support: int = SUPPORT,
+    doubt: float = DOUBT,
 ) -> DataFrame:
     """(entity, term, kind): terms that disclose an entity, with what happens to them."""
-    near = observed.where("context is not null")
+    mentions, terms = _counts(observed)
+    near = observed.where("context is not null").withColumn("context", F.xxhash64("context"))
     witnesses = near.groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
     pairs = witnesses.groupBy("entity", "term").agg(
         F.sum("n").alias("together"), F.count("*").alias("witnesses")
     )
-    pairs = saved(pairs.where(F.col("witnesses") >= support), "pii-pairs")
-    mentions = (
-        observed.where("entity is not null and context is null")
-        .join(pairs.select("entity").distinct(), "entity", "left_semi")
-        .groupBy("entity")
-        .agg(F.sum("n").alias("holding"))
-    )
-    terms = (
-        observed.where("entity is null")
-        .join(pairs.select("term").distinct(), "term", "left_semi")
-        .groupBy("term")
-        .agg(F.sum("n").alias("using"))
-    )
-    rated = pairs.join(mentions, "entity").join(terms, "term")
+    rated = saved(pairs, "pii-pairs").join(mentions, "entity").join(terms, "term")
     content = -F.log2(F.col("holding") / F.lit(float(max(documents, 1))))
-    told = F.log2(F.least(F.col("together") / F.col("using"), F.lit(1.0))) + content
+    doubted = F.col("using") + doubt * F.col("together") / F.pow("witnesses", F.lit(2.0))
+    told = F.log2(F.col("together") / doubted) + content
     # An entity in every document is no secret: nothing is left to disclose.
     disclosure = F.when(content > 0, told / content).otherwise(0.0)
     return rated.where(disclosure >= generalise).select(
@@ -213,6 +207,36 @@ def disclosing_terms(
     )
 
 
+def _counts(observed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(entity, holding) and (term, using): documents that hold each."""
+    mentions = observed.where("entity is not null and context is null")
+    terms = observed.where("entity is null")
+    return (
+        mentions.groupBy("entity").agg(F.sum("n").alias("holding")),
+        terms.groupBy("term").agg(F.sum("n").alias("using")),
+    )
+
+
+def _open(observed: DataFrame, documents: int, generalise: float = GENERALISE, **_: float) -> DataFrame:
+    """``observed`` without rows whose term is too common to disclose their entity: exact.
+
+    Of an entity in h of N documents a term in u tells log2(h / u) + IC at most, so it stays below
+    the threshold g where u > h**g * N**(1 - g). HEAD terms and entities, the most common, are
+    enough to see it by; an entity beyond them is no more common than the last of these.
+    """
+    mentions, terms = _counts(observed)
+    common = terms.orderBy(F.desc("using")).limit(HEAD)
+    hot = saved(mentions.orderBy(F.desc("holding")).limit(HEAD), "pii-hot")
+    last = hot.agg(F.min("holding")).first()[0] or 1
+    held = F.coalesce("holding", F.lit(last)).cast("double")
+    most = F.pow(held, F.lit(generalise)) * float(max(documents, 1)) ** (1 - generalise)
+    near = observed.where("context is not null")
+    known = near.join(F.broadcast(common), "term", "left").join(F.broadcast(hot), "entity", "left")
+    open_ = known.where(F.col("using").isNull() | (F.col("using") <= 1.0001 * most))
+    near = saved(open_.select(observed.columns), "pii-open")
+    return near.union(observed.where("context is null"))
+
+
 def find_personal(docs: DataFrame, **thresholds: float) -> DataFrame:
     """doc_id, text and ``pii_spans`` (array of (kind, first, last), sorted) of every row.
 
@@ -226,7 +250,9 @@ def find_personal(docs: DataFrame, **thresholds: float) -> DataFrame:
         ),
         "pii-observed",
     )
-    marked = saved(disclosing_terms(observed, docs.count(), **thresholds), "pii-terms")
+    documents = docs.count()
+    observed = _open(observed, documents, **thresholds)
+    marked = saved(disclosing_terms(observed, documents, **thresholds), "pii-terms")
     holders = observed.where("context is not null").select("entity", "term", "doc_id")
     own = holders.join(marked, ["entity", "term"])
     own = own.groupBy("doc_id", "term").agg(F.max("kind").alias("kind"))

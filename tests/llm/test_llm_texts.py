@@ -168,6 +168,19 @@ def test_copies_do_not_hide_a_disclosing_term(spark):
     assert all("Quillon" not in clean[i] and "house" in clean[i] for i, _ in told)
 
 
+def test_entities_of_one_document_are_rated(spark):
+    rows = [(0, "Quillon of the house wrote from q.zed@mail.example.com about the weather")]
+    rows += [(1 + i, f"Notes of the house wrote from home about the weather seen by {i}") for i in range(2000)]
+    rows += [(5000 + i, f"Notes {i} of the house by desk@mail.example.com, seen {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = texts_of(pii.sanitise(docs))
+    assert clean[0] == "[NAME] of the house wrote from [EMAIL] about the weather"
+    # One witness says little of an entity that many documents hold.
+    assert clean[5001] == "Notes 1 of the house by [EMAIL], seen 1"
+    given = pii.op1_pii(spark, SF_DIR).where("spans like '%general%' or spans like '%remove%'")
+    assert given.count() > 0
+
+
 def test_licences(spark):
     changed = license_scan.TEXTS[0][1].replace("any person", "each and every person")
     texts = [
