@@ -4,7 +4,7 @@ Patterns give the base spans. Beside them, runs of characters of a class (hexade
 base-64 letters) are candidates: a window slides over each, its Shannon entropy is kept up to
 date from the counts of the one character that enters and the one that leaves, and a candidate
 whose best window reaches its class's threshold is a span of kind ``entropy``, unless the
-allow-list knows it or a base span already covers it.
+allow-list knows all of it or a base span already covers it.
 
 Everything is an expression of one row, so the plan is a map: no shuffle, no Python, no broadcast.
 A text costs time in proportion to its length, plus the square of its number of matches for
@@ -48,13 +48,20 @@ CLASSES = (
 )
 WINDOW = 20
 
-#: Candidates that match one of these are no secrets: words and numbers alone, UUIDs, counted
-#: alphabets and placeholders. Any Java regular expressions may be given instead.
+#: What words, also joined by marks or capitals, do not hold: four consonants or vowels in a row,
+#: one small letter between capitals, capitals between small letters.
+NO_WORD = (
+    r"[b-df-hj-np-tv-xzB-DF-HJ-NP-TV-XZ]{4}|[aeiouAEIOU]{4}|[a-z][A-Z][a-z][A-Z]|[a-z][A-Z]{2,}[a-z]"
+)
+#: Candidates that are, as a whole, one of these are no secrets: words, numbers, UUIDs, counted
+#: alphabets and placeholders. Any Java regular expressions may be given instead; they too are
+#: held against the whole candidate. Letters that read as no words are judged by their entropy.
 ALLOWED = (
-    r"^[A-Za-z_/+=-]*$",
-    r"^[0-9_/+=-]*$",
-    r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"(?i)0123456789|abcdefghij|example|placeholder|changeme|x{6}",
+    rf"(?!.*(?:{NO_WORD}))[A-Za-z_/+=-]*",
+    r"[0-9_/+=-]*",
+    r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
+    r"(?i)(?:0123456789(?:abcdef)?|abcdefghij(?:klmnopqrstuvwxyz)?|example|placeholder|changeme"
+    r"|x{6,}|[_/+=-]){1,50}",
 )
 
 #: Stands in texts for the end of a piece; a text's own are first replaced by another
@@ -194,7 +201,7 @@ def _candidates(
 def _any(piece: Column, patterns: tuple[str, ...]) -> Column:
     found = F.lit(False)
     for pattern in patterns:
-        found = found | piece.rlike(pattern)
+        found = found | piece.rlike(rf"\A(?:{pattern})\z")
     return found
 
 

@@ -70,6 +70,17 @@ def test_entropy_finds_random_strings_and_leaves_words(spark):
     assert rows == {0: "entropy:4:28", 1: "", 2: "", 3: "", 4: "assign:0:32"}
 
 
+def test_allow_list_holds_for_whole_candidates(spark):
+    texts = [
+        "KqZvTmWxRjYbLpNcHsDg",
+        "example/9fK2mZ7qLx8Rt4VbN1cP",
+        "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+        "documentation/project_overview-backup",
+    ]
+    rows = {x.doc_id: x.spans for x in secret_scan.secret_digests(documents(spark, texts)).collect()}
+    assert rows == {0: "entropy:0:20", 1: "entropy:0:28", 2: "", 3: ""}
+
+
 def test_sliding_entropy_equals_counting(spark):
     random.seed(6)
     texts = ["".join(random.choices("abcdef01", k=random.randint(0, 60))) for _ in range(30)]
