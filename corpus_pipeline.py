@@ -17,6 +17,9 @@ from roadpulse.llm.mixing import mixed_documents
 from roadpulse.llm.quality import good_documents
 from roadpulse.llm.secret_scan import find_secrets, redact
 
+#: Words of a shingle in the near_dedup stage; four are the contract of op5_minhash alone.
+STAGE_SHINGLE_WORDS = 5
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
@@ -26,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
     ship_code(spark)
-    return one_per_group(docs)
+    return one_per_group(docs, STAGE_SHINGLE_WORDS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

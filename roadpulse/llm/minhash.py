@@ -23,6 +23,7 @@ How the work stays in proportion to the input:
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -145,13 +146,13 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """Of each row: doc_id, size, digest and band keys of its set. Few texts are held at a time."""
     for batch in batches:
         for at in range(0, len(batch), 256):
             part = batch.slice(at, 256)
             n, digests, keys = [], [], []
-            for shingles in shingle_sets(part.column("text").to_pylist()):
+            for shingles in shingle_sets(part.column("text").to_pylist(), words):
                 n.append(len(shingles))
                 known = len(shingles) > 0
                 digests.append(xxhash.xxh3_128_digest(shingles.tobytes()) if known else None)
@@ -167,15 +168,15 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sets(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for at in range(0, len(batch), 64):
             part = batch.iloc[at : at + 64]
-            found = [x.view(np.int64) for x in shingle_sets(list(part["text"]))]
+            found = [x.view(np.int64) for x in shingle_sets(list(part["text"]), words)]
             yield pd.DataFrame({"id": part["id"], "shingles": found})
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
     Rows of equal doc_id count as one document. A row without words is linked with nothing; one
@@ -184,7 +185,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     signed = saved(
         docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-            _sign, "doc_id long, n_shingles long, digest binary, keys array<long>"
+            partial(_sign, words=words), "doc_id long, n_shingles long, digest binary, keys array<long>"
         ),
         "minhash-signed",
     )
@@ -194,7 +195,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n")),
         "minhash-classes",
     )
-    links, used = _links(docs, signed, classes)
+    links, used = _links(docs, signed, classes, words)
     links = saved(links, "minhash-found")
     discard(*used)
     # Rows of one doc_id that differ in text: their classes are linked through the document.
@@ -218,7 +219,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _links(
-    docs: DataFrame, signed: DataFrame, classes: DataFrame
+    docs: DataFrame, signed: DataFrame, classes: DataFrame, words: int
 ) -> tuple[DataFrame, list[DataFrame]]:
     """Confirmed links (a, b) between classes, enough of them to give every component, and the
     written tables that they are read from."""
@@ -244,7 +245,7 @@ def _links(
         docs.withColumnRenamed("doc_id", "id")
         .join(ids, "id", "left_semi")
         .dropDuplicates(["id", "text"])
-        .mapInPandas(_sets, "id long, shingles array<long>")
+        .mapInPandas(partial(_sets, words=words), "id long, shingles array<long>")
         .where(F.size("shingles") > 0),
         "minhash-sets",
     )
@@ -373,12 +374,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def one_per_group(docs: DataFrame) -> DataFrame:
+def one_per_group(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """The rows of ``docs`` but one row for each component: all columns, nothing else changes.
 
     Rows that repeat a kept doc_id go too; a row without doc_id stays.
     """
-    groups = near_duplicates(docs).where("kept").select("doc_id").distinct()
+    groups = near_duplicates(docs, words).where("kept").select("doc_id").distinct()
     with_id = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
     return with_id.join(groups, "doc_id", "left_semi").select(named(docs)).unionByName(
         docs.where("doc_id is null")

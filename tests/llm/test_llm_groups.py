@@ -105,6 +105,15 @@ def test_near_documents_odd_rows(spark):
     assert near(minhash.near_duplicates(docs)) == plain.near_documents(rows)
 
 
+def test_near_dedup_stage_compares_five_words(spark):
+    # 45 words, one inner word differs: 0.83 alike on four words, below 0.8 on five.
+    one = [f"w{i}" for i in range(45)]
+    two = [*one[:20], "other", *one[21:]]
+    docs = spark.createDataFrame([(0, " ".join(one)), (1, " ".join(two))], "doc_id long, text string")
+    assert minhash.one_per_group(docs).count() == 1
+    assert corpus_pipeline.near_dedup(spark, docs, SF_DIR).count() == 2
+
+
 def test_near_documents_repeated_and_null_ids(spark):
     rows = [(3, "a b c d e"), (3, "a b c d e"), (3, "q w e r t y"), (None, "a b c d e")]
     rows += [(2, "q w e r t y"), (1, "a b c d e")]
