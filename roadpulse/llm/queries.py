@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from roadpulse.llm import (
     bpe,
     embedding_dedup,
+    fill_middle,
+    fingerprints,
     license_scan,
     minhash,
     mixing,
@@ -16,6 +18,7 @@ from roadpulse.llm import (
     pii,
     quality,
     secret_scan,
+    spelling,
     url_filter,
 )
 
@@ -34,6 +37,9 @@ def queries() -> dict[str, Query]:
         "op8_neighbours": neighbours.op8_neighbours,
         "op9_quality": quality.op9_quality,
         "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
+        "op11_spelling": spelling.op11_spelling,
+        "op12_fingerprints": fingerprints.op12_fingerprints,
+        "op13_fill_middle": fill_middle.op13_fill_middle,
     }
 
 
@@ -42,4 +48,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_url_filter": url_filter.OP4_SQL,
         "op5_minhash": minhash.OP5_SQL,
         "op10_embedding_dedup": embedding_dedup.OP10_SQL,
+        "op11_spelling": spelling.OP11_SQL,
+        "op13_fill_middle": fill_middle.OP13_SQL,
     }
