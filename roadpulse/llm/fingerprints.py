@@ -41,7 +41,6 @@ WORDS = 8
 #: Rows whose sketches are held at a time, and code points of their texts, beyond the first.
 HELD_ROWS, HELD_CHARS = 256, 1 << 20
 
-CELL = np.dtype([("n", "<i4"), ("key", "<u8"), ("check", "<u4")])
 # Fingerprints of different runs must agree.
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 _CHECK = np.uint64(0x27D4EB2F165667C5)
@@ -156,18 +155,25 @@ class Sketches:
             np.concatenate([none, *signs]),
         )
 
+    def packed(self) -> list[bytes]:
+        """Each sketch as bytes: all its numbers of keys, then all sums, then all check values."""
+        parts = (self.n.astype("<i4"), self.key.astype("<u8"), self.check.astype("<u4"))
+        rows = [part.reshape(self.count, -1) for part in parts]
+        return [b"".join(part[at].tobytes() for part in rows) for at in range(self.count)]
+
     def texts(self) -> list[str]:
-        """Each sketch as base-64 text."""
-        cells = np.zeros(len(self.n), CELL)
-        cells["n"], cells["key"], cells["check"] = self.n, self.key, self.check
-        return [base64.b64encode(x.tobytes()).decode() for x in cells.reshape(self.count, -1)]
+        """The same in base 64."""
+        return [base64.b64encode(sketch).decode() for sketch in self.packed()]
 
     @classmethod
-    def read(cls, texts: list[str]) -> Sketches:
-        """Back from ``texts`` of one size."""
-        cells = np.frombuffer(b"".join(map(base64.b64decode, texts)), CELL)
-        made = cls(len(texts), len(cells) // (TABLES * max(len(texts), 1)))
-        made.n, made.key, made.check = (cells["n"].astype(np.int64), cells["key"].copy(), cells["check"].copy())
+    def read(cls, text: str) -> Sketches:
+        """One sketch back from its text."""
+        data = base64.b64decode(text)
+        size = len(data) // 16
+        made = cls(1, size // TABLES)
+        made.n = np.frombuffer(data, "<i4", size).astype(np.int64)
+        made.key = np.frombuffer(data, "<u8", size, 4 * size).copy()
+        made.check = np.frombuffer(data, "<u4", size, 12 * size).copy()
         return made
 
 
@@ -229,7 +235,7 @@ def fingerprint_documents(docs: DataFrame, cells: int = CELLS) -> DataFrame:
 
 def compare_fingerprints(left: str, right: str) -> tuple[list[int], list[int]] | None:
     """Digests that only one of two fingerprints has, or None if more differ than they can tell."""
-    diff = Sketches.read([left]).minus(Sketches.read([right]))
+    diff = Sketches.read(left).minus(Sketches.read(right))
     empty, _, keys, signs = diff.peel()
     if not empty[0]:
         return None
@@ -270,8 +276,9 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+# Sketches are kept as bytes until the end: their text takes half as much again.
 RESULT = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double"
 )
 
@@ -285,7 +292,7 @@ def _results(names: list, texts: list[str], cells: int) -> pd.DataFrame:
     here = np.arange(n)
     found = differences(base, sets, np.concatenate([here, here]), np.concatenate([here + n + 1, here + 1]))
     near = [likeness(len(sets[at % n]), len(a), len(b)) for at, (a, b) in enumerate(found)]
-    prints = base.texts()
+    prints = base.packed()
     return pd.DataFrame(
         {
             "doc_id": pd.array(names[:n], "Int64"),
@@ -314,7 +321,7 @@ def _in_order(rows: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]:
 
 
 def with_next(docs: DataFrame, cells: int = CELLS) -> DataFrame:
-    """Rows of RESULT: each text's fingerprint, its edited text's, and their and the next one's likeness.
+    """Rows of RESULT (sketches in base 64): each text's fingerprint, its edited text's, and their and the next one's likeness.
 
     The next document is the one that follows by doc_id, nulls last, and after the last one the first. Of
     rows with one doc_id the order is that of a hash of the text, then the text: equal rows stay next
@@ -355,7 +362,8 @@ def with_next(docs: DataFrame, cells: int = CELLS) -> DataFrame:
                 yield _results([name, None], [row.text, row.following], cells)
 
     closed = open_ends.select("doc_id", "text", "following").mapInPandas(close, RESULT)
-    return done.where("edge is null").drop("part", "edge", "text").union(closed)
+    found = done.where("edge is null").drop("part", "edge", "text").union(closed)
+    return found.withColumns({name: F.base64(name) for name in ("fingerprint", "edited_fingerprint")})
 
 
 def _edge(name: int | None, text: str, part: int, edge: str) -> pd.DataFrame:
