@@ -13,13 +13,14 @@ however long the texts are. Where peeling stops before all cells are empty, both
 sketched again in tables ``GROWTH`` times as large, until it succeeds; no difference is given up.
 
 Cells of many documents are kept in one array, and peeled together. Texts are compared with the
-next document's: rows are dealt to ranges of doc_id once and read in order, a task keeping one row.
-Only the last row of each range meets the first one of the next range by a join, a row per task.
+next document's: a pass over the ids finds where ranges of them begin, and texts are then dealt to the
+ranges once and read in order, the first text of each range also at the end of the one before.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -27,11 +28,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import saved, ship_code, table
+from roadpulse.llm.common import ship_code, table
 
 #: Cells of one table in a fingerprint, a power of two, and by how much a larger sketch has more.
 CELLS, GROWTH = 8, 4
@@ -40,6 +40,8 @@ TABLES = 3
 WORDS = 8
 #: Rows whose sketches are held at a time, and code points of their texts, beyond the first.
 HELD_ROWS, HELD_CHARS = 256, 1 << 20
+#: Bytes of text in a range of documents that are read in order, on average.
+RANGE_BYTES = 16 << 20
 
 # Fingerprints of different runs must agree.
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -276,9 +278,8 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-# Sketches are kept as bytes until the end: their text takes half as much again.
 RESULT = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
 )
 
@@ -292,7 +293,7 @@ def _results(names: list, texts: list[str], cells: int) -> pd.DataFrame:
     here = np.arange(n)
     found = differences(base, sets, np.concatenate([here, here]), np.concatenate([here + n + 1, here + 1]))
     near = [likeness(len(sets[at % n]), len(a), len(b)) for at, (a, b) in enumerate(found)]
-    prints = base.packed()
+    prints = base.texts()
     return pd.DataFrame(
         {
             "doc_id": pd.array(names[:n], "Int64"),
@@ -306,70 +307,84 @@ def _results(names: list, texts: list[str], cells: int) -> pd.DataFrame:
     )
 
 
-def _in_order(rows: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]:
-    """Runs of rows of bounded size; each begins with the last row of the one before it."""
-    names, texts, chars = [], [], 0
-    for batch in rows:
-        for name, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
-            names.append(None if pd.isna(name) else int(name))
-            texts.append(text)
-            chars += len(text)
-            if len(texts) > 1 and (len(texts) > HELD_ROWS or chars > HELD_CHARS):
-                yield names, texts
-                names, texts, chars = names[-1:], texts[-1:], len(texts[-1])
-    yield names, texts
+def _pairs_in_order(cells: int):
+    """Rows (range, guest, doc_id, text) in order -> results; the guest that ends a range is only looked at."""
 
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, texts, chars, here, ended = [], [], 0, None, False
+        for batch in batches:
+            columns = (batch[name].tolist() for name in ("range", "guest", "doc_id", "text"))
+            for part, guest, name, text in zip(*columns):
+                if part != here:
+                    names, texts, chars, here, ended = [], [], 0, part, False
+                if ended:
+                    continue
+                names.append(None if pd.isna(name) else int(name))
+                texts.append(text)
+                chars += len(text)
+                ended = guest
+                if len(texts) > 1 and (ended or len(texts) > HELD_ROWS or chars > HELD_CHARS):
+                    yield _results(names, texts, cells)
+                    names, texts, chars = names[-1:], texts[-1:], len(texts[-1])
+
+    return compare
+
+
+def _first_keys(rows: DataFrame, ranges: int) -> list[tuple[bool, int, int]]:
+    """The first (doc_id is null, doc_id, hash) of each of so many ranges of the rows, in order."""
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield batch.iloc[:1]
+                return
+
+    order = [F.col("doc_id").asc_nulls_last(), F.col("hash")]
+    keys = rows.select("doc_id", "hash").repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    found = keys.mapInPandas(first, "doc_id long, hash long").collect()
+    return sorted((x.doc_id is None, x.doc_id or 0, x.hash) for x in found)
 
-def with_next(docs: DataFrame, cells: int = CELLS) -> DataFrame:
-    """Rows of RESULT (sketches in base 64): each text's fingerprint, its edited text's, and their and the next one's likeness.
+
+def with_next(docs: DataFrame, cells: int = CELLS, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Rows of RESULT: each text's fingerprint, its edited text's, and their and the next one's likeness.
 
     The next document is the one that follows by doc_id, nulls last, and after the last one the first. Of
     rows with one doc_id the order is that of a hash of the text, then the text: equal rows stay next
     to each other. A null text counts as empty; two texts without a paragraph are alike (1.0). A single
     document is its own next one; an empty table gives no rows. Other columns are not read.
+
+    Ranges hold about ``range_bytes`` of text each, and there are at least as many as shuffle partitions.
+    Their first keys, one a range, pass the driver; texts are shuffled once.
     """
-    ship_code(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_code(spark)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    ordered = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
-
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, first, last = TaskContext.get().partitionId(), True, None
-        for names, texts in _in_order(batches):
-            if first and texts:
-                yield _edge(names[0], texts[0], part, "first")
-                first = False
-            if len(texts) > 1:
-                yield _results(names, texts, cells).assign(part=part, edge=None, text=None)
-            last = (names[-1:], texts[-1:])
-        if last and last[1]:
-            yield _edge(last[0][0], last[1][0], part, "last")
-
-    shape = f"{RESULT}, part int, edge string, text string"
-    done = saved(ordered.mapInPandas(compare, shape), "fingerprints")
-    edges = done.where("edge is not null").select("doc_id", "part", "edge", "text")
-    # Numbers alone, one of each task: which range follows which.
-    parts = edges.where("edge = 'first'").select("part")
-    following = F.lead("part").over(Window.orderBy("part"))
-    chain = parts.select("part", F.coalesce(following, F.min("part").over(Window.partitionBy())).alias("next"))
-    firsts = edges.where("edge = 'first'").select(F.col("part").alias("next"), F.col("text").alias("following"))
-    open_ends = edges.where("edge = 'last'").join(chain, "part").join(firsts, "next")
-
-    def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples():
-                name = None if pd.isna(row.doc_id) else int(row.doc_id)
-                yield _results([name, None], [row.text, row.following], cells)
-
-    closed = open_ends.select("doc_id", "text", "following").mapInPandas(close, RESULT)
-    found = done.where("edge is null").drop("part", "edge", "text").union(closed)
-    return found.withColumns({name: F.base64(name) for name in ("fingerprint", "edited_fingerprint")})
-
-
-def _edge(name: int | None, text: str, part: int, edge: str) -> pd.DataFrame:
-    row = {column.split()[0]: [None] for column in RESULT.split(", ")}
-    row |= {"doc_id": pd.array([name], "Int64"), "part": [part], "edge": [edge], "text": [text]}
-    return pd.DataFrame(row)
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // range_bytes))
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    firsts = _first_keys(rows, ranges)
+
+    @F.pandas_udf("struct<own:int,before:int>")
+    def place(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for nulls, names, hashes in parts:
+            keys = list(zip(nulls.tolist(), names.tolist(), hashes.tolist()))
+            own = [bisect.bisect_right(firsts, key) - 1 for key in keys]
+            # The first document of a range is also the next one of the last in the range before.
+            before = [(at - 1) % len(firsts) if firsts[at] == key else None for at, key in zip(own, keys)]
+            yield pd.DataFrame({"own": own, "before": pd.array(before, "Int32")})
+
+    placed = rows.withColumn("at", place(F.isnull("doc_id"), F.coalesce("doc_id", F.lit(0)), F.col("hash")))
+    places = F.array(
+        F.struct(F.col("at.own").alias("range"), F.lit(False).alias("guest")),
+        F.struct(F.col("at.before").alias("range"), F.lit(True).alias("guest")),
+    )
+    placed = placed.select(
+        "doc_id", "text", "hash", F.inline(F.filter(places, lambda x: x["range"].isNotNull()))
+    )
+    ordered = placed.repartition("range").sortWithinPartitions(
+        "range", "guest", F.col("doc_id").asc_nulls_last(), "hash", "text"
+    )
+    return ordered.select("range", "guest", "doc_id", "text").mapInPandas(_pairs_in_order(cells), RESULT)
 
 
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
