@@ -1,37 +1,43 @@
 """Operator 1: personal data, and words that give away whose it is, by information theory.
 
 Patterns find the protected entities (addresses, numbers). What else a text says may still tell
-them: a word that hardly occurs but near one entity reveals it. The corpus measures that. With
+them: a word that hardly occurs but with one entity reveals it. The corpus measures that. With
 p(e) the share of documents that hold entity e, IC(e) = -log2 p(e) is what there is to learn,
-and PMI(t; e) = log2(p(e | t) / p(e)) what term t tells of it. The disclosure of t is their
-ratio: 1 where t occurs only next to e. In a document that holds e, terms from GENERALISE on are
-generalised (a class stands for them) and from REMOVE on removed.
-
-Counts are documents throughout, copies included: those that hold the term, those that hold the
-entity, and those that hold both, wherever in the text. The *distinct* contexts (the words around
-a document's first mention) are the witnesses, so that copies of one text are one. Every pair of
-an entity and a term is rated, with p(e | t) smoothed by DOUBT: the fewer the witnesses and the
-commoner the entity, the less a term discloses. An entity in a single document is not left out: a
-term that stands there alone discloses 1 - 1.81 / log2(documents) of it, 0.8 or more from 525 on.
-
-Plan: one scan emits, per task, document counts of terms and, for documents with entities, a row
-for each entity and term; both are aggregated with map-side combine. Pairs that disclose go back
-to the rows they come from by a join on entity and term, whose skewed side can be split, so no
-entity's documents meet the terms of its other documents; a second scan marks them.
+PMI(t; e) = log2(p(e | t) / p(e)) what term t tells of it, and IC - PMI = -log2 p(e | t) the bits
+that are left to learn once t is known. In a document that holds e, terms that leave GENERALISE bits
+or fewer are generalised (a class stands for them), those that leave REMOVE or fewer are removed;
+neither if they tell less than LEAST_GAIN bits, as of an entity that most documents hold.
+
+p(e | t) is the lower confidence bound (Wilson's) of the share of documents with t that hold e. So
+it takes evidence, and what decides does not turn on the size of the corpus: a word seen once, beside
+an entity seen once, leaves 1.9 bits and stays, one that recurs beside its entity in three different
+documents and nowhere else leaves 0.9. Documents are told apart by their *contexts*, the words around
+the mention: copies of one text are one witness, and count once among the documents with t.
+
+Entities that always stand in the same documents (a person's address and number, a list of customers)
+are one *record*; its context is that of its first mention. A record of too few contexts cannot be
+disclosed, nor by a term in too few documents or far more than it. What is left out for that would
+have been rated below the threshold: the rest are all pairs that can be above it.
+
+Plan: one scan writes the documents with entities, each once; a second counts documents by term, with
+map-side combine. Pairs go back to their documents by a join whose skewed side can be split. Texts
+without entities are never shuffled, nor are their terms.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import saved, table
+from roadpulse.llm.common import saved, ship_code, table
 
 # The base kinds in the order they are listed, and the kinds of the method.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -50,16 +56,16 @@ TERM = re.compile(r"\w+")
 
 #: Terms on each side of a mention that make its context.
 CONTEXT = 10
-#: Weight of the smoothing: to each document that holds both, so many that hold the term without
-#: the entity are assumed where there is one witness; with the square of the witnesses they fade.
-DOUBT = 2.5
-#: Disclosure (share of the entity's information content) from which terms are generalised, and
-#: from which they are removed.
-GENERALISE, REMOVE = 0.8, 0.95
+#: Bits of an entity that are left to learn: down to here terms are generalised, or removed.
+GENERALISE, REMOVE = 1.0, 0.4
+#: Bits of an entity that a term must tell at least.
+LEAST_GAIN = 1.0
+#: One-sided 95 % of the normal distribution, for the confidence bound.
+DEVIATIONS = 1.645
 #: Terms whose counts a task holds before it emits them.
 HELD_TERMS = 300_000
-#: Most common terms, and entities, that are broadcast to leave out pairs that cannot disclose.
-HEAD = 20_000
+#: Documents with entities, and code points of them, that a task holds before it emits them.
+HELD_ROWS, HELD_CHARS = 256, 1 << 20
 
 Span = tuple[int, int, int]  # place in KINDS, start, end (exclusive), in code points
 
@@ -121,43 +127,51 @@ def entity(text: str, span: Span) -> str:
     return f"{BASE_KINDS[kind]}:{value}"
 
 
-def _observed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (entity, term, context, doc_id, n): with entity and term, a document that holds both;
-    with entity alone, a document that holds it; with term alone, n documents that hold it."""
-    held: Counter[str] = Counter()
-    columns = ["entity", "term", "context", "doc_id", "n"]
+HOLDERS = (
+    "doc_id long, text string, terms array<string>, "
+    "mentions array<struct<entity:string,place:int,context:long>>"
+)
+
 
-    def emit(rows: list) -> pd.DataFrame:
-        frame = pd.DataFrame(rows, columns=columns)
-        return frame.astype({"doc_id": "Int64", "n": "int64"})
+def _holders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of rows with an entity their distinct terms, and per entity its first mention."""
+    rows, chars = [], 0
+
+    def emit() -> pd.DataFrame:
+        frame = pd.DataFrame(rows, columns=["doc_id", "text", "terms", "mentions"])
+        return frame.astype({"doc_id": "Int64"})
 
     for batch in batches:
-        rows = []
         for doc_id, text in zip(batch["doc_id"], batch["text"]):
-            text = text or ""
-            spans = base_spans(text)
-            held.update(set(map(str.lower, TERM.findall(text))))
-            if spans:
-                own = None if pd.isna(doc_id) else int(doc_id)
-                terms, contexts = _beside(text, spans)
-                for name, context in contexts.items():
-                    rows.append((name, None, None, own, 1))
-                    rows += [(name, term, context, own, 1) for term in terms]
-                    if len(rows) >= HELD_TERMS:
-                        yield emit(rows)
-                        rows = []
+            if spans := base_spans(text):
+                terms, mentions = _beside(text, spans)
+                rows.append((None if pd.isna(doc_id) else int(doc_id), text, sorted(terms), mentions))
+                chars += len(text)
+            if len(rows) >= HELD_ROWS or chars >= HELD_CHARS:
+                yield emit()
+                rows, chars = [], 0
+    yield emit()
+
+
+def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows (term, n): n documents of this task hold the term."""
+    held: Counter[str] = Counter()
+
+    def emit() -> pd.DataFrame:
+        return pd.DataFrame({"term": list(held.keys()), "n": list(held.values())}).astype({"n": "int64"})
+
+    for batch in batches:
+        for text in batch["text"]:
+            if text:
+                held.update(set(map(str.lower, TERM.findall(text))))
             if len(held) >= HELD_TERMS:
-                rows += [(None, term, None, None, n) for term, n in held.items()]
+                yield emit()
                 held.clear()
-            if len(rows) >= HELD_TERMS:
-                yield emit(rows)
-                rows = []
-        yield emit(rows)
-    yield emit([(None, term, None, None, n) for term, n in held.items()])
+    yield emit()
 
 
-def _beside(text: str, spans: list[Span]) -> tuple[set[str], dict[str, str]]:
-    """The distinct terms outside of all mentions, and per entity its first mention's context."""
+def _beside(text: str, spans: list[Span]) -> tuple[set[str], list[dict]]:
+    """The distinct terms outside of all mentions, and of each entity place and context."""
     inside = sorted((start, end) for _, start, end in spans)
     terms, starts, at, reach = [], [], 0, 0
     for match in TERM.finditer(text):
@@ -167,116 +181,139 @@ def _beside(text: str, spans: list[Span]) -> tuple[set[str], dict[str, str]]:
         if match.start() >= reach:
             terms.append(match[0].lower())
             starts.append(match.start())
-    contexts: dict[str, str] = {}
+    mentions: dict[str, dict] = {}
     place = 0
     for span in sorted(spans, key=lambda x: x[1]):
         while place < len(starts) and starts[place] < span[1]:
             place += 1
-        if (name := entity(text, span)) not in contexts:
+        if (name := entity(text, span)) not in mentions:
             around = " ".join(terms[max(place - CONTEXT, 0) : place + CONTEXT])
-            contexts[name] = hashlib.blake2b(around.encode(), digest_size=16).hexdigest()
-    return set(terms), contexts
+            context = hashlib.blake2b(around.encode(), digest_size=8).digest()
+            context = int.from_bytes(context, "little", signed=True)
+            mentions[name] = {"entity": name, "place": len(mentions), "context": context}
+    return set(terms), list(mentions.values())
+
+
+def bits_left(witnesses: Column, documents: Column) -> Column:
+    """-log2 of the lower confidence bound of a share, as seen in so many documents."""
+    z2 = DEVIATIONS**2
+    share = witnesses / documents
+    spread = F.sqrt(share * (1 - share) / documents + z2 / (4 * documents * documents))
+    least = (share + z2 / (2 * documents) - DEVIATIONS * spread) / (1 + z2 / documents)
+    return -F.log2(least)
+
+
+def least_witnesses(bits: float) -> int:
+    """Contexts that it takes for a term that stands nowhere else to leave so few bits."""
+    share = 2.0**-bits
+    return max(math.ceil(share * DEVIATIONS**2 / (1 - share)), 1) if share < 1 else sys.maxsize
+
+
+def records_of(holders: DataFrame, least: int) -> DataFrame:
+    """(key, record, context, holding): the records of each document that have ``least`` contexts.
+
+    Entities of the same documents have the same set digest and so are one record; ``holding`` is
+    the number of these documents.
+    """
+    mentions = holders.select("key", F.inline("mentions"))
+    sets = mentions.groupBy("entity").agg(
+        F.count("*").alias("holding"), F.bit_xor(F.xxhash64("key")).alias("digest")
+    )
+    sets = sets.where(F.col("holding") >= least)
+    named = mentions.join(sets, "entity")
+    here = named.groupBy("key", "digest", "holding").agg(F.min_by("context", "place").alias("context"))
+    here = saved(here.select("key", F.xxhash64("digest", "holding").alias("record"), "context", "holding"), "pii-records")
+    contexts = here.groupBy("record", "context").count().groupBy("record").agg(F.count("*").alias("contexts"))
+    return here.join(contexts.where(F.col("contexts") >= least).select("record"), "record")
 
 
 def disclosing_terms(
-    observed: DataFrame,
-    documents: int,
-    generalise: float = GENERALISE,
-    remove: float = REMOVE,
-    doubt: float = DOUBT,
+    pairs: DataFrame, documents: int, generalise: float = GENERALISE, remove: float = REMOVE
 ) -> DataFrame:
-    """(entity, term, kind): terms that disclose an entity, with what happens to them."""
-    mentions, terms = _counts(observed)
-    near = observed.where("context is not null").withColumn("context", F.xxhash64("context"))
-    witnesses = near.groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
-    pairs = witnesses.groupBy("entity", "term").agg(
-        F.sum("n").alias("together"), F.count("*").alias("witnesses")
+    """(record, term, kind): terms that disclose a record, with what happens to them.
+
+    ``pairs`` has a row (record, term, context, holding, using) for each document that holds both,
+    where ``holding`` and ``using`` documents hold the record and the term.
+    """
+    witnessed = pairs.groupBy("record", "term", "context").agg(
+        F.count("*").alias("n"), F.first("holding").alias("holding"), F.first("using").alias("using")
     )
-    rated = saved(pairs, "pii-pairs").join(mentions, "entity").join(terms, "term")
-    content = -F.log2(F.col("holding") / F.lit(float(max(documents, 1))))
-    doubted = F.col("using") + doubt * F.col("together") / F.pow("witnesses", F.lit(2.0))
-    told = F.log2(F.col("together") / doubted) + content
-    # An entity in every document is no secret: nothing is left to disclose.
-    disclosure = F.when(content > 0, told / content).otherwise(0.0)
-    return rated.where(disclosure >= generalise).select(
-        "entity",
-        "term",
-        F.when(disclosure >= remove, KINDS.index("remove"))
-        .otherwise(KINDS.index("general"))
-        .alias("kind"),
+    rated = witnessed.groupBy("record", "term").agg(
+        F.count("*").alias("witnesses"),
+        (F.first("using") - F.sum("n")).alias("elsewhere"),
+        F.first("holding").alias("holding"),
     )
+    left = bits_left(F.col("witnesses"), F.col("witnesses") + F.col("elsewhere"))
+    content = -F.log2(F.col("holding") / F.lit(float(max(documents, 1))))
+    # Rounded, so that a bound at the threshold falls the same way whatever adds it up.
+    rated = rated.withColumn("left", F.round(left, 9))
+    told = rated.where((F.col("left") <= generalise) & (content - F.col("left") >= LEAST_GAIN))
+    kind = F.when(F.col("left") <= remove, KINDS.index("remove")).otherwise(KINDS.index("general"))
+    return told.select("record", "term", kind.alias("kind"))
+
+
+def _own_terms(docs: DataFrame, holders: DataFrame, generalise: float, remove: float) -> DataFrame | None:
+    """(key, marks): of each document the terms to be marked and how, or None if no record can be disclosed."""
+    least = least_witnesses(generalise)
+    records = saved(records_of(holders, least), "pii-open")
+    if records.isEmpty():
+        return None
+    terms = docs.select("text").mapInPandas(_term_counts, "term string, n long")
+    using = terms.groupBy("term").agg(F.sum("n").alias("using")).where(F.col("using") >= least)
+    most = records.agg(F.max("holding")).first()[0]
+    # Of a record in h documents a term in u tells no more than the share h / u.
+    using = using.where(F.col("using") <= most * 2.0**generalise)
+    open_ = records.select("key").distinct()
+    held = holders.join(open_, "key").select("key", F.explode("terms").alias("term"))
+    beside = held.join(using, "term").join(records, "key")
+    pairs = saved(beside.where(F.col("using") <= F.col("holding") * 2.0**generalise), "pii-pairs")
+    marked = disclosing_terms(pairs, docs.count(), generalise, remove)
+    own = pairs.select("key", "record", "term").join(marked, ["record", "term"])
+    own = own.groupBy("key", "term").agg(F.max("kind").alias("kind"))
+    return own.groupBy("key").agg(F.collect_list(F.struct("term", "kind")).alias("marks"))
 
 
-def _counts(observed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(entity, holding) and (term, using): documents that hold each."""
-    mentions = observed.where("entity is not null and context is null")
-    terms = observed.where("entity is null")
-    return (
-        mentions.groupBy("entity").agg(F.sum("n").alias("holding")),
-        terms.groupBy("term").agg(F.sum("n").alias("using")),
-    )
-
+FOUND = "doc_id long, text string, pii_spans array<struct<kind:int,first:int,last:int>>"
 
-def _open(observed: DataFrame, documents: int, generalise: float = GENERALISE, **_: float) -> DataFrame:
-    """``observed`` without rows whose term is too common to disclose their entity: exact.
 
-    Of an entity in h of N documents a term in u tells log2(h / u) + IC at most, so it stays below
-    the threshold g where u > h**g * N**(1 - g). HEAD terms and entities, the most common, are
-    enough to see it by; an entity beyond them is no more common than the last of these.
-    """
-    mentions, terms = _counts(observed)
-    common = terms.orderBy(F.desc("using")).limit(HEAD)
-    hot = saved(mentions.orderBy(F.desc("holding")).limit(HEAD), "pii-hot")
-    last = hot.agg(F.min("holding")).first()[0] or 1
-    held = F.coalesce("holding", F.lit(last)).cast("double")
-    most = F.pow(held, F.lit(generalise)) * float(max(documents, 1)) ** (1 - generalise)
-    near = observed.where("context is not null")
-    known = near.join(F.broadcast(common), "term", "left").join(F.broadcast(hot), "entity", "left")
-    open_ = known.where(F.col("using").isNull() | (F.col("using") <= 1.0001 * most))
-    near = saved(open_.select(observed.columns), "pii-open")
-    return near.union(observed.where("context is null"))
-
-
-def find_personal(docs: DataFrame, **thresholds: float) -> DataFrame:
+def find_personal(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """doc_id, text and ``pii_spans`` (array of (kind, first, last), sorted) of every row.
 
-    Null and empty texts have no spans. Rows of equal doc_id (null too) share the terms that
-    are marked in one of them; each row keeps its own base spans. Other columns are ignored.
+    Null and empty texts have no spans. Every row is a document of its own, also one without
+    doc_id or with that of another row. Other columns are ignored; an empty table gives no rows.
     """
+    ship_code(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    observed = saved(
-        docs.mapInPandas(
-            _observed, "entity string, term string, context string, doc_id long, n long"
-        ),
-        "pii-observed",
-    )
-    documents = docs.count()
-    observed = _open(observed, documents, **thresholds)
-    marked = saved(disclosing_terms(observed, documents, **thresholds), "pii-terms")
-    holders = observed.where("context is not null").select("entity", "term", "doc_id")
-    own = holders.join(marked, ["entity", "term"])
-    own = own.groupBy("doc_id", "term").agg(F.max("kind").alias("kind"))
-    own = own.groupBy(F.col("doc_id").alias("of")).agg(
-        F.collect_list(F.struct("term", "kind")).alias("terms")
-    )
-    own = saved(own, "pii-own")
-    joined = docs.join(own, docs["doc_id"].eqNullSafe(own["of"]), "left").drop("of")
-    return joined.mapInPandas(
-        _marked,
-        "doc_id long, text string, pii_spans array<struct<kind:int,first:int,last:int>>",
-    )
+    # Numbered as they are written; who reads them finds the same numbers.
+    holders = docs.mapInPandas(_holders, HOLDERS).withColumn("key", F.monotonically_increasing_id())
+    holders = saved(holders, "pii-holders")
+    own = _own_terms(docs, holders, generalise, remove)
+    if own is None:
+        marks = F.lit(None).cast("array<struct<term:string,kind:int>>")
+        joined = holders.withColumn("marks", marks)
+    else:
+        joined = holders.join(own, "key", "left")
+    marked = joined.select("doc_id", "text", "marks").mapInPandas(_marked, FOUND)
+    without = docs.mapInPandas(_without, "doc_id long, text string")
+    return marked.union(without.withColumn("pii_spans", F.array().cast(dict(marked.dtypes)["pii_spans"])))
+
+
+def _without(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows that have no entity."""
+    for batch in batches:
+        yield batch[[not base_spans(text) for text in batch["text"]]]
 
 
 def _marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = []
-        for text, terms in zip(batch["text"], batch["terms"]):
+        for text, marks in zip(batch["text"], batch["marks"]):
             spans = base_spans(text)
-            if spans and terms is not None and len(terms):
-                spans = spans + _term_spans(text, spans, {x["term"]: x["kind"] for x in terms})
+            if marks is not None and len(marks):
+                spans = spans + _term_spans(text, spans, {x["term"]: x["kind"] for x in marks})
             found.append([{"kind": k, "first": a, "last": b} for k, a, b in sorted(spans)])
         out = batch[["doc_id", "text"]].copy()
-        out["pii_spans"] = found
+        out["pii_spans"] = pd.Series(found, index=out.index, dtype=object)
         yield out
 
 

@@ -56,6 +56,54 @@ def personal(text):
     return found
 
 
+def entities(text):
+    """{entity: first place} and the spans they stand in."""
+    found = {}
+    for kind, a, b in sorted(personal(text), key=lambda x: x[1]):
+        value = text[a:b].lower()
+        if kind in ("card", "phone"):
+            value = re.sub("[^0-9]", "", value)
+        found.setdefault((kind, value), a)
+    return found
+
+
+def disclosing_spans(texts, generalise=1.0, remove=0.4, z=1.645):
+    """Per text the spans (kind, start, end) of terms that disclose an entity of it."""
+    inside = [[(a, b) for _, a, b in personal(text)] for text in texts]
+    words = []
+    for text, spans in zip(texts, inside):
+        found = [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"\w+", text or "")]
+        words.append([w for w in found if not any(a < w[2] and w[1] < b for a, b in spans)])
+    using = collections.Counter(w for text in texts for w in {m.lower() for m in re.findall(r"\w+", text or "")})
+    held = [entities(text) for text in texts]
+    holders = collections.defaultdict(list)
+    for at, found in enumerate(held):
+        for name in found:
+            holders[name].append(at)
+    records = collections.defaultdict(list)
+    for name, places in holders.items():
+        records[tuple(places)].append(name)
+    kinds = collections.defaultdict(dict)
+    for places, names in records.items():
+        contexts = {}
+        for at in places:
+            first = min(held[at][name] for name in names)
+            before = [w[0] for w in words[at] if w[1] < first][-10:]
+            contexts[at] = (*before, *[w[0] for w in words[at] if w[1] >= first][:10])
+        for term in {w[0] for at in places for w in words[at]}:
+            together = [at for at in places if any(w[0] == term for w in words[at])]
+            k = len({contexts[at] for at in together})
+            n = k + using[term] - len(together)
+            p = k / n
+            low = (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+            left = round(-math.log2(low), 9)
+            if left <= generalise and -math.log2(len(places) / len(texts)) - left >= 1:
+                for at in together:
+                    kind = "remove" if left <= remove else "general"
+                    kinds[at][term] = max(kind, kinds[at].get(term, ""))
+    return [[(kinds[at][w], a, b) for w, a, b in found if w in kinds[at]] for at, found in enumerate(words)]
+
+
 class Groups:
     def __init__(self, names):
         self.parent = {x: x for x in names}
@@ -70,12 +118,12 @@ class Groups:
         self.parent[max(a, b)] = min(a, b)
 
 
-def near_documents(rows):
+def near_documents(rows, shingle=4):
     """{doc_id: (number of shingles, component)} over all pairs that share a shingle."""
     sets = {}
     for name, text in rows:
         words = (text or "").encode().lower().split()
-        n = min(4, len(words))
+        n = min(shingle, len(words))
         sets[name] = {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} if words else set()
     holders = collections.defaultdict(list)
     for name, grams in sets.items():

@@ -390,7 +390,7 @@ def test_pipeline_stages(spark):
     assert sum(i in kept for i in clean) > 0.98 * len(clean)
 
     single = stages["near_dedup"](spark, good, SF_DIR).cache()
-    groups = plain.near_documents([(i, rows[i].text) for i in kept])
+    groups = plain.near_documents([(i, rows[i].text) for i in kept], corpus_pipeline.STAGE_SHINGLE_WORDS)
     assert single.columns == names
     assert sorted(r.doc_id for r in single.collect()) == sorted({x for _, x in groups.values()})
 
