@@ -1,18 +1,20 @@
 """Operator 6: secrets in texts, by patterns and by sliding-window entropy, in SQL functions only.
 
 Patterns give the base spans. Beside them, runs of characters of a class (hexadecimal digits,
-base-64 letters) are candidates: a window slides over each, its Shannon entropy is kept up to
-date from the counts of the one character that enters and the one that leaves, and a candidate
-whose best window reaches its class's threshold is a span of kind ``entropy``, unless the
-allow-list knows all of it or a base span already covers it.
+base-64 letters) are candidates: a window slides over each, the counts of its characters and from
+them its Shannon entropy are kept up to date by the one character that enters and the one that
+leaves, and a candidate whose best window reaches its class's threshold is a span of kind
+``entropy``, unless the allow-list knows all of it or a base span already covers it.
 
 Everything is an expression of one row, so the plan is a map: no shuffle, no Python, no broadcast.
-A text costs time in proportion to its length, plus the square of its number of matches for
-joining their positions (array copies: seconds at ten thousands of matches in one text).
+A text costs time in proportion to its length and its number of matches: a step of a window updates
+one count per different character, and results are collected in blocks, so that adding one does not
+copy all that was found before.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,7 +63,7 @@ ALLOWED = (
     r"[0-9_/+=-]*",
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
     r"(?i)(?:0123456789(?:abcdef)?|abcdefghij(?:klmnopqrstuvwxyz)?|example|placeholder|changeme"
-    r"|x{6,}|[_/+=-]){1,50}",
+    r"|x{6,}|[_/+=-])++",
 )
 
 #: Stands in texts for the end of a piece; a text's own are first replaced by another
@@ -69,6 +71,53 @@ ALLOWED = (
 MARK, OTHER = "\uFFFF", "\uFFFE"
 
 
+#: Elements that are folded together (a fold copies its state at each step, so it must stay
+#: small), and code points of the pieces that long texts are cut from.
+BLOCK, CUT = 64, 1024
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named, in lambdas too."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _in_blocks(
+    values: Column,
+    total: Callable[[Column], Column],
+    join: Callable[[Column, Column], Column],
+    each: Callable[[Column, Column, Column], Column],
+) -> Column:
+    """All that ``each`` gives of block, number carried to it from those before, and values before it.
+
+    ``total`` is what a block adds to the number, and ``join`` how.
+    """
+
+    def use(held: Column) -> Column:
+        count = F.floor((F.greatest(F.size(held), F.lit(1)) - 1) / BLOCK).cast("int")
+        return _let(
+            F.transform(F.sequence(F.lit(0), count), lambda at: F.slice(held, at * BLOCK + 1, F.lit(BLOCK))), carried
+        )
+
+    def carried(blocks: Column) -> Column:
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        starts = F.aggregate(
+            F.transform(blocks, total),
+            none,
+            lambda s, more: F.struct(
+                join(s["at"], more).alias("at"), F.concat(s["starts"], F.array(s["at"])).alias("starts")
+            ),
+            lambda s: s["starts"],
+        )
+        parts = F.arrays_zip(blocks.alias("items"), starts.alias("start"))
+        return F.flatten(F.transform(parts, lambda x, at: each(x["items"], x["start"], at * BLOCK)))
+
+    return _let(values, use)
+
+
+def _more(found: Column, more: Column, when: Column) -> Column:
+    return F.when(when, F.concat(found, F.array(more))).otherwise(found)
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches: array of (first, last, piece), code points, end exclusive.
 
@@ -77,19 +126,25 @@ def matches(text: Column, pattern: str) -> Column:
     """
     wrapped = F.regexp_replace(F.replace(text, F.lit(MARK), F.lit(OTHER)), pattern, f"{MARK}$0{MARK}")
     nothing = F.array().cast("array<struct<first:int,last:int,piece:string>>")
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), nothing.alias("found"))
-
-    def step(so_far: Column, piece: Column) -> Column:
-        end = so_far["at"] + F.length(piece)
-        match = F.struct(so_far["at"].alias("first"), end.alias("last"), piece.alias("piece"))
-        found = F.when(so_far["inside"], F.concat(so_far["found"], F.array(match)))
-        return F.struct(
-            end.alias("at"),
-            (~so_far["inside"]).alias("inside"),
-            F.coalesce(found, so_far["found"]).alias("found"),
-        )
 
-    return F.aggregate(F.split(wrapped, MARK), start, step, lambda end: end["found"])
+    def each(pieces: Column, start: Column, _: Column) -> Column:
+        def step(so_far: Column, piece: Column) -> Column:
+            end = so_far["at"] + F.length(piece)
+            match = F.struct(so_far["at"].alias("first"), end.alias("last"), piece.alias("piece"))
+            return F.struct(
+                end.alias("at"),
+                (~so_far["inside"]).alias("inside"),
+                _more(so_far["found"], match, so_far["inside"]).alias("found"),
+            )
+
+        # A block has an even number of pieces, so it begins outside of a match.
+        none = F.struct(start.alias("at"), F.lit(False).alias("inside"), nothing.alias("found"))
+        return F.aggregate(pieces, none, step, lambda end: end["found"])
+
+    def length(pieces: Column) -> Column:
+        return F.aggregate(pieces, F.lit(0), lambda so_far, piece: so_far + F.length(piece))
+
+    return _in_blocks(F.split(wrapped, MARK), length, lambda at, more: at + more, each)
 
 
 def best_entropy(candidate: Column, window: int = WINDOW) -> Column:
@@ -97,30 +152,58 @@ def best_entropy(candidate: Column, window: int = WINDOW) -> Column:
 
     With n log2 n summed over the counts in a window, the entropy is log2(w) - sum / w. A step
     changes the counts of the entering and the leaving character only, so the sum changes by
-    the terms of these two.
+    the terms of these two. The state holds one count for each different character.
     """
-    letters = F.split(candidate, "")
     term = lambda n: F.when(n > 1, n * F.log2(n)).otherwise(0.0)
+    count = lambda counts, place: F.get(counts, place)
+
+    def slide(places: Column, different: Column) -> Column:
+        """Over the place of each character among the different ones, and of the one that leaves then."""
+        moves = F.arrays_zip(
+            places.alias("enters"),
+            F.concat(F.array_repeat(F.lit(-1), window), places).alias("leaves"),
+        )
 
-    def count(letter: Column, first: Column, length: Column) -> Column:
-        return F.size(F.filter(F.slice(letters, first, length), lambda x: x == letter))
-
-    def step(so_far: Column, at: Column) -> Column:
-        enters = F.element_at(letters, at)
-        before = count(enters, F.greatest(at - window, F.lit(1)), F.least(F.lit(window), at - 1))
-        grown = so_far["sum"] + term(before + 1) - term(before)
-        leaves = F.element_at(letters, at - window)
-        had = count(leaves, at - window, F.lit(window + 1))
-        total = F.when(at > window, grown - term(had) + term(had - 1)).otherwise(grown)
-        bits = F.log2(F.lit(float(window))) - total / window
-        return F.struct(
-            total.alias("sum"),
-            F.when(at >= window, F.greatest(so_far["best"], bits)).otherwise(0.0).alias("best"),
+        def step(so_far: Column, move: Column) -> Column:
+            enters, leaves = move["enters"], move["leaves"]
+            before = count(so_far["counts"], enters)
+            had = count(so_far["counts"], leaves) + (enters == leaves).cast("int")
+            grown = so_far["sum"] + term(before + 1) - term(before)
+            total = F.when(leaves >= 0, grown - term(had) + term(had - 1)).otherwise(grown)
+            counts = F.transform(
+                so_far["counts"], lambda n, i: n + (i == enters).cast("int") - (i == leaves).cast("int")
+            )
+            at = so_far["at"] + 1
+            bits = F.log2(F.lit(float(window))) - total / window
+            return F.struct(
+                at.alias("at"),
+                counts.alias("counts"),
+                total.alias("sum"),
+                F.when(at >= window, F.greatest(so_far["best"], bits)).otherwise(0.0).alias("best"),
+            )
+
+        none = F.struct(
+            F.lit(0).alias("at"),
+            F.array_repeat(F.lit(0), F.size(different)).alias("counts"),
+            F.lit(0.0).alias("sum"),
+            F.lit(0.0).alias("best"),
         )
+        # The window is longer than its characters by those that never leave.
+        return F.aggregate(F.slice(moves, 1, F.size(places)), none, step, lambda end: end["best"])
+
+    def placed(letters: Column, different: Column) -> Column:
+        return F.transform(letters, lambda x: F.array_position(different, x).cast("int") - 1)
+
+    return _let(
+        F.split(candidate, ""),
+        lambda letters: _let(
+            F.array_distinct(letters),
+            lambda different: _let(placed(letters, different), lambda places: slide(places, different)),
+        ),
+    )
+
 
-    none = F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
-    steps = F.sequence(F.lit(1), F.greatest(F.length(candidate), F.lit(1)))
-    return F.aggregate(steps, none, step, lambda end: end["best"])
+SPAN = "struct<first:int,kind:int,last:int>"
 
 
 def _spans(found: Column, kind: str) -> Column:
@@ -158,10 +241,9 @@ def find_secrets(
     """Every column of ``docs`` and ``secret_spans``: array of (first, kind, last), sorted.
 
     ``kind`` counts along KINDS. A null or empty text has no spans. Rows stay as they are,
-    repeated ones too; a column of the input called ``secret_spans`` or starting with
-    ``_secret_`` is replaced.
+    repeated ones too; a column of the input called ``secret_spans`` is replaced.
     """
-    docs = docs.drop("secret_spans", "_secret_base", "_secret_runs")
+    docs = docs.drop("secret_spans")
     text = F.coalesce(F.col("text"), F.lit(""))
     assign = F.filter(
         matches(text, ASSIGN),
@@ -174,16 +256,41 @@ def find_secrets(
         _spans(assign, "assign"), _spans(access, "access"), _spans(matches(text, HEX), "hex")
     )
     runs = [_candidates(text, kind, allowed, window) for kind in classes]
-    docs = docs.withColumn("_secret_base", base).withColumn("_secret_runs", F.concat(*runs))
-    added = F.filter(
-        F.array_distinct(_spans(F.col("_secret_runs"), "entropy")),
-        lambda x: ~F.exists(
-            F.col("_secret_base"),
-            lambda y: (y["first"] <= x["first"]) & (x["last"] <= y["last"]),
-        ),
-    )
-    spans = F.array_sort(F.concat("_secret_base", added))
-    return docs.withColumn("secret_spans", spans).drop("_secret_base", "_secret_runs")
+    every = F.array_sort(F.concat(base, *[_spans(found, "entropy") for found in runs]))
+    return docs.withColumn("secret_spans", _let(every, _uncovered))
+
+
+def _uncovered(spans: Column) -> Column:
+    """Sorted spans without entropy spans that repeat or that a base span covers."""
+    entropy = KINDS.index("entropy")
+
+    def reach(block: Column) -> Column:
+        """Where the last base span ends, 0 without one."""
+        return F.aggregate(
+            block,
+            F.lit(0),
+            lambda so_far, x: F.when(x["kind"] < entropy, F.greatest(so_far, x["last"])).otherwise(so_far),
+        )
+
+    def each(block: Column, start: Column, place: Column) -> Column:
+        def step(so_far: Column, span: Column) -> Column:
+            base = span["kind"] < entropy
+            # A span covers another if it begins no later, so was met before, and ends no sooner.
+            fresh = base | ((so_far["reach"] < span["last"]) & ~span.eqNullSafe(so_far["before"]))
+            return F.struct(
+                F.when(base, F.greatest(so_far["reach"], span["last"])).otherwise(so_far["reach"]).alias("reach"),
+                span.alias("before"),
+                _more(so_far["found"], span, fresh).alias("found"),
+            )
+
+        none = F.struct(
+            start.alias("reach"),
+            F.get(spans, place - 1).alias("before"),
+            F.array().cast(f"array<{SPAN}>").alias("found"),
+        )
+        return F.aggregate(block, none, step, lambda end: end["found"])
+
+    return _in_blocks(spans, reach, lambda a, b: F.greatest(a, b), each)
 
 
 def _candidates(
@@ -211,26 +318,36 @@ def redact(docs: DataFrame, label: str = "[SECRET]") -> DataFrame:
     Spans that overlap are replaced as one. ``secret_spans`` goes; a text without spans, a null
     text too, stays as it is.
     """
-    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
-
-    def step(so_far: Column, span: Column) -> Column:
-        gap = F.substring("text", so_far["at"] + 1, span["first"] - so_far["at"])
-        fresh = (span["first"] >= so_far["at"]) & ((so_far["at"] > 0) | (span["last"] > 0))
-        return F.struct(
-            F.when(fresh, F.concat(so_far["text"], gap, F.lit(label)))
-            .otherwise(so_far["text"])
-            .alias("text"),
-            F.greatest(so_far["at"], span["last"]).alias("at"),
-        )
 
-    cut = F.aggregate(
-        "secret_spans",
-        start,
-        step,
-        lambda end: F.concat(end["text"], F.substring("text", end["at"] + 1, F.length("text"))),
-    )
+    def between(cuts: Column, first: Column, last: Column) -> Column:
+        """That part of the text, looked for in the pieces it lies in."""
+        begin = F.floor(first / CUT).cast("int")
+        pieces = F.slice(cuts, begin + 1, F.floor(last / CUT).cast("int") - begin + 1)
+        return F.substring(F.array_join(pieces, ""), first - begin * CUT + 1, last - first)
+
+    def reach(spans: Column) -> Column:
+        return F.array_max(F.transform(spans, lambda x: x["last"]))
+
+    def cut(cuts: Column) -> Column:
+        def each(spans: Column, start: Column, _: Column) -> Column:
+            def step(so_far: Column, span: Column) -> Column:
+                fresh = (span["first"] >= so_far["at"]) & ((so_far["at"] > 0) | (span["last"] > 0))
+                part = F.concat(between(cuts, so_far["at"], span["first"]), F.lit(label))
+                return F.struct(
+                    F.greatest(so_far["at"], span["last"]).alias("at"),
+                    _more(so_far["parts"], part, fresh).alias("parts"),
+                )
+
+            none = F.struct(start.alias("at"), F.array().cast("array<string>").alias("parts"))
+            return F.aggregate(spans, none, step, lambda end: end["parts"])
+
+        parts = _in_blocks(F.col("secret_spans"), reach, lambda a, b: F.greatest(a, b), each)
+        rest = F.substring("text", reach(F.col("secret_spans")) + 1, F.length("text"))
+        return F.concat(F.array_join(parts, ""), rest)
+
+    cuts = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
     return docs.withColumn(
-        "text", F.when(F.size("secret_spans") > 0, cut).otherwise(F.col("text"))
+        "text", F.when(F.size("secret_spans") > 0, _let(cuts, cut)).otherwise(F.col("text"))
     ).drop("secret_spans")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from tokenizers import Tokenizer
@@ -94,6 +95,49 @@ def test_sliding_entropy_equals_counting(spark):
         assert bits == pytest.approx(want, abs=1e-9)
 
 
+def entropy_spans(text):
+    """Candidates, windows and cover by plain loops; the allow-list by its patterns."""
+    base = [(a, b) for _, a, b in plain.secrets(text)]
+    found = set()
+    for kind in secret_scan.CLASSES:
+        for m in plain.re.finditer(f"[{kind.characters}]{{{kind.least},}}", text or ""):
+            allowed = (x.replace("(?i)(?:", "(?i:(?:") + ")" if x.startswith("(?i)") else x for x in secret_scan.ALLOWED)
+            if any(plain.re.fullmatch(x, m[0]) for x in allowed):
+                continue
+            counts = (plain.collections.Counter(m[0][i : i + 20]) for i in range(len(m[0]) - 19))
+            bits = max(sum(-n / 20 * plain.math.log2(n / 20) for n in x.values()) for x in counts)
+            if bits >= kind.threshold and not any(a <= m.start() and m.end() <= b for a, b in base):
+                found.add(m.span())
+    return found
+
+
+def test_added_secret_spans_equal_plain_loops(spark):
+    texts = texts_of(table(spark, SF_DIR, "documents"))
+    rows = secret_scan.op6_secret_scan(spark, SF_DIR).collect()
+    for row in rows:
+        want = [(a, ("assign", "access", "hex").index(k), b) for k, a, b in plain.secrets(texts[row.doc_id])]
+        want += [(a, 3, b) for a, b in entropy_spans(texts[row.doc_id])]
+        shown = ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in sorted(want))
+        assert row.spans == shown, row.doc_id
+
+
+def test_long_runs_and_many_matches_take_linear_time(spark):
+    random.seed(2)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    run = "".join(random.choices(letters, k=200_000))
+    many = " \U0001f600 ".join(f"token=abcdef{i}" for i in range(50_000))
+    mixed = " ".join("".join(random.choices(letters, k=24)) for _ in range(20_000))
+    docs = documents(spark, [f"a {run} b", many, mixed, "x" * 100_000, "example-" * 20_000])
+    begin = time.monotonic()
+    found = {x.doc_id: x for x in secret_scan.find_secrets(docs).collect()}
+    clean = texts_of(secret_scan.redact(secret_scan.find_secrets(docs)))
+    assert time.monotonic() - begin < 90
+    assert [tuple(x) for x in found[0].secret_spans] == [(2, 3, 200_002)] and clean[0] == "a [SECRET] b"
+    assert len(found[1].secret_spans) == 50_000 and clean[1] == " \U0001f600 ".join(["[SECRET]"] * 50_000)
+    assert len(found[2].secret_spans) > 19_000
+    assert found[3].secret_spans == found[4].secret_spans == []
+
+
 def test_redaction(spark):
     texts = ["a token=abcdef" + "0" * 24 + " b", None, "", "nothing", "password=abcdef"]
     rows = secret_scan.redact(secret_scan.find_secrets(documents(spark, texts)))
