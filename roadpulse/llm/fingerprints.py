@@ -360,7 +360,8 @@ def with_next(docs: DataFrame, cells: int = CELLS, range_bytes: int = RANGE_BYTE
     ship_code(spark)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // range_bytes))
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(usual, -(-total // range_bytes))
     rows = rows.withColumn("hash", F.xxhash64("text"))
     firsts = _first_keys(rows, ranges)
 
@@ -381,7 +382,9 @@ def with_next(docs: DataFrame, cells: int = CELLS, range_bytes: int = RANGE_BYTE
     placed = placed.select(
         "doc_id", "text", "hash", F.inline(F.filter(places, lambda x: x["range"].isNotNull()))
     )
-    ordered = placed.repartition("range").sortWithinPartitions(
+    # As many tasks as ranges, if they are more than a shuffle has by itself.
+    dealt = placed.repartition(*([ranges] if ranges > usual else []), "range")
+    ordered = dealt.sortWithinPartitions(
         "range", "guest", F.col("doc_id").asc_nulls_last(), "hash", "text"
     )
     return ordered.select("range", "guest", "doc_id", "text").mapInPandas(_pairs_in_order(cells), RESULT)

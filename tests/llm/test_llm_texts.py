@@ -134,7 +134,7 @@ def test_long_runs_and_many_matches_take_linear_time(spark):
     assert time.monotonic() - begin < 90
     assert [tuple(x) for x in found[0].secret_spans] == [(2, 3, 200_002)] and clean[0] == "a [SECRET] b"
     assert len(found[1].secret_spans) == 50_000 and clean[1] == " \U0001f600 ".join(["[SECRET]"] * 50_000)
-    assert len(found[2].secret_spans) > 19_000
+    assert {(x.first, x.last) for x in found[2].secret_spans} == entropy_spans(mixed)
     assert found[3].secret_spans == found[4].secret_spans == []
 
 
