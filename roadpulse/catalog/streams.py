@@ -44,8 +44,11 @@ from roadpulse.sinks import (
 )
 from roadpulse.sources import read_messages, read_table
 from roadpulse.streaming import (
+    gold_complete,
     hold,
+    read_gold,
     run_stages,
+    settle_gold,
     start_first_copies,
     start_stages,
     stop_all,
@@ -432,3 +435,76 @@ def ingest_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.groupBy(without.alias("without_time")).agg(
         F.count("*").alias("n"), F.every(inside).alias("stamped_while_running")
     )
+
+
+def _land_messages(spark: SparkSession, events: DataFrame, config: FeedConfig) -> None:
+    write_messages(wire_messages(events).select(F.col("value").cast("string").alias("value")), config)
+
+
+@query(
+    f"""
+    with {sql.EVENT_COLUMNS},
+    {sql.gold_of('''
+        select date_trunc('second', ts) as event_ts, event_type as type_code, road, delay_seconds
+        from incident_columns where event_id % 997 <> 0
+    ''')}
+    select * from gold
+    where window_end <= (select max(event_ts) - interval 30 minute from incidents)
+    """
+)
+def future_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows stamped in 2199 arrive among the first half of the events; the second half still counts."""
+    config = _config(spark, "future_stamps")
+    _run_with_ahead(spark, sf_dir, config, ["bronze", "silver", "gold"])
+    return read_table(spark, config.gold_table, GOLD, config)
+
+
+@query("select event_type as type_code, count(*) as n from events where event_id % 997 = 0 group by 1")
+def future_rows_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those rows are in a table of their own."""
+    config = _config(spark, "future_rows_apart")
+    _run_with_ahead(spark, sf_dir, config, ["bronze", "silver", "ahead"])
+    rows = read_table(spark, config.ahead_table, SILVER, config)
+    return rows.groupBy(F.col("typeCode").alias("type_code")).agg(F.count("*").alias("n"))
+
+
+def _run_with_ahead(spark: SparkSession, sf_dir: str, config: FeedConfig, stages: list[str]) -> None:
+    ahead = F.lit("2199-01-01T00:00:00Z").cast("timestamp")
+    events = read_events(spark, sf_dir)
+    stamped = events.withColumn("event_ts", F.when(F.col("event_id") % 997 == 0, ahead).otherwise(F.col("event_ts")))
+    early = F.dayofmonth("ts") <= 15
+    for part in (early, ~early):
+        _land_messages(spark, stamped.where(part), config)
+        run_stages(spark, config, stages, drain=True)
+
+
+@query(
+    f"""
+    with {sql.GOLD_OF_MESSAGES}
+    select * from gold
+    where window_end <= (select max(event_ts) - interval 30 minute from incidents)
+    """
+)
+def backfill_after_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the first ten days come when gold is done with them; their days are settled."""
+    return read_gold(spark, _settled_backfill(spark, sf_dir, "backfill_after_gold"))
+
+
+@query(f"with {sql.GOLD_OF_MESSAGES} select * from gold")
+def gold_with_open_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows from the table, settled ones among them, open ones from the clean rows."""
+    return gold_complete(spark, _settled_backfill(spark, sf_dir, "gold_with_open_tail"))
+
+
+def _settled_backfill(spark: SparkSession, sf_dir: str, purpose: str) -> FeedConfig:
+    config = _config(spark, purpose)
+    events = read_events(spark, sf_dir)
+    late = (F.col("event_id") % 5 == 0) & (F.dayofmonth("ts") <= 10)
+    _land_messages(spark, events.where(~late), config)
+    run_stages(spark, config, ["bronze", "silver", "gold"], drain=True)
+    settle_gold(spark, config)
+    rows = normalize(parse_events(wire_messages(events.where(late))))
+    backfill_table(rows, config.silver_table, config, partition_by=["event_date"])
+    run_stages(spark, config, ["gold"], drain=True)
+    settle_gold(spark, config)
+    return config

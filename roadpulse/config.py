@@ -27,6 +27,8 @@ ENV_SETTINGS = {
     "SILVER_CHECKPOINT": "silver_checkpoint",
     "GOLD_CHECKPOINT": "gold_checkpoint",
     "QUARANTINE_CHECKPOINT": "quarantine_checkpoint",
+    "AHEAD_CHECKPOINT": "ahead_checkpoint",
+    "SETTLE_CHECKPOINT": "settle_checkpoint",
 }
 
 
@@ -40,6 +42,8 @@ class FeedConfig:
     of bronze; the stage of that name collects their text in a table of its own.
     ``poll_key`` names a top-level number of a snapshot document that tells when it was polled;
     without it the time of its file does, and only whole files have an order of their own.
+    ``max_ahead`` keeps rows out of gold whose event time is so much later than their arrival: one of
+    them would close every window until then. The stage ``ahead`` collects them; None lets them in.
     ``dedup_bound`` lets an incident pass again once files are so much newer than its last copy;
     by default it passes once for ever.
     """
@@ -74,6 +78,8 @@ class FeedConfig:
     silver_checkpoint: str = "./checkpoints/silver_incidents"
     gold_checkpoint: str = "./checkpoints/gold_incidents_10m"
     quarantine_checkpoint: str = "./checkpoints/bronze_malformed"
+    ahead_checkpoint: str = "./checkpoints/silver_ahead"
+    settle_checkpoint: str = "./checkpoints/gold_settle"
 
     # timing and state
     trigger_seconds: int = 10
@@ -81,9 +87,10 @@ class FeedConfig:
     watermark: str = "30 minutes"
     missing_time: str = "ingest"
     quarantine: bool = False
+    max_ahead: str | None = "1 day"
     dedup_bound: str | None = None
-    # files that one day's rows of a micro-batch are spread over
-    silver_buckets: int = 1
+    # tasks that one day's rows of a micro-batch are spread over; None goes by their size
+    silver_buckets: int | None = None
     # rows of a micro-batch that the tail prints
     tail_rows: int = 20
 
@@ -124,6 +131,20 @@ class FeedConfig:
     def quarantine_table(self) -> str:
         return f"{self.bronze_path.rstrip('/')}/malformed"
 
+    @property
+    def ahead_table(self) -> str:
+        return f"{self.silver_path.rstrip('/')}/ahead"
+
+    @property
+    def settled_table(self) -> str:
+        """Days of the windowed table that were computed anew."""
+        return f"{self.gold_path.rstrip('/')}/settled_incidents_10m"
+
+    @property
+    def touched_path(self) -> str:
+        """Where settling keeps the windows that it has to look at."""
+        return f"{self.settle_checkpoint.rstrip('/')}_touched"
+
     @property
     def silver_table(self) -> str:
         return f"{self.silver_path.rstrip('/')}/incidents"

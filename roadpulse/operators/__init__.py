@@ -1,4 +1,5 @@
 from roadpulse.operators.bronze import is_malformed, parse_events, split_malformed, stamp_events
+from roadpulse.operators.clock import ahead_of, split_ahead
 from roadpulse.operators.dedup import drop_seen, drop_seen_within, first_per_key
 from roadpulse.operators.gold import aggregate_windows, closed_only, watermarked
 from roadpulse.operators.silver import normalize
@@ -17,6 +18,7 @@ from roadpulse.operators.spatial import within_bbox
 
 __all__ = [
     "aggregate_windows",
+    "ahead_of",
     "closed_only",
     "drop_seen",
     "drop_seen_within",
@@ -31,6 +33,7 @@ __all__ = [
     "parse_events",
     "read_position",
     "read_texts",
+    "split_ahead",
     "split_malformed",
     "stamp_events",
     "to_messages",

@@ -13,6 +13,8 @@ POLLED = "polled"
 ARRIVAL = "arrival"
 ORIGIN = "origin"
 ORIGIN_START = "origin_start"
+#: When the file of a row was written: a row of a stage table has no later arrival.
+ARRIVED = "_arrived"
 SNAPSHOT_ORDER = (POLLED, ARRIVAL, ORIGIN, ORIGIN_START)
 
 
@@ -123,23 +125,44 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return files.exists(folder) and len(files.listStatus(folder)) > 0
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, in order."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in files.listStatus(folder) if x.isDirectory())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _arrived(rows: DataFrame, arrived: bool) -> DataFrame:
+    return rows.withColumn(ARRIVED, F.col("_metadata.file_modification_time")) if arrived else rows
+
+
 def stream_table(
-    spark: SparkSession, path: str, schema: StructType, config: FeedConfig
+    spark: SparkSession, path: str, schema: StructType, config: FeedConfig, *, arrived: bool = False
 ) -> DataFrame:
-    """A stage table as a stream, with what was backfilled beside it. Delta brings its schema."""
+    """A stage table as a stream, with what was backfilled beside it. Delta brings its schema.
+
+    ``arrived`` adds the column ARRIVED.
+    """
     reader = spark.readStream.options(**file_options(config))
     if config.table_format == "delta":
-        return reader.format("delta").load(path)
-    rows = reader.schema(schema).parquet(path)
-    return rows.unionByName(reader.schema(schema).parquet(backfill_path(path)))
+        return _arrived(reader.format("delta").load(path), arrived)
+    rows = _arrived(reader.schema(schema).parquet(path), arrived)
+    return rows.unionByName(_arrived(reader.schema(schema).parquet(backfill_path(path)), arrived))
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: StructType, config: FeedConfig
+    spark: SparkSession, path: str, schema: StructType, config: FeedConfig, *, arrived: bool = False
 ) -> DataFrame:
     if config.table_format == "delta":
-        return spark.read.format("delta").load(path)
-    rows = spark.read.schema(schema).parquet(path)
+        return _arrived(spark.read.format("delta").load(path), arrived)
+    rows = _arrived(spark.read.schema(schema).parquet(path), arrived)
     if has_files(spark, backfill_path(path)):
-        rows = rows.unionByName(spark.read.schema(schema).parquet(backfill_path(path)))
+        more = spark.read.schema(schema).parquet(backfill_path(path))
+        rows = rows.unionByName(_arrived(more, arrived))
     return rows

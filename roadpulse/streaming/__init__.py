@@ -1,10 +1,13 @@
 from roadpulse.streaming.runner import STAGES, hold, run_stages, start_stages, stop_all
+from roadpulse.streaming.settle import closed_until, gold_complete, read_gold, settle_gold
 from roadpulse.streaming.stages import (
     bronze_rows,
     gold_rows,
+    in_time_rows,
     incident_rows,
     message_rows,
     silver_rows,
+    start_ahead,
     start_bronze,
     start_first_copies,
     start_gold,
@@ -17,12 +20,18 @@ from roadpulse.streaming.stages import (
 __all__ = [
     "STAGES",
     "bronze_rows",
+    "closed_until",
+    "gold_complete",
     "gold_rows",
     "hold",
+    "in_time_rows",
     "incident_rows",
     "message_rows",
+    "read_gold",
     "run_stages",
+    "settle_gold",
     "silver_rows",
+    "start_ahead",
     "start_bronze",
     "start_first_copies",
     "start_gold",

@@ -15,9 +15,9 @@ from roadpulse.schemas import BRONZE, SILVER
 from roadpulse.session import require_shared
 from roadpulse.streaming import stages as _stages
 
-# Upstream first. `quarantine` runs beside them when it is asked for by name.
+# Upstream first. `quarantine` and `ahead` run beside them when they are asked for by name.
 STAGES = ("publish", "bronze", "silver", "gold")
-QUARANTINE = "quarantine"
+QUARANTINE, AHEAD = "quarantine", "ahead"
 RETRIED = ("publish",)
 
 log = logging.getLogger(__name__)
@@ -119,7 +119,7 @@ def _starter(name: str):
 
 
 def _in_order(stages: Sequence[str]) -> list[str]:
-    known = (*STAGES, QUARANTINE)
+    known = (*STAGES, QUARANTINE, AHEAD)
     unknown = set(stages) - set(known)
     if unknown:
         raise ValueError(f"unknown stages: {sorted(unknown)}")
@@ -136,6 +136,7 @@ def _prepare(spark: SparkSession, config: FeedConfig, stages: Sequence[str]) ->
         "silver": config.silver_table,
         "gold": config.gold_table,
         QUARANTINE: config.quarantine_table,
+        AHEAD: config.ahead_table,
     }
     for name in stages:
         place = written.get(name)
@@ -148,7 +149,7 @@ def _prepare(spark: SparkSession, config: FeedConfig, stages: Sequence[str]) ->
         sinks.ensure_dir(spark, config.wire_path)
     if "silver" in stages:
         sinks.ensure_table(spark, config.bronze_table, BRONZE, config)
-    if "gold" in stages:
+    if {"gold", AHEAD} & set(stages):
         sinks.ensure_table(
             spark, config.silver_table, SILVER, config, partition_by=["event_date"]
         )

@@ -23,6 +23,7 @@ from roadpulse.operators import (
     parse_events,
     read_position,
     read_texts,
+    split_ahead,
     split_malformed,
     to_messages,
     watermarked,
@@ -31,7 +32,13 @@ from roadpulse.operators import (
 )
 from roadpulse.schemas import BRONZE, SILVER
 from roadpulse.session import DEDUP_SETTINGS, settings
-from roadpulse.sources.readers import ARRIVAL, SNAPSHOT_ORDER, exists
+from roadpulse.sources.readers import ARRIVAL, ARRIVED, SNAPSHOT_ORDER, exists, remove, subfolders
+
+
+BATCH = "batch-"
+#: For how long, by their times, the second step remembers files that it has taken. Only the folder
+#: of one batch is ever left to take, and it is the newest.
+FOLDER_AGE = "7d"
 
 
 def incident_rows(documents: DataFrame, config: FeedConfig) -> DataFrame:
@@ -79,6 +86,13 @@ def silver_rows(events: DataFrame, config: FeedConfig) -> DataFrame:
     return normalize(events, config.missing_time)
 
 
+def in_time_rows(clean: DataFrame, config: FeedConfig) -> DataFrame:
+    """Rows of the clean table, read with their arrival, that may count."""
+    if config.max_ahead is None:
+        return clean
+    return split_ahead(clean, ARRIVED, config.max_ahead)[0]
+
+
 def gold_rows(clean: DataFrame, config: FeedConfig) -> DataFrame:
     return aggregate_windows(watermarked(clean, config.watermark), config.window)
 
@@ -101,19 +115,19 @@ def start_first_copies(
 
     A batch that is tried again finds its folder complete, or writes it anew before the second
     query has looked, and that one's checkpoint knows which files it has taken. So nothing is
-    lost, repeated or out of order, whichever of the two stops where.
+    lost, repeated or out of order, whichever of the two stops where. Only the last batch can be
+    tried again, so once it is taken the folders before it go: two are there at most.
     """
     shape = rows.schema
 
     def reduce_and_send(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        place = f"{folder}/batch-{number:012d}"
+        place = f"{folder}/{BATCH}{number:012d}"
         if not exists(session, f"{place}/_SUCCESS"):
             first_per_key(batch, ["key"], order).write.mode("overwrite").parquet(place)
         first = (
             session.readStream.schema(shape)
-            .options(maxFileAge=config.max_file_age, recursiveFileLookup="true")
-            .option("cleanSource", "delete")
+            .options(maxFileAge=FOLDER_AGE, recursiveFileLookup="true")
             .parquet(folder)
         )
         with settings(session, DEDUP_SETTINGS):
@@ -122,6 +136,11 @@ def start_first_copies(
             query.awaitTermination()
         finally:
             query.stop()
+        if (error := query.exception()) is not None:
+            raise error
+        for name in subfolders(session, folder):
+            if name.startswith(BATCH) and name < f"{BATCH}{number:012d}":
+                remove(session, f"{folder}/{name}")
 
     return (
         rows.writeStream.foreachBatch(reduce_and_send)
@@ -183,12 +202,18 @@ def start_quarantine(
 def start_silver(
     spark: SparkSession, config: FeedConfig, available_now: bool = False
 ) -> StreamingQuery:
-    """Write clean rows by day. The rows of a day come together in ``silver_buckets`` tasks first:
-    a micro-batch adds so many files per day, however many tasks read it."""
+    """Write clean rows by day. The rows of a day come together first, so that a micro-batch adds few
+    files per day, however many tasks read it: in tasks of the advisory size, of which one day that
+    holds most rows fills several, or in ``silver_buckets`` tasks a day if that is set."""
     events = sources.stream_table(spark, config.bronze_table, BRONZE, config)
-    bucket = F.pmod(F.xxhash64("incident_id"), F.lit(config.silver_buckets))
+    rows = silver_rows(events, config)
+    if config.silver_buckets is None:
+        rows = rows.hint("rebalance", F.col("event_date"))
+    else:
+        bucket = F.pmod(F.xxhash64("incident_id"), F.lit(config.silver_buckets))
+        rows = rows.repartition("event_date", bucket)
     return sinks.table_writer(
-        silver_rows(events, config).repartition("event_date", bucket),
+        rows,
         config.silver_checkpoint,
         config,
         partition_by=["event_date"],
@@ -199,12 +224,24 @@ def start_silver(
 def start_gold(
     spark: SparkSession, config: FeedConfig, available_now: bool = False
 ) -> StreamingQuery:
-    clean = sources.stream_table(spark, config.silver_table, SILVER, config)
+    """Write windows once they are closed. Rows whose clock was ahead do not count: see ``max_ahead``."""
+    clean = sources.stream_table(spark, config.silver_table, SILVER, config, arrived=True)
     return sinks.table_writer(
-        gold_rows(clean, config), config.gold_checkpoint, config, available_now=available_now
+        gold_rows(in_time_rows(clean, config), config), config.gold_checkpoint, config, available_now=available_now
     ).start(config.gold_table)
 
 
+def start_ahead(
+    spark: SparkSession, config: FeedConfig, available_now: bool = False
+) -> StreamingQuery:
+    """Collect the clean rows that gold leaves out, whose event time is later than can be."""
+    clean = sources.stream_table(spark, config.silver_table, SILVER, config, arrived=True)
+    _, ahead = split_ahead(clean, ARRIVED, config.max_ahead or "1000 years")
+    return sinks.table_writer(
+        ahead.drop(ARRIVED), config.ahead_checkpoint, config, available_now=available_now
+    ).start(config.ahead_table)
+
+
 def start_tail(spark: SparkSession, config: FeedConfig) -> StreamingQuery:
     """Print the first ``tail_rows`` parsed messages of each micro-batch as they arrive."""
     rows = bronze_rows(sources.stream_messages(spark, config))

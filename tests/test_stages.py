@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from roadpulse import FeedConfig, sinks, sources
 from roadpulse.config import parse_bbox
 from roadpulse.schemas import BRONZE, GOLD, SILVER
-from roadpulse.session import DELTA_SETTINGS, new_work_dir, shared_root
+from roadpulse.session import DELTA_SETTINGS, new_work_dir, settings, shared_root
 from roadpulse.streaming import (
     bronze_rows,
     hold,
@@ -296,6 +296,19 @@ def test_a_batch_that_failed_between_the_steps_is_sent_once(spark, config, monke
     assert sorted(r.id for r in rows) == ["1", "2"]
 
 
+def test_folders_of_first_copies_go_once_taken(spark, config):
+    config = config.with_(max_files_per_trigger=1)
+    for number in range(12):
+        land(config, f"{number}.json", incident(str(number), "00:01"), incident("again", "00:02"))
+    run_stages(spark, config, ["publish"], drain=True)
+    assert len(os.listdir(config.first_copies_path)) <= 2
+    land(config, "more.json", incident("more", "00:01"), incident("3", "00:02"))
+    run_stages(spark, config, ["publish"], drain=True)
+    rows = bronze_rows(sources.read_messages(spark, config)).collect()
+    assert sorted(r.id for r in rows) == sorted([*map(str, range(12)), "again", "more"])
+    assert len([x for x in os.listdir(config.first_copies_path) if x.startswith("batch-")]) <= 2
+
+
 def test_publish_reduces_below_the_exchange(spark, config, plan):
     from roadpulse.operators import first_per_key
     from roadpulse.streaming import incident_rows
@@ -390,6 +403,25 @@ def test_a_micro_batch_adds_few_files_per_day(spark, config, buckets):
     assert table(spark, config.silver_table, SILVER, config).count() == 2000
 
 
+def test_a_full_day_is_written_by_several_tasks(spark, config):
+    """Without a setting, by the size of the batch."""
+    rows = spark.range(0, 40_000, numPartitions=8).select(
+        F.col("id").cast("string").alias("id"),
+        F.sha2(F.col("id").cast("string"), 512).alias("description"),
+        F.expr("timestamp '2024-01-01' + make_dt_interval(if(id % 100 = 0, 1, 0))").alias("event_ts"),
+    )
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in BRONZE if f.name not in rows.columns]
+    sinks.write_table(rows.select("*", *missing).select(BRONZE.names), config.bronze_table, config)
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512k"}):
+        run_stages(spark, config, ["silver"], drain=True)
+    days = {
+        os.path.basename(place): sum(n.endswith(".parquet") for n in names)
+        for place, _, names in os.walk(config.silver_table) if "event_date=" in place
+    }
+    assert 2 <= days["event_date=2024-01-01"] <= 20 and days["event_date=2024-01-02"] <= 3
+    assert table(spark, config.silver_table, SILVER, config).count() == 40_000
+
+
 # ---------------------------------------------------------------- settings
 
 
@@ -417,7 +449,7 @@ def test_every_location_moves_under_one_root():
     config = FeedConfig.under("/shared/run")
     paths = [v for k, v in vars(config).items() if k.endswith(("_path", "_checkpoint"))]
     paths = [path for path in paths if path is not None]
-    assert len(paths) == len(set(paths)) == 10
+    assert len(paths) == len(set(paths)) == 12
     assert all(path.startswith("/shared/run/") for path in paths)
 
 
