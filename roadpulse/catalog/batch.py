@@ -18,6 +18,8 @@ from roadpulse.functions import (
 from roadpulse.operators import (
     aggregate_windows,
     closed_only,
+    clustered_by_place,
+    coordinates,
     explode_snapshots,
     first_per_key,
     flatten_incidents,
@@ -30,6 +32,7 @@ from roadpulse.operators import (
     watermarked,
     with_id,
     within_bbox,
+    within_bbox_clustered,
 )
 from roadpulse.plans import (
     clean_table,
@@ -249,6 +252,22 @@ def bbox_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inside.select(F.col("incident_id").cast("bigint").alias("event_id"), *_pairs())
 
 
+@query(
+    """
+    select event_id, cast(user_id as double) as lon, value as lat
+    from events where user_id between 10 and 60 and value between 5 and 50
+    """
+)
+def bbox_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a table of incidents clustered by place, of which the scan skips what is far."""
+    incidents = coordinates(silver_like(read_events(spark, sf_dir)))
+    extent = incidents.agg(F.min("lon"), F.min("lat"), F.max("lon"), F.max("lat")).first()
+    path = new_work_dir(spark, "bbox_clustered")
+    clustered_by_place(incidents, extent).write.partitionBy("event_date").parquet(path)
+    inside = within_bbox_clustered(spark.read.parquet(path), (10.0, 5.0, 60.0, 50.0), extent)
+    return inside.select(F.col("incident_id").cast("bigint").alias("event_id"), "lon", "lat")
+
+
 # ---------------------------------------------------------------- wire and bronze
 
 

@@ -47,7 +47,10 @@ from roadpulse.streaming import (
     gold_complete,
     hold,
     read_gold,
+    read_progress,
+    reseed_publish,
     run_stages,
+    seen_keys,
     settle_gold,
     start_first_copies,
     start_stages,
@@ -508,3 +511,60 @@ def _settled_backfill(spark: SparkSession, sf_dir: str, purpose: str) -> FeedCon
     run_stages(spark, config, ["gold"], drain=True)
     settle_gold(spark, config)
     return config
+
+
+@query(
+    f"""
+    with {sql.DOCUMENTS}
+    select count(*) as snapshots, cast(sum((event_id % 19 = 0)::int) as bigint) as unreadable,
+           cast(sum(case when readable then 4 else 0 end) as bigint) as incidents
+    from documents_of_events
+    """
+)
+def polls_logged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What publish reports of its polls, added up from the table of reports."""
+    config = _config(spark, "polls_logged", whole_files=False, poll_key="polled", max_files_per_trigger=3)
+    _land_snapshots(spark, sf_dir, config)
+    run_stages(spark, config, ["publish"], drain=True)
+    counts = F.col("counts")
+    return read_progress(spark, config).agg(
+        F.sum(counts["polled.snapshots"]).alias("snapshots"),
+        F.sum(counts["polled.unreadable"]).alias("unreadable"),
+        F.sum(counts["exploded.incidents"]).alias("incidents"),
+    )
+
+
+@query(
+    f"""
+    with {sql.EXPLODED}
+    select distinct sha256(coalesce(model, '') || ':' || id) as key from exploded where id <> ''
+    """
+)
+def seen_keys_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys in the state of publish are those of the incidents it has sent."""
+    config = _config(spark, "seen_keys_read", whole_files=False, poll_key="polled")
+    _land_snapshots(spark, sf_dir, config)
+    run_stages(spark, config, ["publish"], drain=True)
+    return seen_keys(spark, config).select(F.lower(F.hex("key")).alias("key"))
+
+
+@query(
+    f"""
+    with {sql.EXPLODED}
+    select distinct model as model_id, id from exploded where id <> ''
+    """
+)
+def publish_reseeded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the snapshots published, then all of them under another width and the keys of before."""
+    old = _config(spark, "publish_reseeded", whole_files=False, poll_key="polled")
+    width = "spark.sql.shuffle.partitions"
+    documents = snapshot_documents(read_events(spark, sf_dir), "event_id")
+    documents.where("event_id % 2 = 0").select("payload").write.text(old.snapshot_path)
+    run_stages(spark, old, ["publish"], drain=True)
+    new = _config(spark, "publish_reseeded", whole_files=False, poll_key="polled")
+    with settings(spark, {width: str(int(spark.conf.get(width)) + 3)}):
+        reseed_publish(spark, old, new)
+    _land_snapshots(spark, sf_dir, new)
+    run_stages(spark, new, ["publish"], drain=True)
+    sent = read_messages(spark, old).unionByName(read_messages(spark, new))
+    return parse_events(sent).select(F.col("trafficModelId").alias("model_id"), "id")

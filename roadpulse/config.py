@@ -22,6 +22,7 @@ ENV_SETTINGS = {
     "BRONZE_PATH": "bronze_path",
     "SILVER_PATH": "silver_path",
     "GOLD_PATH": "gold_path",
+    "METRICS_PATH": "metrics_path",
     "PUBLISH_CHECKPOINT": "publish_checkpoint",
     "BRONZE_CHECKPOINT": "bronze_checkpoint",
     "SILVER_CHECKPOINT": "silver_checkpoint",
@@ -87,6 +88,9 @@ class FeedConfig:
     watermark: str = "30 minutes"
     missing_time: str = "ingest"
     quarantine: bool = False
+    # keep what each micro-batch reports in a table
+    log_progress: bool = True
+    metrics_path: str = "./data/metrics"
     max_ahead: str | None = "1 day"
     dedup_bound: str | None = None
     # tasks that one day's rows of a micro-batch are spread over; None goes by their size

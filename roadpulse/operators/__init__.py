@@ -14,12 +14,21 @@ from roadpulse.operators.snapshots import (
     to_messages,
     with_id,
 )
-from roadpulse.operators.spatial import within_bbox
+from roadpulse.operators.spatial import (
+    clustered_by_place,
+    coordinates,
+    key_ranges,
+    place_key,
+    within_bbox,
+    within_bbox_clustered,
+)
 
 __all__ = [
     "aggregate_windows",
     "ahead_of",
     "closed_only",
+    "clustered_by_place",
+    "coordinates",
     "drop_seen",
     "drop_seen_within",
     "explode_snapshots",
@@ -28,9 +37,11 @@ __all__ = [
     "flatten_incidents",
     "incidents_per_snapshot",
     "is_malformed",
+    "key_ranges",
     "message_of_event",
     "normalize",
     "parse_events",
+    "place_key",
     "read_position",
     "read_texts",
     "split_ahead",
@@ -40,4 +51,5 @@ __all__ = [
     "watermarked",
     "with_id",
     "within_bbox",
+    "within_bbox_clustered",
 ]

@@ -5,6 +5,7 @@ from roadpulse.sinks.writers import (
     ensure_table,
     has_sink_log,
     message_writer,
+    named_stage,
     refuse_stream_into_batch,
     table_writer,
     trigger_options,
@@ -19,6 +20,7 @@ __all__ = [
     "ensure_table",
     "has_sink_log",
     "message_writer",
+    "named_stage",
     "refuse_stream_into_batch",
     "table_writer",
     "trigger_options",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +45,11 @@ def trigger_options(seconds: int | None, available_now: bool = False) -> dict:
     return {"processingTime": f"{seconds or 0} seconds"}
 
 
+def named_stage(writer: DataStreamWriter, stage: str | None) -> DataStreamWriter:
+    """Name a query after its stage and this run: names of running queries must differ."""
+    return writer.queryName(f"{stage}.{uuid.uuid4().hex[:12]}") if stage else writer
+
+
 def table_writer(
     rows: DataFrame,
     checkpoint: str,
@@ -51,6 +57,7 @@ def table_writer(
     *,
     partition_by: Sequence[str] = (),
     available_now: bool = False,
+    stage: str | None = None,
 ) -> DataStreamWriter:
     """Append to a stage table. Offsets, state and the list of written files share the
     checkpoint, so that a restart neither repeats nor loses a micro-batch."""
@@ -60,6 +67,7 @@ def table_writer(
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger_options(config.trigger_seconds, available_now))
     )
+    writer = named_stage(writer, stage)
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 

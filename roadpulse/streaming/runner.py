@@ -14,6 +14,7 @@ from roadpulse.config import FeedConfig
 from roadpulse.schemas import BRONZE, SILVER
 from roadpulse.session import require_shared
 from roadpulse.streaming import stages as _stages
+from roadpulse.streaming.progress import progress_log
 
 # Upstream first. `quarantine` and `ahead` run beside them when they are asked for by name.
 STAGES = ("publish", "bronze", "silver", "gold")
@@ -99,19 +100,27 @@ def run_stages(
     """
     if drain:
         _prepare(spark, config, stages)
-        for name in _in_order(stages):
-            _starter(name)(spark, config, available_now=True).awaitTermination()
+        with progress_log(spark, config) as log:
+            for name in _in_order(stages):
+                query = _starter(name)(spark, config, available_now=True)
+                query.awaitTermination()
+                if log is not None:
+                    log.wait_for(query)
         return
-    running = start_stages(spark, config, stages)
-    try:
-        hold(
-            running,
-            keep_running_seconds,
-            restart=lambda name: _starter(name)(spark, config),
-            pause=config.poll_seconds,
-        )
-    finally:
-        stop_all(running)
+    with progress_log(spark, config) as log:
+        running = start_stages(spark, config, stages)
+        try:
+            hold(
+                running,
+                keep_running_seconds,
+                restart=lambda name: _starter(name)(spark, config),
+                pause=config.poll_seconds,
+            )
+        finally:
+            stop_all(running)
+            for _, query in running:
+                if log is not None:
+                    log.wait_for(query)
 
 
 def _starter(name: str):

@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from roadpulse import sinks, sources
 from roadpulse.config import FeedConfig
@@ -36,6 +37,8 @@ from roadpulse.sources.readers import ARRIVAL, ARRIVED, SNAPSHOT_ORDER, exists,
 
 
 BATCH = "batch-"
+#: Keys seen under another checkpoint; goes before the first batch.
+SEEDS = f"{BATCH}-seeds"
 #: For how long, by their times, the second step remembers files that it has taken. Only the folder
 #: of one batch is ever left to take, and it is the newest.
 FOLDER_AGE = "7d"
@@ -73,6 +76,8 @@ def message_rows(first: DataFrame, config: FeedConfig) -> DataFrame:
         fresh = drop_seen_within(first, "key", ARRIVAL, config.dedup_bound)
     else:
         fresh = drop_seen(first)
+    # Keys that were taken over from another checkpoint have no text.
+    fresh = fresh.where("text is not null")
     return to_messages(flatten_incidents(read_texts(fresh), "text"), "text")
 
 
@@ -105,6 +110,7 @@ def start_first_copies(
     send: Callable[[DataFrame], StreamingQuery],
     config: FeedConfig,
     trigger: Mapping[str, str | bool],
+    stage: str | None = None,
 ) -> StreamingQuery:
     """Keep the first copy of each ``key`` of a stream, by micro-batch and then by ``order``.
 
@@ -125,13 +131,8 @@ def start_first_copies(
         place = f"{folder}/{BATCH}{number:012d}"
         if not exists(session, f"{place}/_SUCCESS"):
             first_per_key(batch, ["key"], order).write.mode("overwrite").parquet(place)
-        first = (
-            session.readStream.schema(shape)
-            .options(maxFileAge=FOLDER_AGE, recursiveFileLookup="true")
-            .parquet(folder)
-        )
         with settings(session, DEDUP_SETTINGS):
-            query = send(first)
+            query = send(first_copies(session, folder, shape))
         try:
             query.awaitTermination()
         finally:
@@ -142,12 +143,22 @@ def start_first_copies(
             if name.startswith(BATCH) and name < f"{BATCH}{number:012d}":
                 remove(session, f"{folder}/{name}")
 
-    return (
-        rows.writeStream.foreachBatch(reduce_and_send)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    writer = rows.writeStream.foreachBatch(reduce_and_send).option("checkpointLocation", checkpoint)
+    return sinks.named_stage(writer, stage).trigger(**trigger).start()
+
+
+def first_copies(spark: SparkSession, folder: str, shape: StructType) -> DataFrame:
+    """What the first step has written, as a stream."""
+    reader = spark.readStream.schema(shape)
+    return reader.options(maxFileAge=FOLDER_AGE, recursiveFileLookup="true").parquet(folder)
+
+
+def send_first_copies(first: DataFrame, config: FeedConfig) -> StreamingQuery:
+    """Send those of them whose key was not seen before, and end."""
+    place = f"{config.publish_checkpoint.rstrip('/')}/sent"
+    with settings(first.sparkSession, DEDUP_SETTINGS):
+        writer = sinks.message_writer(message_rows(first, config), place, config, available_now=True)
+        return writer.start()
 
 
 def start_publish(
@@ -159,11 +170,6 @@ def start_publish(
     their text decides, so that a retry finds the same rows.
     """
     base = config.publish_checkpoint.rstrip("/")
-
-    def send(first: DataFrame) -> StreamingQuery:
-        messages = message_rows(first, config)
-        return sinks.message_writer(messages, f"{base}/sent", config, available_now=True).start()
-
     return start_first_copies(
         incident_rows(sources.stream_snapshots(spark, config), config),
         [
@@ -173,9 +179,10 @@ def start_publish(
         ],
         config.first_copies_path,
         f"{base}/poll",
-        send,
+        lambda first: send_first_copies(first, config),
         config,
         sinks.trigger_options(config.poll_seconds, available_now),
+        "publish",
     )
 
 
@@ -184,7 +191,7 @@ def start_bronze(
 ) -> StreamingQuery:
     events = bronze_rows(sources.stream_messages(spark, config), config)
     return sinks.table_writer(
-        events, config.bronze_checkpoint, config, available_now=available_now
+        events, config.bronze_checkpoint, config, available_now=available_now, stage="bronze"
     ).start(config.bronze_table)
 
 
@@ -195,7 +202,7 @@ def start_quarantine(
     _, malformed = split_malformed(sources.stream_messages(spark, config))
     texts = malformed.select(F.col("value").cast("string").alias("value"))
     return sinks.table_writer(
-        texts, config.quarantine_checkpoint, config, available_now=available_now
+        texts, config.quarantine_checkpoint, config, available_now=available_now, stage="quarantine"
     ).start(config.quarantine_table)
 
 
@@ -218,6 +225,7 @@ def start_silver(
         config,
         partition_by=["event_date"],
         available_now=available_now,
+        stage="silver",
     ).start(config.silver_table)
 
 
@@ -227,7 +235,11 @@ def start_gold(
     """Write windows once they are closed. Rows whose clock was ahead do not count: see ``max_ahead``."""
     clean = sources.stream_table(spark, config.silver_table, SILVER, config, arrived=True)
     return sinks.table_writer(
-        gold_rows(in_time_rows(clean, config), config), config.gold_checkpoint, config, available_now=available_now
+        gold_rows(in_time_rows(clean, config), config),
+        config.gold_checkpoint,
+        config,
+        available_now=available_now,
+        stage="gold",
     ).start(config.gold_table)
 
 
@@ -238,7 +250,7 @@ def start_ahead(
     clean = sources.stream_table(spark, config.silver_table, SILVER, config, arrived=True)
     _, ahead = split_ahead(clean, ARRIVED, config.max_ahead or "1000 years")
     return sinks.table_writer(
-        ahead.drop(ARRIVED), config.ahead_checkpoint, config, available_now=available_now
+        ahead.drop(ARRIVED), config.ahead_checkpoint, config, available_now=available_now, stage="ahead"
     ).start(config.ahead_table)
 
 

@@ -449,7 +449,7 @@ def test_every_location_moves_under_one_root():
     config = FeedConfig.under("/shared/run")
     paths = [v for k, v in vars(config).items() if k.endswith(("_path", "_checkpoint"))]
     paths = [path for path in paths if path is not None]
-    assert len(paths) == len(set(paths)) == 12
+    assert len(paths) == len(set(paths)) == 13
     assert all(path.startswith("/shared/run/") for path in paths)
 
 
