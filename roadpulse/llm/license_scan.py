@@ -24,13 +24,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import table
+from roadpulse.llm.common import ship_code, table
 
 GRAM, WINDOW = 3, 2
 #: Words inserted or left out by which an alignment may leave its diagonal.
 BAND = 8
-#: Least share of a template's words that must match; of short ones all must.
-COVERAGE, SHORT = 0.75, 24
+#: Least share of a template's words that must match.
+COVERAGE = 0.75
+#: Words that tell no licence from another. All other words of a notice must match: they are what
+#: it says. Of longer texts any words may be left out.
+FILLERS = frozenset(b"released under the licensed this project work is license version spdx identifier".split())
+NOTICE_WORDS = 24
 
 _WORD = re.compile(rb"[a-z0-9]+")
 
@@ -40,6 +44,8 @@ NOTICES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "This project is licensed under the MIT License."),
+    ("MIT", "Released under MIT License."),
+    ("MIT", "Licensed under MIT License."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Released under the Apache License, Version 2.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -117,6 +123,18 @@ TEXTS = (
         "the GNU General Public License as published by the Free Software Foundation; either version "
         "2 of the License, or (at your option) any later version.",
     ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Affero General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Lesser General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
+    ),
     (
         "LGPL-2.1",
         "This library is free software; you can redistribute it and/or modify it under the terms of "
@@ -130,7 +148,11 @@ TEXTS = (
         "https://mozilla.org/MPL/2.0/.",
     ),
 )
-TEMPLATES = (*NOTICES, *TEXTS)
+#: The identifier line that files of each of these licences may carry instead.
+IDENTIFIERS = tuple(
+    (name, f"SPDX-License-Identifier: {name}") for name in sorted({name for name, _ in (*NOTICES, *TEXTS)})
+)
+TEMPLATES = (*NOTICES, *TEXTS, *IDENTIFIERS)
 
 Match = tuple[str, int, float, int, int, int]  # licence, template, coverage, matched, first, last
 
@@ -150,6 +172,10 @@ class Index:
         self.names = [name for name, _ in templates]
         self.numbers = {word: n for n, word in enumerate(sorted({w for t in words for w in t}))}
         self.templates = [[self.numbers[w] for w in t] for t in words]
+        fillers = {self.numbers[word] for word in FILLERS if word in self.numbers}
+        self.told = [
+            [w for w in t if w not in fillers] if len(t) < NOTICE_WORDS else [] for t in self.templates
+        ]
         places = defaultdict(list)
         for number, template in enumerate(self.templates):
             grams = self.grams(np.array(template, np.int64))
@@ -221,9 +247,14 @@ class Index:
         matched, first, last = max(row)
         return matched, first, -last
 
+    def says(self, numbers: list[int], template: int) -> bool:
+        """Whether the words that tell the licence of a notice stand there in their order."""
+        words = iter(numbers)
+        return all(word in words for word in self.told[template])
+
     def scan(self, text: str | None) -> list[Match]:
         """Matches in a whole text, in order; places in code points, the end exclusive."""
-        data = (text or "").encode().lower()
+        data = (text or "").encode().lower().replace(b"licence", b"license")
         words = _WORD.findall(data)
         if len(words) < GRAM:
             return []
@@ -232,7 +263,7 @@ class Index:
         for template, diagonal in self.candidates(np.array(numbers, np.int64)):
             size = len(self.templates[template])
             matched, first, last = self.align(numbers, template, diagonal)
-            if matched >= (size if size < SHORT else COVERAGE * size):
+            if matched >= COVERAGE * size and self.says(numbers[first : last + 1], template):
                 found.append((matched, matched / size, -template, first, last))
         # Most matched words first, then the better covered, then the first template and place.
         taken: list[tuple[int, int]] = []
@@ -269,8 +300,9 @@ def find_licenses(
 
     ``template`` counts along ``templates``; ``coverage`` is the share of its words that match,
     ``first`` and ``last`` the span in code points (end exclusive). Null and empty texts have no
-    match; repeated rows have theirs each; other columns are ignored.
+    match; repeated rows have theirs each; other columns are ignored. ``licence`` reads as ``license``.
     """
+    ship_code(docs.sparkSession)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = _index(templates)

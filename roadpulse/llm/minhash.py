@@ -39,6 +39,7 @@ from roadpulse.llm.common import (
     discard,
     named,
     saved,
+    ship_code,
     table,
 )
 
@@ -377,10 +378,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def one_per_group(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """The rows of ``docs`` but one row for each component: all columns, nothing else changes.
 
-    Rows that repeat a kept doc_id go too; a row without doc_id stays.
+    Rows that repeat a kept doc_id and its text go too; other texts of that doc_id stay, and so does a
+    row without doc_id.
     """
+    ship_code(docs.sparkSession)
     groups = near_duplicates(docs, words).where("kept").select("doc_id").distinct()
-    with_id = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    digest = "_digest_of_text"
+    with_id = docs.where("doc_id is not null").withColumn(digest, F.xxhash64("text"))
+    with_id = with_id.dropDuplicates(["doc_id", digest])
     return with_id.join(groups, "doc_id", "left_semi").select(named(docs)).unionByName(
         docs.where("doc_id is null")
     )

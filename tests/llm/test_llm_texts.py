@@ -318,6 +318,63 @@ def test_licences(spark):
     assert covered[0] == 1.0 and 0.9 < covered[2] < 1.0
 
 
+GNU = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General "
+    "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+    "option) any later version."
+)
+
+
+def test_the_right_licence_of_similar_ones():
+    index = license_scan.Index(license_scan.TEMPLATES)
+    told = {
+        GNU.format(""): "GPL-3.0",
+        GNU.format("Affero "): "AGPL-3.0",
+        GNU.format("Lesser "): "LGPL-3.0",
+        "Released under MIT License": "MIT",
+        "released under the MIT Licence.": "MIT",
+        "Licensed under the Apache License 2.0": "Apache-2.0",
+        "// SPDX-License-Identifier: MIT": "MIT",
+        "SPDX-License-Identifier: AGPL-3.0-or-later": "AGPL-3.0",
+        "SPDX-License-Identifier: CC-BY-NC-4.0": "CC-BY-NC-4.0",
+        "This work is licensed under GNU Lesser General Public License, version 3": "LGPL-3.0",
+    }
+    for text, name in told.items():
+        assert [x[0] for x in index.scan(f"Above. {text} Below.")] == [name], text
+    for text in ("Licensed under the Apache License", "Released under the Foo License", "SPDX-License-Identifier: Foo-1.0"):
+        assert index.scan(text) == []
+
+
+def test_alignment_equals_a_full_table():
+    random.seed(8)
+    index = license_scan.Index(license_scan.TEMPLATES)
+    names = [i for i, words in enumerate(index.templates) if len(words) >= license_scan.NOTICE_WORDS]
+    for _ in range(40):
+        template = random.choice(names)
+        words = index.templates[template]
+        text = list(words)
+        for _ in range(random.randint(0, 6)):
+            at = random.randrange(len(text))
+            text[at : at + 1] = random.choice([[], [-1], [text[at], -1]])
+        before = [[0] * (len(text) + 1)]
+        for word in words:
+            row = [0]
+            for j, other in enumerate(text):
+                row.append(max(row[j], before[-1][j + 1], before[-1][j] + (word == other)))
+            before.append(row)
+        matched, first, last = index.align(text, template, 0)
+        # Six edits cannot leave a band of eight.
+        assert matched == before[-1][-1] and 0 <= first <= last < len(text)
+
+
+def test_licences_of_odd_rows(spark):
+    rows = [(1, "Licensed under the MIT License.")] * 2 + [(None, "Licensed under the MIT License."), (2, None), (3, "")]
+    docs = spark.createDataFrame([(*x, *"abc") for x in rows], "doc_id long, text string, license string, first string, matched string")
+    found = license_scan.find_licenses(docs).collect()
+    assert sorted((x.doc_id is None, x.license, x["first"]) for x in found) == [(False, "MIT", 0)] * 2 + [(True, "MIT", 0)]
+    assert license_scan.find_licenses(docs.limit(0)).collect() == []
+
+
 def test_every_template_finds_itself():
     index = license_scan.Index(license_scan.TEMPLATES)
     for name, text in license_scan.TEMPLATES:
