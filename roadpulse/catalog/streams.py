@@ -516,7 +516,7 @@ def _settled_backfill(spark: SparkSession, sf_dir: str, purpose: str) -> FeedCon
 @query(
     f"""
     with {sql.DOCUMENTS}
-    select count(*) as snapshots, cast(sum((event_id % 19 = 0)::int) as bigint) as unreadable,
+    select 'publish' as stage, count(*) as snapshots, cast(sum((event_id % 19 = 0)::int) as bigint) as unreadable,
            cast(sum(case when readable then 4 else 0 end) as bigint) as incidents
     from documents_of_events
     """
@@ -527,7 +527,7 @@ def polls_logged(spark: SparkSession, sf_dir: str) -> DataFrame:
     _land_snapshots(spark, sf_dir, config)
     run_stages(spark, config, ["publish"], drain=True)
     counts = F.col("counts")
-    return read_progress(spark, config).agg(
+    return read_progress(spark, config).groupBy("stage").agg(
         F.sum(counts["polled.snapshots"]).alias("snapshots"),
         F.sum(counts["polled.unreadable"]).alias("unreadable"),
         F.sum(counts["exploded.incidents"]).alias("incidents"),
