@@ -40,7 +40,7 @@ def test_query_matches_sql(spark, name):
 
 def test_one_query_for_each_operator():
     names = [name for name in contract.queries() if name.startswith("op")]
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14))
     assert "pipeline" in contract.queries()
 
 
