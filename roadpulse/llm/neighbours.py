@@ -2,27 +2,31 @@
 
 A graph that links every vector to near ones is built in rounds: "a neighbour of a neighbour is
 probably a neighbour". A round joins each node with those it links to and those that link to it,
-compares them with each other, and offers each what it lacks; each keeps its nearest. A query
-then walks the graph: of the nodes it has met it keeps the nearest as its beam, opens the nearest
+compares them with each other, and offers each what it lacks; each keeps its nearest. Rounds end
+when few links change. A query then walks the graph: of the nodes it has met it keeps the nearest as its beam, opens the nearest
 ones not opened yet, and ends when all of its beam is open. What it ends with is scored again on
 the original vectors, in double precision.
 
-Nearness is the inner product. Vectors may have any length, so they get one more coordinate that
-brings all to the length of the longest; among these, inner product with a query orders as cosine
+Nearness is the inner product. Vectors of each number of coordinates have a graph of their own.
+They may be of any norm, so they get one more coordinate that
+brings all to the norm of the longest; among these, inner product with a query orders as cosine
 does. In the graph vectors are kept as bytes with a scale, for moving, not for results.
 
 Scale. Rounds start from cells of a few random hyperplanes, dealt to chunks of bounded size. A
-node joins at most LINKS + BACKLINKS others: backlinks of hubs are thinned by a hash, never
-gathered. Equal vectors are one node from the start, whatever their number, and results take the
-smallest ids of each. Queries start from different nodes of a pool, so that none is hot. Lists are kept as bytes; a round shuffles each node's code once per link.
-The search moves beams to nodes and offers back to beams; the graph is bucketed by node, so its
-lists are read where they lie. Work grows with nodes times links, and queries times beam.
+node joins at most LINKS + BACKLINKS others: links to hubs and from them are thinned by a hash in
+rounds, never gathered. Equal vectors are one node and one walk, whatever their number, and results
+take the smallest ids of each. Pools of entries grow with the number of queries, so that none is
+hot. Lists are kept as bytes; a round shuffles each node's code once per link. The search moves
+beams to nodes and offers back to beams; the graph is bucketed by node, so its lists are read where
+they lie, but those of nodes that very many queries open at once, which a join of their own takes.
+Work grows with nodes times links, and queries times beam.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import discard, saved, table
+from roadpulse.llm.common import discard, saved, ship_code, table
 from roadpulse.llm.embedding_dedup import usable
 from roadpulse.session import new_work_dir
 
@@ -39,12 +43,18 @@ from roadpulse.session import new_work_dir
 LINKS, BACKLINKS = 32, 24
 #: Random partitions that the first lists come from, and vectors compared in a chunk of a cell.
 PARTITIONS, CHUNK = 6, 1024
-#: Rounds of neighbours of neighbours, and how many a node offers to each other one.
-ROUNDS, OFFERS = 2, 8
-#: Nodes a query keeps, opens at a time, and scores again; steps after which it ends at the latest.
-BEAM, OPENED, SCORED, STEPS = 256, 64, 64, 30
-#: Nodes chosen by hash, and how many of them, the nearest, a query starts from besides its own.
-POOL, ENTRIES = 1024, 16
+#: Links to a hub that take part in a round, on average; the graph itself has them all.
+HUB = 128
+#: Rounds of neighbours of neighbours end when less than this share of all links is new, and how
+#: many a node offers to each other one.
+CHANGED, OFFERS = 0.05, 8
+#: Nodes a query keeps, opens at a time, and scores again.
+BEAM, OPENED, SCORED = 256, 64, 64
+#: Nodes chosen by hash for every so many queries, and how many of them, the nearest, a query starts
+#: from besides its own.
+POOL, SHARING, ENTRIES = 1024, 4096, 16
+#: Queries that open a node in one step beyond which its list is joined apart from the buckets.
+HOT = 4096
 
 
 def encode(vectors: np.ndarray) -> list[bytes]:
@@ -86,19 +96,12 @@ def _bytes(column: pa.Array, rows: int) -> np.ndarray:
 
 
 def nodes_of(vectors: DataFrame) -> DataFrame:
-    """(node, embedding, norm) of the distinct usable vectors of (vec_id, embedding).
-
-    Vectors that are not of the most frequent length (the greater of equals) take no part.
-    """
-    fit = vectors.where(usable(F.col("embedding"))).withColumn("n", F.size("embedding"))
-    lengths = fit.groupBy("n").count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
-    n = lengths[0]["n"] if lengths else 0
+    """(node, embedding, norm) of the distinct vectors of (embedding), all usable, of one length."""
     squares = F.aggregate(
         "embedding", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")
     )
     return (
-        fit.where(F.col("n") == n)
-        .select("embedding")
+        vectors.select("embedding")
         .distinct()
         .select(
             F.xxhash64("embedding").alias("node"), "embedding", F.sqrt(squares).alias("norm")
@@ -160,34 +163,42 @@ def _first_lists(coded: DataFrame, count: int) -> DataFrame:
     return dealt.groupBy("part", "cell", "chunk").applyInPandas(compare, "node long, list binary")
 
 
-def _merged(offers: DataFrame) -> DataFrame:
-    """(node, list): the nearest of all that was offered to each node."""
+def _merged(offers: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """(node, list, fresh): the nearest of all that was offered to each node and of its list before,
+    and how many of them that list did not have."""
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            lists = []
+            lists, fresh = [], []
             for parts in batch["lists"]:
-                found = [unpack(x) for x in parts]
-                lists.append(
-                    pack(
-                        *nearest(
-                            np.concatenate([x[0] for x in found]),
-                            np.concatenate([x[1] for x in found]),
-                            LINKS,
-                        )
-                    )
+                found = [unpack(x["list"]) for x in parts]
+                ids, scores = nearest(
+                    np.concatenate([x[0] for x in found]),
+                    np.concatenate([x[1] for x in found]),
+                    LINKS,
                 )
-            yield pd.DataFrame({"node": batch["node"], "list": lists})
+                own = [x[0] for x, part in zip(found, parts) if part["old"]]
+                old = np.isin(ids, np.concatenate(own)) if own else np.zeros(len(ids), bool)
+                lists.append(pack(ids, scores))
+                fresh.append(len(ids) - int(old.sum()))
+            yield pd.DataFrame({"node": batch["node"], "list": lists, "fresh": fresh})
 
-    gathered = offers.groupBy("node").agg(F.collect_list("list").alias("lists"))
-    return gathered.mapInPandas(merge, "node long, list binary")
+    rows = offers.select("node", F.lit(False).alias("old"), "list")
+    if before is not None:
+        rows = rows.union(before.select("node", F.lit(True), "list"))
+    gathered = rows.groupBy("node").agg(F.collect_list(F.struct("old", "list")).alias("lists"))
+    return gathered.mapInPandas(merge, "node long, list binary, fresh long")
 
 
-def _members(lists: DataFrame, coded: DataFrame, salt: int) -> DataFrame:
-    """(node, members): per node the nodes linked with it, as (member, least, code).
+def _members(
+    lists: DataFrame, coded: DataFrame, salt: int, hub: int | None = None
+) -> tuple[DataFrame, list[DataFrame]]:
+    """(node, members): per node the nodes linked with it, as (member, least, code); and the written
+    tables that this is read from.
 
     ``least`` is the score that an offer to the member must exceed. Of the links to a node,
-    BACKLINKS are kept on average, chosen by hash.
+    BACKLINKS are kept on average as links from it, chosen by hash. With ``hub``, no more than that
+    many of them, on average, are kept as links to it: it is in so many meetings, not in more.
     """
 
     def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -202,13 +213,14 @@ def _members(lists: DataFrame, coded: DataFrame, salt: int) -> DataFrame:
             )
 
     forward = saved(lists.mapInPandas(links, "node long, member long"), "nn-links")
-    backward = forward.select(F.col("member").alias("node"), F.col("node").alias("member"))
-    degrees = forward.groupBy(F.col("member").alias("node")).agg(F.count("*").alias("degree"))
-    draw = F.pmod(F.xxhash64("node", "member", F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
-    backward = backward.join(saved(degrees, "nn-degrees"), "node").where(
-        draw * F.col("degree") < BACKLINKS
+    degrees = saved(forward.groupBy("member").agg(F.count("*").alias("degree")), "nn-degrees")
+    draw = F.pmod(F.xxhash64("member", "node", F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
+    drawn = forward.join(degrees, "member").withColumn("rank", draw * F.col("degree"))
+    backward = drawn.where(F.col("rank") < BACKLINKS).select(
+        F.col("member").alias("node"), F.col("node").alias("member")
     )
-    both = forward.union(backward.select("node", "member")).distinct()
+    onward = forward if hub is None else drawn.where(F.col("rank") < hub)
+    both = onward.select("node", "member").union(backward).distinct()
 
     def least(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -219,9 +231,10 @@ def _members(lists: DataFrame, coded: DataFrame, salt: int) -> DataFrame:
     worst = lists.mapInPandas(least, "member long, least float")
     known = coded.withColumnRenamed("node", "member").join(worst, "member", "left")
     known = saved(known.na.fill(-3.0, ["least"]), "nn-known")
-    return both.join(known, "member").groupBy("node").agg(
+    met = both.join(known, "member").groupBy("node").agg(
         F.collect_list(F.struct("member", "least", "code")).alias("members")
     )
+    return met, [forward, degrees, known]
 
 
 def _round(members: DataFrame) -> DataFrame:
@@ -259,17 +272,25 @@ def _round(members: DataFrame) -> DataFrame:
     return members.select("members").mapInArrow(meet, "node long, list binary")
 
 
-def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, float]:
-    """(node, ids, codes): per node what it is linked with, bucketed by node; the longest norm."""
+def build_graph(nodes: DataFrame, changed: float = CHANGED) -> tuple[DataFrame, float]:
+    """(node, ids, codes): per node what it is linked with, bucketed by node; the longest norm.
+
+    Every round that is not the last brings new links nearer than those they replace, so rounds end.
+    """
     spark = nodes.sparkSession
     size = nodes.agg(F.count("*").alias("n"), F.max("norm").alias("longest")).first()
     longest = size["longest"] or 1.0
     coded = saved(_coded(nodes, longest), "nn-coded")
     lists = saved(_merged(_first_lists(coded, size["n"])), "nn-lists")
-    for step in range(rounds):
-        offers = _round(_members(lists, coded, step))
-        before, lists = lists, saved(_merged(offers.union(lists)), "nn-lists")
-        discard(before)
+    step = 0
+    # One chunk has compared every node with every other one.
+    while size["n"] > CHUNK:
+        members, used = _members(lists, coded, step, HUB)
+        before, lists = lists, saved(_merged(_round(members), lists), "nn-lists")
+        discard(before, *used)
+        step += 1
+        if lists.agg(F.sum("fresh")).first()[0] <= changed * LINKS * size["n"]:
+            break
 
     def flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,15 +310,14 @@ def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, floa
                 ["node", "ids", "codes"],
             )
 
-    graph = _members(lists, coded, rounds).mapInArrow(
-        flatten, "node long, ids binary, codes binary"
-    )
+    members, used = _members(lists, coded, step)
+    graph = members.mapInArrow(flatten, "node long, ids binary, codes binary")
     name = f"nn_graph_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = new_work_dir(spark, "nn-graph")
     writer = graph.repartition(buckets, "node").write.bucketBy(buckets, "node")
     writer.option("path", path).format("parquet").saveAsTable(name)
-    discard(coded, lists)
+    discard(coded, lists, *used)
     found = spark.table(name)
     found.saved_path, found.saved_name = path, name
     return found, longest
@@ -309,61 +329,68 @@ def drop_graph(graph: DataFrame) -> None:
     discard(graph)
 
 
-def _entries(nodes: DataFrame, longest: float) -> tuple[np.ndarray, np.ndarray]:
-    """POOL nodes and their vectors: a bounded sample."""
-    rows = nodes.orderBy(F.xxhash64("node")).limit(POOL).select("node", "embedding").toPandas()
-    if rows.empty:
-        return np.empty(0, np.int64), np.empty((0, 0))
-    return rows["node"].to_numpy(), _lengthened(rows["embedding"], longest)
+def _pools(nodes: DataFrame, count: int, pools: int) -> DataFrame:
+    """(pool, node, embedding): nodes dealt to pools of about POOL nodes, by hash; all if there are few."""
+    draw = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
+    pool = F.pmod(F.xxhash64("node", F.lit(2)), F.lit(pools))
+    drawn = nodes.where(draw < pools * POOL / max(count, 1))
+    return drawn.select(pool.alias("pool"), "node", "embedding")
 
 
 def search_graph(queries: DataFrame, nodes: DataFrame, graph: DataFrame, longest: float) -> DataFrame:
-    """(query, node): the nodes that each query of (query, node, embedding) ends with.
+    """(query, node): the nodes that each query of (query, node, embedding) ends with, written.
 
     ``query`` is any long, unique; ``node`` is where it starts besides the entries, also a node
-    that the graph lacks.
+    that the graph lacks. A walk ends when all of its beam is open: what has left a beam cannot
+    come back, so each does.
     """
-    entry_ids, entry_vectors = _entries(nodes, longest)
-
-    def start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch) or not len(entry_ids):
-                continue
-            vectors = np.stack(batch["embedding"].to_numpy()).astype(np.float64)
+    pools = max(int(np.ceil(queries.count() / SHARING)), 1)
+
+    def start(asked: pd.DataFrame, pool: pd.DataFrame) -> pd.DataFrame:
+        beams, wides = [], []
+        if len(pool):
+            entry_ids = pool["node"].to_numpy()
+            entries = _lengthened(pool["embedding"], longest)
+        for at in range(0, len(asked), 256):
+            part = asked.iloc[at : at + 256]
+            vectors = np.stack(part["embedding"].to_numpy()).astype(np.float64)
             vectors /= np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
             wide = np.concatenate([vectors, np.zeros((len(vectors), 1))], axis=1)
-            scores = wide @ entry_vectors.T
-            beams = []
-            for own, row in zip(batch["node"], scores):
+            wides += [x.astype(np.float32).tobytes() for x in wide]
+            scores = wide @ entries.T if len(pool) else np.empty((len(part), 0))
+            for own, row in zip(part["node"], scores):
                 best = np.argsort(-row)[:ENTRIES]
-                # Its own node is opened first, whatever its length.
-                ids = np.append(entry_ids[best], np.int64(own))
-                beams.append(pack(*nearest(ids, np.append(row[best], 2.0), BEAM)))
-            yield pd.DataFrame(
-                {
-                    "query": batch["query"],
-                    "vector": [x.astype(np.float32).tobytes() for x in wide],
-                    "beam": beams,
-                    "opened": [bytes(len(unpack(x)[0])) for x in beams],
-                    "done": False,
-                }
-            )
+                near = entry_ids[best] if len(pool) else np.empty(0, np.int64)
+                # Its own node is opened first, whatever its norm.
+                ids = np.append(np.int64(own), near)
+                beams.append(pack(*nearest(ids, np.append(2.0, row[best]), BEAM)))
+        opened = [bytes(len(unpack(x)[0])) for x in beams]
+        return pd.DataFrame(
+            {"query": asked["query"], "vector": wides, "beam": beams, "opened": opened, "done": False}
+        )
 
     shape = "query long, vector binary, beam binary, opened binary, done boolean"
-    state = saved(queries.mapInPandas(start, shape), "nn-beams")
-    closed = None
-    for _ in range(STEPS):
-        moves = state.mapInPandas(_next_nodes, "query long, node long, vector binary, worst float")
-        offers = moves.join(graph, "node").mapInPandas(_looked_at, "query long, list binary")
+    dealt = queries.withColumn("pool", F.pmod(F.xxhash64("query"), F.lit(pools)))
+    pooled = _pools(nodes, nodes.count(), pools).groupBy("pool")
+    state = saved(dealt.groupBy("pool").cogroup(pooled).applyInPandas(start, shape), "nn-beams")
+    states = [state]
+    while not state.where("not done").isEmpty():
+        walking = state.where("not done")
+        moves = saved(
+            walking.mapInPandas(_next_nodes, "query long, node long, vector binary, worst float"),
+            "nn-moves",
+        )
+        looked, used = _with_lists(moves, graph)
+        offers = looked.mapInPandas(_looked_at, "query long, list binary")
         merged = offers.groupBy("query").agg(F.collect_list("list").alias("lists"))
         state = saved(
-            state.join(merged, "query", "left").mapInPandas(_opened, shape), "nn-beams"
+            walking.join(merged, "query", "left").mapInPandas(_opened, shape), "nn-beams"
         )
-        closed = state.where("done") if closed is None else closed.union(state.where("done"))
-        state = state.where("not done")
-        if state.isEmpty():
-            break
-    every = closed.union(state)
+        states.append(state)
+        discard(moves, *used)
+    closed = states[0].where("done")
+    for one in states[1:]:
+        closed = closed.union(one.where("done"))
 
     def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -375,7 +402,24 @@ def search_graph(queries: DataFrame, nodes: DataFrame, graph: DataFrame, longest
                 }
             )
 
-    return every.mapInPandas(ends, "query long, node long")
+    found = saved(closed.mapInPandas(ends, "query long, node long"), "nn-ends")
+    discard(*states)
+    return found
+
+
+def _with_lists(moves: DataFrame, graph: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Moves and the lists of their nodes; and the written tables that this is read from.
+
+    A bucket cannot be split, so moves to hot nodes meet the lists of these in a join of its own,
+    which can. Of hot nodes there is one at most for every HOT moves.
+    """
+    hot = moves.groupBy("node").agg(F.count("*").alias("moves")).where(F.col("moves") > HOT)
+    hot = saved(hot.select("node"), "nn-hot")
+    if hot.isEmpty():
+        return moves.join(graph, "node"), [hot]
+    lists = saved(graph.join(hot, "node", "left_semi"), "nn-hot-lists")
+    usual = moves.join(hot, "node", "left_anti").join(graph, "node")
+    return usual.union(moves.join(lists, "node").select(usual.columns)), [hot, lists]
 
 
 def _to_open(beam: bytes, opened: bytes) -> np.ndarray:
@@ -453,29 +497,38 @@ def inner_product(a: Column, b: Column) -> Column:
 def nearest_rows(vectors: DataFrame, queries: Column, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that ``queries`` selects its k nearest others.
 
-    Nearest first, ties to the smaller vec_id; fewer where there are fewer. Unusable vectors
-    (see ``usable``), those of another length than most, and those without vec_id take no part.
-    All rows of a query's vec_id are its own; rows that repeat a vec_id and its vector count once.
+    ``queries`` is a condition on vec_id. Nearest first, ties to the smaller vec_id; fewer where there
+    are fewer. Unusable vectors (see ``usable``) and those without vec_id take no part; a query has
+    the vectors of its own number of coordinates for candidates, and each such number a graph of its
+    own. All rows of a query's vec_id are its own; rows that repeat a vec_id and its vector count once.
     """
+    ship_code(vectors.sparkSession)
     rows = vectors.select("vec_id", "embedding").where("vec_id is not null")
+    rows = rows.where(usable(F.col("embedding"))).withColumn("n", F.size("embedding"))
+    lengths = rows.where(queries).select("n").distinct().orderBy("n").collect()
+    found = [_nearest_of_length(rows.where(F.col("n") == x["n"]).drop("n"), queries, k) for x in lengths]
+    if not found:
+        shape = f"query_id {dict(rows.dtypes)['vec_id']}, rank int, vec_id {dict(rows.dtypes)['vec_id']}, score double"
+        return vectors.sparkSession.createDataFrame([], shape)
+    return reduce(DataFrame.union, found)
+
+
+def _nearest_of_length(rows: DataFrame, queries: Column, k: int) -> DataFrame:
     nodes = saved(nodes_of(rows), "nn-nodes")
     graph, longest = build_graph(nodes)
-    asked = rows.where(queries).where(usable(F.col("embedding"))).distinct()
-    asked = asked.withColumn("node", F.xxhash64("embedding"))
-    asked = saved(
-        asked.join(nodes.select("node").distinct(), "node", "left_semi").withColumn(
-            "query", F.xxhash64("vec_id", "node")
-        ),
-        "nn-queries",
-    )
-    ends = saved(
-        search_graph(asked.select("query", "node", "embedding"), nodes, graph, longest), "nn-ends"
-    )
-    drop_graph(graph)
+    try:
+        node = F.xxhash64("embedding")
+        asked = rows.where(queries).distinct().withColumn("node", node)
+        asked = saved(asked.withColumn("query", F.xxhash64("node", "embedding")), "nn-queries")
+        # Rows of equal vectors walk as one.
+        walks = asked.select("query", "node", "embedding").distinct()
+        ends = search_graph(walks, nodes, graph, longest)
+    finally:
+        drop_graph(graph)
     # The smallest ids of equal vectors; a query needs k of them besides its own.
     by_id = W.partitionBy("node", "embedding").orderBy("vec_id")
     copies = (
-        rows.withColumn("node", F.xxhash64("embedding"))
+        rows.withColumn("node", node)
         .join(ends.select("node").distinct(), "node", "left_semi")
         .distinct()
         .withColumn("nth", F.row_number().over(by_id))
@@ -483,16 +536,26 @@ def nearest_rows(vectors: DataFrame, queries: Column, k: int) -> DataFrame:
     )
     scored = (
         ends.join(nodes.select("node", F.col("embedding").alias("near")), "node")
-        .join(asked.select("query", F.col("vec_id").alias("query_id"), "embedding"), "query")
-        .select("query_id", "query", "node", "near", inner_product(F.col("embedding"), F.col("near")).alias("score"))
+        .join(walks.drop("node"), "query")
+        .select("query", "node", "near", inner_product(F.col("embedding"), F.col("near")).alias("score"))
     )
-    by_score = W.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     # A node's copies are those of its very vector, should two vectors share a hash.
     named = scored.join(
         copies.select("node", F.col("embedding").alias("near"), "vec_id"), ["node", "near"]
-    ).where(F.col("vec_id") != F.col("query_id"))
+    )
+    # Rows of a query's own vec_id are among them, one for each of its vectors.
+    own = asked.groupBy("vec_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    nth = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
+    top = named.withColumn("nth", nth).where(F.col("nth") <= k + own)
+    # Written, so that the rows of one vector can be split over tasks.
+    top = saved(top.select("query", "vec_id", "score"), "nn-top")
+    discard(ends, nodes)
+    by_score = W.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     return (
-        named.withColumn("rank", F.row_number().over(by_score))
+        asked.select("query", F.col("vec_id").alias("query_id"))
+        .join(top, "query")
+        .where(F.col("vec_id") != F.col("query_id"))
+        .withColumn("rank", F.row_number().over(by_score))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )

@@ -336,6 +336,41 @@ def test_nearest_rows_odd_vectors(spark):
     check_nearest(found.collect(), rows, 0.99)
 
 
+def test_nearest_rows_of_several_lengths_and_repeated_ids(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rng.normal(size=3 + i % 3)]) for i in range(90)]
+    rows += [(20, [1.0, 0.5, 0.25]), (20, [0.5, 1.0, 0.25]), (7, [0.1, 0.2, 0.3]), (7, [0.1, 0.2, 0.3])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest_rows(frame, F.col("vec_id") % 20 == 0, 20).collect()
+    distinct = sorted({(v, tuple(x)) for v, x in rows})
+    got = collections.defaultdict(list)
+    for row in sorted(found, key=lambda x: x["rank"]):
+        got[row.query_id].append((row.vec_id, round(row.score, 9)))
+    for query in range(0, 90, 20):
+        want = []
+        for vector in [x for v, x in distinct if v == query]:
+            scores = [
+                (v, round(sum(a * b for a, b in zip(vector, x)), 9))
+                for v, x in distinct
+                if v != query and len(x) == len(vector)
+            ]
+            want += sorted(scores, key=lambda x: (-x[1], x[0]))[:20]
+        assert sorted(got[query]) == sorted(want)
+
+
+def test_nearest_rows_of_a_hot_node(spark, monkeypatch):
+    """Copies of one vector walk once, and lists that many walks open meet them in a join of their own."""
+    monkeypatch.setattr(neighbours, "HOT", 3)
+    monkeypatch.setattr(neighbours, "SHARING", 50)
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(1500)]
+    rows += [(20 * i, [1.0] * 6) for i in range(100, 400)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest_rows(frame, F.col("vec_id") % 20 == 0, 20).collect()
+    check_nearest(found, rows, 0.99)
+    assert [x for x in spark.catalog.listTables() if x.name.startswith("nn_graph")] == []
+
+
 @pytest.mark.parametrize("rows", [[], [(0, [1.0, 2.0])], [(3, [1.0]), (5, [1.0])]])
 def test_nearest_of_almost_nothing(spark, rows):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
