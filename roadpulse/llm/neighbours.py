@@ -5,7 +5,9 @@ probably a neighbour". A round joins each node with those it links to and those
 compares them with each other, and offers each what it lacks; each keeps its nearest. Rounds end
 when few links change. A query then walks the graph: of the nodes it has met it keeps the nearest as its beam, opens the nearest
 ones not opened yet, and ends when all of its beam is open. What it ends with is scored again on
-the original vectors, in double precision.
+the original vectors, in double precision. How wide beams must be turns on the data and their
+number, so it is measured: a bounded sample of queries is compared with every vector, in blocks, and
+beams double until the graph gives the sample's neighbours back, or a wider one adds nothing.
 
 Nearness is the inner product. Vectors of each number of coordinates have a graph of their own.
 They may be of any norm, so they get one more coordinate that
@@ -26,7 +28,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -48,8 +50,12 @@ HUB = 128
 #: Rounds of neighbours of neighbours end when less than this share of all links is new, and how
 #: many a node offers to each other one.
 CHANGED, OFFERS = 0.05, 8
-#: Nodes a query keeps, opens at a time, and scores again.
-BEAM, OPENED, SCORED = 256, 64, 64
+#: Nodes a query keeps, at the first width tried; the share of them that it opens at a time; and how
+#: many it scores again.
+BEAM, OPENED, SCORED = 256, 0.25, 64
+#: Queries that the width is measured with, at most; the recall to reach; the least that a wider beam
+#: must add.
+SAMPLE, RECALL, GAIN = 200, 0.95, 0.005
 #: Nodes chosen by hash for every so many queries, and how many of them, the nearest, a query starts
 #: from besides its own.
 POOL, SHARING, ENTRIES = 1024, 4096, 16
@@ -337,7 +343,9 @@ def _pools(nodes: DataFrame, count: int, pools: int) -> DataFrame:
     return drawn.select(pool.alias("pool"), "node", "embedding")
 
 
-def search_graph(queries: DataFrame, nodes: DataFrame, graph: DataFrame, longest: float) -> DataFrame:
+def search_graph(
+    queries: DataFrame, nodes: DataFrame, graph: DataFrame, longest: float, beam: int = BEAM
+) -> DataFrame:
     """(query, node): the nodes that each query of (query, node, embedding) ends with, written.
 
     ``query`` is any long, unique; ``node`` is where it starts besides the entries, also a node
@@ -363,7 +371,7 @@ def search_graph(queries: DataFrame, nodes: DataFrame, graph: DataFrame, longest
                 near = entry_ids[best] if len(pool) else np.empty(0, np.int64)
                 # Its own node is opened first, whatever its norm.
                 ids = np.append(np.int64(own), near)
-                beams.append(pack(*nearest(ids, np.append(2.0, row[best]), BEAM)))
+                beams.append(pack(*nearest(ids, np.append(2.0, row[best]), beam)))
         opened = [bytes(len(unpack(x)[0])) for x in beams]
         return pd.DataFrame(
             {"query": asked["query"], "vector": wides, "beam": beams, "opened": opened, "done": False}
@@ -377,14 +385,16 @@ def search_graph(queries: DataFrame, nodes: DataFrame, graph: DataFrame, longest
     while not state.where("not done").isEmpty():
         walking = state.where("not done")
         moves = saved(
-            walking.mapInPandas(_next_nodes, "query long, node long, vector binary, worst float"),
+            walking.mapInPandas(
+                partial(_next_nodes, beam), "query long, node long, vector binary, worst float"
+            ),
             "nn-moves",
         )
         looked, used = _with_lists(moves, graph)
         offers = looked.mapInPandas(_looked_at, "query long, list binary")
         merged = offers.groupBy("query").agg(F.collect_list("list").alias("lists"))
         state = saved(
-            walking.join(merged, "query", "left").mapInPandas(_opened, shape), "nn-beams"
+            walking.join(merged, "query", "left").mapInPandas(partial(_opened, beam), shape), "nn-beams"
         )
         states.append(state)
         discard(moves, *used)
@@ -422,18 +432,18 @@ def _with_lists(moves: DataFrame, graph: DataFrame) -> tuple[DataFrame, list[Dat
     return usual.union(moves.join(lists, "node").select(usual.columns)), [hot, lists]
 
 
-def _to_open(beam: bytes, opened: bytes) -> np.ndarray:
+def _to_open(width: int, beam: bytes, opened: bytes) -> np.ndarray:
     """The nearest nodes of a beam that are not open; ``opened`` has a byte for each."""
-    return unpack(beam)[0][np.frombuffer(opened, np.uint8) == 0][:OPENED]
+    return unpack(beam)[0][np.frombuffer(opened, np.uint8) == 0][: int(width * OPENED)]
 
 
-def _next_nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _next_nodes(width: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found, worst = [], []
         for beam, opened in zip(batch["beam"], batch["opened"]):
             scores = unpack(beam)[1]
-            found.append(_to_open(beam, opened))
-            worst.append(scores[-1] if len(scores) >= BEAM else -3.0)
+            found.append(_to_open(width, beam, opened))
+            worst.append(scores[-1] if len(scores) >= width else -3.0)
         sizes = [len(x) for x in found]
         yield pd.DataFrame(
             {
@@ -462,17 +472,17 @@ def _looked_at(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"query": pd.Series(queries, dtype="int64"), "list": lists})
 
 
-def _opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _opened(width: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Beams after a step: what was opened, what was found."""
     for batch in batches:
         beams, flags, ended = [], [], []
         for beam, opened, lists in zip(batch["beam"], batch["opened"], batch["lists"]):
             ids, scores = unpack(beam)
             done = ids[np.frombuffer(opened, np.uint8) == 1]
-            done = np.append(done, _to_open(beam, opened))
+            done = np.append(done, _to_open(width, beam, opened))
             found = [(ids, scores)] + [unpack(x) for x in ([] if lists is None else lists)]
             ids, scores = nearest(
-                np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]), BEAM
+                np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]), width
             )
             now = np.isin(ids, done)
             beams.append(pack(ids, scores))
@@ -489,6 +499,57 @@ def _opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
+def _exact_nodes(sample: pd.DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """(query, near): the k nodes nearest to each query of the sample but its own, by comparing all."""
+    queries = sample["query"].to_numpy()
+    own = sample["node"].to_numpy()
+    vectors = np.stack(sample["embedding"].to_numpy()).astype(np.float64)
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # What a task has met so far, k for each query.
+        best = np.full((len(queries), k), -np.inf)
+        ids = np.zeros((len(queries), k), np.int64)
+        for batch in batches:
+            for at in range(0, len(batch), 1024):
+                part = batch.iloc[at : at + 1024]
+                names = part["node"].to_numpy()
+                scores = vectors @ np.stack(part["embedding"].to_numpy()).astype(np.float64).T
+                scores[own[:, None] == names[None, :]] = -np.inf
+                scores = np.concatenate([best, scores], axis=1)
+                names = np.concatenate([ids, np.broadcast_to(names, (len(queries), len(names)))], axis=1)
+                chosen = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+                best = np.take_along_axis(scores, chosen, axis=1)
+                ids = np.take_along_axis(names, chosen, axis=1)
+        met = np.isfinite(best)
+        yield pd.DataFrame(
+            {"query": np.repeat(queries, met.sum(axis=1)), "near": ids[met], "score": best[met]}
+        )
+
+    found = nodes.select("node", "embedding").mapInPandas(compare, "query long, near long, score double")
+    nth = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "near"))
+    return found.withColumn("nth", nth).where(F.col("nth") <= k).select("query", "near")
+
+
+def searched(
+    queries: DataFrame, nodes: DataFrame, graph: DataFrame, longest: float, k: int
+) -> DataFrame:
+    """``search_graph`` with beams as wide as a sample of at most SAMPLE queries asks for."""
+    chosen = queries.orderBy(F.xxhash64("query"), "query").limit(SAMPLE)
+    chosen = saved(chosen.select("query", "node", "embedding"), "nn-sample")
+    exact = saved(_exact_nodes(chosen.toPandas(), nodes, k), "nn-exact")
+    total, beam, before = max(exact.count(), 1), BEAM, 0.0
+    while True:
+        ends = search_graph(chosen, nodes, graph, longest, beam)
+        near = ends.withColumnRenamed("node", "near")
+        recall = exact.join(near, ["query", "near"], "left_semi").count() / total
+        discard(ends)
+        if recall >= RECALL or recall < before + GAIN:
+            break
+        before, beam = recall, 2 * beam
+    discard(chosen, exact)
+    return search_graph(queries, nodes, graph, longest, beam)
+
+
 def inner_product(a: Column, b: Column) -> Column:
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
@@ -522,7 +583,7 @@ def _nearest_of_length(rows: DataFrame, queries: Column, k: int) -> DataFrame:
         asked = saved(asked.withColumn("query", F.xxhash64("node", "embedding")), "nn-queries")
         # Rows of equal vectors walk as one.
         walks = asked.select("query", "node", "embedding").distinct()
-        ends = search_graph(walks, nodes, graph, longest)
+        ends = searched(walks, nodes, graph, longest, k)
     finally:
         drop_graph(graph)
     # The smallest ids of equal vectors; a query needs k of them besides its own.
