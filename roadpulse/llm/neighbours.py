@@ -424,9 +424,9 @@ def _with_lists(moves: DataFrame, graph: DataFrame) -> tuple[DataFrame, list[Dat
     which can. Of hot nodes there is one at most for every HOT moves.
     """
     hot = moves.groupBy("node").agg(F.count("*").alias("moves")).where(F.col("moves") > HOT)
-    hot = saved(hot.select("node"), "nn-hot")
     if hot.isEmpty():
-        return moves.join(graph, "node"), [hot]
+        return moves.join(graph, "node"), []
+    hot = saved(hot.select("node"), "nn-hot")
     lists = saved(graph.join(hot, "node", "left_semi"), "nn-hot-lists")
     usual = moves.join(hot, "node", "left_anti").join(graph, "node")
     return usual.union(moves.join(lists, "node").select(usual.columns)), [hot, lists]
