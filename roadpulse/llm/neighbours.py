@@ -52,7 +52,7 @@ HUB = 128
 CHANGED, OFFERS = 0.05, 8
 #: Nodes a query keeps, at the first width tried; the share of them that it opens at a time; and how
 #: many it scores again.
-BEAM, OPENED, SCORED = 256, 0.25, 64
+BEAM, OPENED, SCORED = 256, 0.5, 64
 #: Queries that the width is measured with, at most; the recall to reach; the least that a wider beam
 #: must add.
 SAMPLE, RECALL, GAIN = 200, 0.95, 0.005
@@ -169,9 +169,13 @@ def _first_lists(coded: DataFrame, count: int) -> DataFrame:
     return dealt.groupBy("part", "cell", "chunk").applyInPandas(compare, "node long, list binary")
 
 
-def _merged(offers: DataFrame, before: DataFrame | None = None) -> DataFrame:
-    """(node, list, fresh): the nearest of all that was offered to each node and of its list before,
-    and how many of them that list did not have."""
+def _merged(offers: DataFrame, before: DataFrame) -> DataFrame:
+    """(node, list, fresh, code): the nearest of all that was offered to each node and of its list
+    before, and how many of them that list did not have.
+
+    ``before`` is (node, list, code), list null where there is none yet; codes move with the lists,
+    so no join brings them together.
+    """
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -187,17 +191,22 @@ def _merged(offers: DataFrame, before: DataFrame | None = None) -> DataFrame:
                 old = np.isin(ids, np.concatenate(own)) if own else np.zeros(len(ids), bool)
                 lists.append(pack(ids, scores))
                 fresh.append(len(ids) - int(old.sum()))
-            yield pd.DataFrame({"node": batch["node"], "list": lists, "fresh": fresh})
+            yield pd.DataFrame(
+                {"node": batch["node"], "list": lists, "fresh": fresh, "code": batch["code"]}
+            )
 
-    rows = offers.select("node", F.lit(False).alias("old"), "list")
-    if before is not None:
-        rows = rows.union(before.select("node", F.lit(True), "list"))
-    gathered = rows.groupBy("node").agg(F.collect_list(F.struct("old", "list")).alias("lists"))
-    return gathered.mapInPandas(merge, "node long, list binary, fresh long")
+    rows = offers.select("node", F.lit(False).alias("old"), "list", F.lit(None).cast("binary").alias("code"))
+    rows = rows.union(before.select("node", F.lit(True), "list", "code"))
+    part = F.when(F.col("list").isNotNull(), F.struct("old", "list"))
+    # One row of a node has a code.
+    gathered = rows.groupBy("node").agg(
+        F.collect_list(part).alias("lists"), F.max("code").alias("code")
+    )
+    return gathered.mapInPandas(merge, "node long, list binary, fresh long, code binary")
 
 
 def _members(
-    lists: DataFrame, coded: DataFrame, salt: int, hub: int | None = None
+    lists: DataFrame, salt: int, hub: int | None = None
 ) -> tuple[DataFrame, list[DataFrame]]:
     """(node, members): per node the nodes linked with it, as (member, least, code); and the written
     tables that this is read from.
@@ -218,7 +227,8 @@ def _members(
                 }
             )
 
-    forward = saved(lists.mapInPandas(links, "node long, member long"), "nn-links")
+    linked = lists.select("node", "list").mapInPandas(links, "node long, member long")
+    forward = saved(linked, "nn-links")
     degrees = saved(forward.groupBy("member").agg(F.count("*").alias("degree")), "nn-degrees")
     draw = F.pmod(F.xxhash64("member", "node", F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
     drawn = forward.join(degrees, "member").withColumn("rank", draw * F.col("degree"))
@@ -232,11 +242,16 @@ def _members(
         for batch in batches:
             scores = [unpack(x)[1] for x in batch["list"]]
             worst = [float(x.min()) if len(x) >= LINKS else -3.0 for x in scores]
-            yield pd.DataFrame({"member": batch["node"], "least": np.array(worst, np.float32)})
+            yield pd.DataFrame(
+                {
+                    "member": batch["node"],
+                    "least": np.array(worst, np.float32),
+                    "code": batch["code"],
+                }
+            )
 
-    worst = lists.mapInPandas(least, "member long, least float")
-    known = coded.withColumnRenamed("node", "member").join(worst, "member", "left")
-    known = saved(known.na.fill(-3.0, ["least"]), "nn-known")
+    known = lists.select("node", "list", "code")
+    known = saved(known.mapInPandas(least, "member long, least float, code binary"), "nn-known")
     met = both.join(known, "member").groupBy("node").agg(
         F.collect_list(F.struct("member", "least", "code")).alias("members")
     )
@@ -287,11 +302,13 @@ def build_graph(nodes: DataFrame, changed: float = CHANGED) -> tuple[DataFrame,
     size = nodes.agg(F.count("*").alias("n"), F.max("norm").alias("longest")).first()
     longest = size["longest"] or 1.0
     coded = saved(_coded(nodes, longest), "nn-coded")
-    lists = saved(_merged(_first_lists(coded, size["n"])), "nn-lists")
+    unlisted = coded.select("node", F.lit(None).cast("binary").alias("list"), "code")
+    lists = saved(_merged(_first_lists(coded, size["n"]), unlisted), "nn-lists")
+    discard(coded)
     step = 0
     # One chunk has compared every node with every other one.
     while size["n"] > CHUNK:
-        members, used = _members(lists, coded, step, HUB)
+        members, used = _members(lists, step, HUB)
         before, lists = lists, saved(_merged(_round(members), lists), "nn-lists")
         discard(before, *used)
         step += 1
@@ -316,14 +333,14 @@ def build_graph(nodes: DataFrame, changed: float = CHANGED) -> tuple[DataFrame,
                 ["node", "ids", "codes"],
             )
 
-    members, used = _members(lists, coded, step)
+    members, used = _members(lists, step)
     graph = members.mapInArrow(flatten, "node long, ids binary, codes binary")
     name = f"nn_graph_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = new_work_dir(spark, "nn-graph")
     writer = graph.repartition(buckets, "node").write.bucketBy(buckets, "node")
     writer.option("path", path).format("parquet").saveAsTable(name)
-    discard(coded, lists, *used)
+    discard(lists, *used)
     found = spark.table(name)
     found.saved_path, found.saved_name = path, name
     return found, longest
@@ -382,22 +399,21 @@ def search_graph(
     pooled = _pools(nodes, nodes.count(), pools).groupBy("pool")
     state = saved(dealt.groupBy("pool").cogroup(pooled).applyInPandas(start, shape), "nn-beams")
     states = [state]
-    while not state.where("not done").isEmpty():
-        walking = state.where("not done")
-        moves = saved(
-            walking.mapInPandas(
-                partial(_next_nodes, beam), "query long, node long, vector binary, worst float"
-            ),
-            "nn-moves",
+    while count := (walking := state.where("not done")).count():
+        moves = walking.select("query", "vector", "beam", "opened").mapInPandas(
+            partial(_next_nodes, beam), "query long, node long, vector binary, worst float"
         )
-        looked, used = _with_lists(moves, graph)
+        looked, used = _with_lists(moves, graph, count)
         offers = looked.mapInPandas(_looked_at, "query long, list binary")
-        merged = offers.groupBy("query").agg(F.collect_list("list").alias("lists"))
-        state = saved(
-            walking.join(merged, "query", "left").mapInPandas(partial(_opened, beam), shape), "nn-beams"
+        # A walk's state meets its offers in the one shuffle of these; one row of a walk has it.
+        rows = walking.drop("done").unionByName(offers, allowMissingColumns=True)
+        gathered = rows.groupBy("query").agg(
+            *[F.max(x).alias(x) for x in ("vector", "beam", "opened")],
+            F.collect_list("list").alias("lists"),
         )
+        state = saved(gathered.mapInPandas(partial(_opened, beam), shape), "nn-beams")
         states.append(state)
-        discard(moves, *used)
+        discard(*used)
     closed = states[0].where("done")
     for one in states[1:]:
         closed = closed.union(one.where("done"))
@@ -417,19 +433,26 @@ def search_graph(
     return found
 
 
-def _with_lists(moves: DataFrame, graph: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """Moves and the lists of their nodes; and the written tables that this is read from.
+def _with_lists(
+    moves: DataFrame, graph: DataFrame, walks: int
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Moves of so many walks and the lists of their nodes; and the written tables that this is read
+    from.
 
     A bucket cannot be split, so moves to hot nodes meet the lists of these in a join of its own,
-    which can. Of hot nodes there is one at most for every HOT moves.
+    which can. Of hot nodes there is one at most for every HOT moves. A walk opens a node once, so
+    HOT walks or fewer make none hot.
     """
+    if walks <= HOT:
+        return moves.join(graph, "node"), []
+    moves = saved(moves, "nn-moves")
     hot = moves.groupBy("node").agg(F.count("*").alias("moves")).where(F.col("moves") > HOT)
     if hot.isEmpty():
-        return moves.join(graph, "node"), []
+        return moves.join(graph, "node"), [moves]
     hot = saved(hot.select("node"), "nn-hot")
     lists = saved(graph.join(hot, "node", "left_semi"), "nn-hot-lists")
     usual = moves.join(hot, "node", "left_anti").join(graph, "node")
-    return usual.union(moves.join(lists, "node").select(usual.columns)), [hot, lists]
+    return usual.union(moves.join(lists, "node").select(usual.columns)), [moves, hot, lists]
 
 
 def _to_open(width: int, beam: bytes, opened: bytes) -> np.ndarray:
@@ -480,7 +503,7 @@ def _opened(width: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFram
             ids, scores = unpack(beam)
             done = ids[np.frombuffer(opened, np.uint8) == 1]
             done = np.append(done, _to_open(width, beam, opened))
-            found = [(ids, scores)] + [unpack(x) for x in ([] if lists is None else lists)]
+            found = [(ids, scores)] + [unpack(x) for x in lists]
             ids, scores = nearest(
                 np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]), width
             )
