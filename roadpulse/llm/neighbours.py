@@ -7,7 +7,9 @@ when few links change. A query then walks the graph: of the nodes it has met it
 ones not opened yet, and ends when all of its beam is open. What it ends with is scored again on
 the original vectors, in double precision. How wide beams must be turns on the data and their
 number, so it is measured: a bounded sample of queries is compared with every vector, in blocks, and
-beams double until the graph gives the sample's neighbours back, or a wider one adds nothing.
+beams double until the graph gives the sample's neighbours back, or a wider one adds nothing. All
+queries walk each time, from what the narrower beams ended with: a step reads the whole graph for a
+sample as well.
 
 Nearness is the inner product. Vectors of each number of coordinates have a graph of their own.
 They may be of any norm, so they get one more coordinate that
@@ -360,14 +362,16 @@ def _pools(nodes: DataFrame, count: int, pools: int) -> DataFrame:
     return drawn.select(pool.alias("pool"), "node", "embedding")
 
 
-def search_graph(
-    queries: DataFrame, nodes: DataFrame, graph: DataFrame, longest: float, beam: int = BEAM
-) -> DataFrame:
-    """(query, node): the nodes that each query of (query, node, embedding) ends with, written.
+#: A walk: its query, its direction, its beam, a byte for each node of the beam that is 1 where the node
+#: is open, and whether all are.
+WALK = "query long, vector binary, beam binary, opened binary, done boolean"
+
+
+def _started(queries: DataFrame, nodes: DataFrame, longest: float, beam: int) -> DataFrame:
+    """A walk for each query of (query, node, embedding), written.
 
     ``query`` is any long, unique; ``node`` is where it starts besides the entries, also a node
-    that the graph lacks. A walk ends when all of its beam is open: what has left a beam cannot
-    come back, so each does.
+    that the graph lacks.
     """
     pools = max(int(np.ceil(queries.count() / SHARING)), 1)
 
@@ -394,11 +398,17 @@ def search_graph(
             {"query": asked["query"], "vector": wides, "beam": beams, "opened": opened, "done": False}
         )
 
-    shape = "query long, vector binary, beam binary, opened binary, done boolean"
     dealt = queries.withColumn("pool", F.pmod(F.xxhash64("query"), F.lit(pools)))
     pooled = _pools(nodes, nodes.count(), pools).groupBy("pool")
-    state = saved(dealt.groupBy("pool").cogroup(pooled).applyInPandas(start, shape), "nn-beams")
-    states = [state]
+    return saved(dealt.groupBy("pool").cogroup(pooled).applyInPandas(start, WALK), "nn-beams")
+
+
+def _walked(walks: DataFrame, graph: DataFrame, beam: int) -> DataFrame:
+    """The walks at their end, written; the given ones are discarded.
+
+    A walk ends when all of its beam is open: what has left a beam cannot come back, so each does.
+    """
+    state, states = walks, [walks]
     while count := (walking := state.where("not done")).count():
         moves = walking.select("query", "vector", "beam", "opened").mapInPandas(
             partial(_next_nodes, beam), "query long, node long, vector binary, worst float"
@@ -411,12 +421,25 @@ def search_graph(
             *[F.max(x).alias(x) for x in ("vector", "beam", "opened")],
             F.collect_list("list").alias("lists"),
         )
-        state = saved(gathered.mapInPandas(partial(_opened, beam), shape), "nn-beams")
+        state = saved(gathered.mapInPandas(partial(_opened, beam), WALK), "nn-beams")
         states.append(state)
         discard(*used)
-    closed = states[0].where("done")
-    for one in states[1:]:
-        closed = closed.union(one.where("done"))
+    closed = saved(reduce(DataFrame.union, [x.where("done") for x in states]), "nn-walked")
+    discard(*states)
+    return closed
+
+
+def _reopened(walks: DataFrame) -> DataFrame:
+    """The walks with nothing open, to go on with wider beams."""
+    none = F.expr("unhex(repeat('00', length(beam) div 12))")
+    return saved(
+        walks.select("query", "vector", "beam", none.alias("opened"), F.lit(False).alias("done")),
+        "nn-beams",
+    )
+
+
+def _ends(walks: DataFrame) -> DataFrame:
+    """(query, node): the nearest nodes that each walk has, SCORED at most."""
 
     def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -428,9 +451,7 @@ def search_graph(
                 }
             )
 
-    found = saved(closed.mapInPandas(ends, "query long, node long"), "nn-ends")
-    discard(*states)
-    return found
+    return walks.select("query", "beam").mapInPandas(ends, "query long, node long")
 
 
 def _with_lists(
@@ -556,21 +577,25 @@ def _exact_nodes(sample: pd.DataFrame, nodes: DataFrame, k: int) -> DataFrame:
 def searched(
     queries: DataFrame, nodes: DataFrame, graph: DataFrame, longest: float, k: int
 ) -> DataFrame:
-    """``search_graph`` with beams as wide as a sample of at most SAMPLE queries asks for."""
+    """(query, node): what each query of (query, node, embedding) finds, written, with beams as wide
+    as a sample of at most SAMPLE queries asks for."""
     chosen = queries.orderBy(F.xxhash64("query"), "query").limit(SAMPLE)
     chosen = saved(chosen.select("query", "node", "embedding"), "nn-sample")
     exact = saved(_exact_nodes(chosen.toPandas(), nodes, k), "nn-exact")
     total, beam, before = max(exact.count(), 1), BEAM, 0.0
+    walks = _walked(_started(queries, nodes, longest, beam), graph, beam)
     while True:
-        ends = search_graph(chosen, nodes, graph, longest, beam)
-        near = ends.withColumnRenamed("node", "near")
+        sample = walks.join(chosen.select("query"), "query", "left_semi")
+        near = _ends(sample).withColumnRenamed("node", "near")
         recall = exact.join(near, ["query", "near"], "left_semi").count() / total
-        discard(ends)
         if recall >= RECALL or recall < before + GAIN:
             break
-        before, beam = recall, 2 * beam
-    discard(chosen, exact)
-    return search_graph(queries, nodes, graph, longest, beam)
+        before, beam, narrower = recall, 2 * beam, walks
+        walks = _walked(_reopened(narrower), graph, beam)
+        discard(narrower)
+    found = saved(_ends(walks), "nn-ends")
+    discard(chosen, exact, walks)
+    return found
 
 
 def inner_product(a: Column, b: Column) -> Column:
