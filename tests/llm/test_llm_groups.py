@@ -387,6 +387,21 @@ def test_quality_on_held_out_labels(spark):
     assert np.mean(good) > 0.98 and np.mean(bad) < 0.1
 
 
+def test_quality_votes_equal_a_plain_loop(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, "/root/testdata/sf0.01", "labels"))
+    rows = quality.with_scores(docs, model).orderBy("doc_id").collect()[::10]
+    for row in rows:
+        point = quality.project(quality.terms(row.text)[None, :], model.projection)[0]
+        cosines = [float(sum(a * b for a, b in zip(point, other))) for other in model.vectors]
+        nearest = sorted(range(len(cosines)), key=lambda i: -cosines[i])[: quality.NEIGHBOURS]
+        votes, total = quality.PRIOR_WEIGHT * model.prior, quality.PRIOR_WEIGHT
+        for i in nearest:
+            weight = max(cosines[i], 0) ** quality.SHARPNESS
+            votes, total = votes + weight * model.labels[i], total + weight
+        assert row.score == pytest.approx(votes / total, abs=1e-4)
+
+
 def test_quality_held_out_rows_are_never_learnt_from(spark):
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(200)], "doc_id long, text string")
     held = docs.where(quality.held_out(F.col("doc_id")))
