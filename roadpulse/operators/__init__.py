@@ -9,6 +9,7 @@ from roadpulse.operators.snapshots import (
     flatten_incidents,
     incidents_per_snapshot,
     message_of_event,
+    messages_of_texts,
     read_position,
     read_texts,
     to_messages,
@@ -39,6 +40,7 @@ __all__ = [
     "is_malformed",
     "key_ranges",
     "message_of_event",
+    "messages_of_texts",
     "normalize",
     "parse_events",
     "place_key",

@@ -59,14 +59,27 @@ def explode_texts(documents: DataFrame, payload: str = "payload") -> DataFrame:
     kept = [name for name in documents.columns if name != payload]
     model = F.from_json(payload, snapshot_of(StringType()))["tm"]
     only_id = StructType([StructField("id", StringType())])
+
+    def with_its_id(text: Column) -> Column:
+        # Read inside the array, so that a filter on the id does not read the text once more.
+        return F.struct(text.alias("text"), F.from_json(text, only_id).alias("incident"))
+
+    # The outer form, and documents without incidents dropped behind it: of the plain one Spark
+    # makes a filter on the array, for which it would be built a second time.
     return (
         documents.select(*kept, model.alias("_model"))
         .select(
             *kept,
             F.coalesce("_model.@id", F.lit("")).alias("trafficModelId"),
-            F.posexplode("_model.poi").alias("position_in_snapshot", "text"),
+            F.transform("_model.poi", with_its_id).alias("_elements"),
+        )
+        .select(
+            *kept,
+            "trafficModelId",
+            F.posexplode_outer("_elements").alias("position_in_snapshot", "_element"),
         )
-        .withColumn("incident", F.from_json("text", only_id))
+        .where(F.col("position_in_snapshot").isNotNull())
+        .select(*kept, "trafficModelId", "position_in_snapshot", "_element.text", "_element.incident")
     )
 
 
@@ -83,8 +96,12 @@ def read_position(text: str) -> Column:
 
 
 def with_id(incidents: DataFrame) -> DataFrame:
-    """Drop incidents whose id is missing or empty."""
-    return incidents.where(F.col("incident.id").isNotNull() & (F.col("incident.id") != ""))
+    """Drop incidents whose id is missing or empty.
+
+    One comparison, which a null does not pass: pushed below the reading of the id, each mention
+    of it reads the text again.
+    """
+    return incidents.where(F.col("incident.id") != "")
 
 
 def flatten_incidents(incidents: DataFrame, *keep: str) -> DataFrame:
@@ -125,27 +142,48 @@ def to_messages(events: DataFrame, text: str | None = None) -> DataFrame:
     """
     if text is None:
         return events.select(message_of_event().alias("value"))
-    typed = F.coalesce(_typed_message(text), message_of_event())
-    return events.select(typed.alias("value"))
+    rows = _with_typed_message(events, text)
+    return rows.select(F.coalesce(_TYPED, message_of_event()).alias("value"))
 
 
-def _typed_message(text: str) -> Column:
-    raw = F.try_parse_json(text)
+def messages_of_texts(incidents: DataFrame) -> DataFrame:
+    """``to_messages`` of rows of ``explode_texts``, their ``text`` read once.
+
+    The columns of the event are made only for texts that give no typed message.
+    """
+    typed = _with_typed_message(incidents.select("trafficModelId", "text"), "text")
+    untyped = typed.withColumn("text", F.when(F.col(_TYPED).isNull(), F.col("text")))
+    events = flatten_incidents(read_texts(untyped), _TYPED)
+    return events.select(F.coalesce(_TYPED, message_of_event()).alias("value"))
+
+
+_TYPED = "_typed"
 
-    def value(key: str) -> Column:
-        return F.try_variant_get(raw, f"$.{key}", "variant")
 
+def _with_typed_message(rows: DataFrame, text: str) -> DataFrame:
+    """Adds the message with the types of ``text``; null where that cannot be read as a variant.
+
+    A column for each step, so that none is computed again for each of its uses.
+    """
+    value = {key: f"_value_{key}" for key in RAW_TO_WIRE}
+    parsed = rows.withColumn("_variant", F.try_parse_json(text))
+    read = parsed.withColumns(
+        {name: F.try_variant_get("_variant", f"$.{key}", "variant") for key, name in value.items()}
+    )
+    shown = ("r", "f")
+    kinds = read.withColumns({f"_kind_{key}": F.schema_of_variant(value[key]) for key in shown})
     label = F.coalesce(
-        *[F.when(_counts(value(key)), value(key)) for key in ("r", "f")], value("t")
+        *[F.when(_counts(F.col(value[key]), F.col(f"_kind_{key}")), F.col(value[key])) for key in shown],
+        value["t"],
     )
-    named = [value(key).alias(wire) for key, wire in RAW_TO_WIRE.items()]
-    fields = [F.col("trafficModelId"), *named, label.alias("area_hint"), raw.alias("_raw")]
-    return F.when(raw.isNotNull(), json_message(*fields))
+    named = [F.col(value[key]).alias(wire) for key, wire in RAW_TO_WIRE.items()]
+    fields = ["trafficModelId", *named, label.alias("area_hint"), F.col("_variant").alias("_raw")]
+    message = F.when(F.col("_variant").isNotNull(), json_message(*fields))
+    return kinds.select(*rows.columns, message.alias(_TYPED))
 
 
-def _counts(value: Column) -> Column:
-    """Whether a JSON value says something: not null, empty, zero or false."""
-    kind = F.schema_of_variant(value)
+def _counts(value: Column, kind: Column) -> Column:
+    """Whether a JSON value of that kind says something: not null, empty, zero or false."""
     text = F.try_variant_get(value, "$", "string")
     return F.coalesce(
         F.when(kind == "STRING", text != "")

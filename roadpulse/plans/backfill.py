@@ -13,11 +13,10 @@ from roadpulse.operators import (
     explode_texts,
     first_per_key,
     flatten_incidents,
+    messages_of_texts,
     normalize,
     parse_events,
-    read_texts,
     stamp_events,
-    to_messages,
     with_id,
 )
 
@@ -38,7 +37,7 @@ def publish_batch(documents: DataFrame, arrival: Sequence[str | Column]) -> Data
         "key", incident_key("trafficModelId", "incident.id")
     )
     first = first_per_key(keyed, ["key"], [*arrival, "position_in_snapshot"])
-    return to_messages(flatten_incidents(read_texts(first), "text"), "text")
+    return messages_of_texts(first)
 
 
 def clean_table(

@@ -19,14 +19,12 @@ from roadpulse.operators import (
     drop_seen_within,
     explode_texts,
     first_per_key,
-    flatten_incidents,
+    messages_of_texts,
     normalize,
     parse_events,
     read_position,
-    read_texts,
     split_ahead,
     split_malformed,
-    to_messages,
     watermarked,
     with_id,
     within_bbox,
@@ -78,7 +76,7 @@ def message_rows(first: DataFrame, config: FeedConfig) -> DataFrame:
         fresh = drop_seen(first)
     # Keys that were taken over from another checkpoint have no text.
     fresh = fresh.where("text is not null")
-    return to_messages(flatten_incidents(read_texts(fresh), "text"), "text")
+    return messages_of_texts(fresh)
 
 
 def bronze_rows(messages: DataFrame, config: FeedConfig | None = None) -> DataFrame:
