@@ -211,7 +211,7 @@ def dedup_stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed snapshots published as messages, each incident once, the first copy of it."""
     config = _config(spark, "publish_stream", whole_files=False, poll_key="polled")
-    _land_snapshots(spark, sf_dir, config)
+    _land_snapshots(read_events(spark, sf_dir), config)
     run_stages(spark, config, ["publish"], drain=True)
     return parse_events(read_messages(spark, config)).select(
         F.col("trafficModelId").alias("model_id"),
@@ -231,11 +231,14 @@ def publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _land_snapshots(spark: SparkSession, sf_dir: str, config: FeedConfig) -> None:
-    """Documents in several files, in no order: copies of an incident lie in different ones."""
-    documents = snapshot_documents(read_events(spark, sf_dir), "event_id")
-    spread = documents.repartition(8, "event_id").select("payload")
-    spread.write.text(config.snapshot_path)
+def _land_snapshots(events: DataFrame, config: FeedConfig) -> None:
+    """Documents in several files, in no order: copies of an incident lie in different ones.
+
+    The events are spread, not the documents, which are many times wider; and over all cores.
+    """
+    width = max(8, events.sparkSession.sparkContext.defaultParallelism)
+    documents = snapshot_documents(events.repartition(width, "event_id"))
+    documents.write.text(config.snapshot_path)
 
 
 @query(
@@ -294,7 +297,7 @@ def feed_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _config(
         spark, "feed_chain", whole_files=False, poll_key="polled", missing_time="drop"
     )
-    _land_snapshots(spark, sf_dir, config)
+    _land_snapshots(read_events(spark, sf_dir), config)
     run_stages(spark, config, drain=True)
     return read_table(spark, config.gold_table, GOLD, config)
 
@@ -524,7 +527,7 @@ def _settled_backfill(spark: SparkSession, sf_dir: str, purpose: str) -> FeedCon
 def polls_logged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What publish reports of its polls, added up from the table of reports."""
     config = _config(spark, "polls_logged", whole_files=False, poll_key="polled", max_files_per_trigger=3)
-    _land_snapshots(spark, sf_dir, config)
+    _land_snapshots(read_events(spark, sf_dir), config)
     run_stages(spark, config, ["publish"], drain=True)
     counts = F.col("counts")
     return read_progress(spark, config).groupBy("stage").agg(
@@ -543,7 +546,7 @@ def polls_logged(spark: SparkSession, sf_dir: str) -> DataFrame:
 def seen_keys_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keys in the state of publish are those of the incidents it has sent."""
     config = _config(spark, "seen_keys_read", whole_files=False, poll_key="polled")
-    _land_snapshots(spark, sf_dir, config)
+    _land_snapshots(read_events(spark, sf_dir), config)
     run_stages(spark, config, ["publish"], drain=True)
     return seen_keys(spark, config).select(F.lower(F.hex("key")).alias("key"))
 
@@ -558,13 +561,13 @@ def publish_reseeded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the snapshots published, then all of them under another width and the keys of before."""
     old = _config(spark, "publish_reseeded", whole_files=False, poll_key="polled")
     width = "spark.sql.shuffle.partitions"
-    documents = snapshot_documents(read_events(spark, sf_dir), "event_id")
-    documents.where("event_id % 2 = 0").select("payload").write.text(old.snapshot_path)
+    events = read_events(spark, sf_dir)
+    _land_snapshots(events.where("event_id % 2 = 0"), old)
     run_stages(spark, old, ["publish"], drain=True)
     new = _config(spark, "publish_reseeded", whole_files=False, poll_key="polled")
     with settings(spark, {width: str(int(spark.conf.get(width)) + 3)}):
         reseed_publish(spark, old, new)
-    _land_snapshots(spark, sf_dir, new)
+    _land_snapshots(events, new)
     run_stages(spark, new, ["publish"], drain=True)
     sent = read_messages(spark, old).unionByName(read_messages(spark, new))
     return parse_events(sent).select(F.col("trafficModelId").alias("model_id"), "id")

@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from roadpulse.catalog.streams import _land_snapshots
 from roadpulse.config import FeedConfig
 from roadpulse.operators import (
     explode_texts,
@@ -96,3 +97,20 @@ def test_id_of_an_incident_is_read_once(spark, plan):
     rows = spark.createDataFrame([(1, document('{"id":"a"}'))], "n int, payload string")
     only_id = r"from_json\(StructField\(id,StringType,true\), (?!StructField)"
     assert len(re.findall(only_id, plan(publish_batch(rows, ["n"])))) == 1
+
+
+def test_landed_documents_lie_in_several_files_on_all_cores(spark, tmp_path):
+    events = spark.range(400).select(
+        F.col("id").alias("event_id"),
+        F.timestamp_seconds("id").alias("event_ts"),
+        (F.col("id") % 9).alias("user_id"),
+        F.lit("view").alias("event_type"),
+        F.col("id").cast("double").alias("value"),
+        F.lit("{}").alias("props"),
+    )
+    config = FeedConfig.under(str(tmp_path), whole_files=False)
+    _land_snapshots(events.coalesce(1), config)
+    landed = spark.read.text(config.snapshot_path)
+    assert landed.count() == 400
+    width = max(8, spark.sparkContext.defaultParallelism)
+    assert landed.select(F.input_file_name()).distinct().count() == width
