@@ -371,6 +371,56 @@ def test_nearest_rows_of_a_hot_node(spark, monkeypatch):
     assert [x for x in spark.catalog.listTables() if x.name.startswith("nn_graph")] == []
 
 
+def test_best_entries_equal_a_plain_loop():
+    rng = np.random.default_rng(3)
+    rows, ids = rng.integers(0, 5, 600), rng.integers(0, 60, 600)
+    scores = rng.normal(size=(5, 30)).astype(np.float32)[rows, ids >> 1]
+    want = []
+    for row in range(5):
+        smallest = {}
+        for i, score in sorted(zip(ids[rows == row], scores[rows == row])):
+            smallest.setdefault(i >> 1, (-score, i))
+        want += [(row, i, -score) for score, i in sorted(smallest.values())[:7]]
+    assert [*zip(*neighbours.best(rows, ids, scores, 7, same=1))] == want
+
+
+def test_neighbours_graph_moves_rows_of_blocks_not_of_links(spark, monkeypatch):
+    """Two blocks of nodes exchange one row, whatever their links; a row of the graph has many nodes."""
+    monkeypatch.setattr(neighbours, "BLOCK", 400)
+    answers, sent = neighbours._answers, []
+
+    def counted(states, blocks, salt):
+        sent.append(answers(states, blocks, salt).count())
+        return answers(states, blocks, salt)
+
+    monkeypatch.setattr(neighbours, "_answers", counted)
+    vectors = np.random.default_rng(4).normal(size=(2000, 8))
+    frame = spark.createDataFrame([([float(x) for x in v],) for v in vectors], "embedding array<double>")
+    nodes, labels = neighbours.placed(neighbours.nodes_of(frame))
+    graph, longest = neighbours.build_graph(nodes, labels)
+    try:
+        pages = graph.collect()
+    finally:
+        neighbours.drop_graph(graph)
+    assert len(labels) == 5 and max(sent) <= 5 * 6
+    assert len(pages) <= 2000 / neighbours.PAGE + 5
+    found = nodes.orderBy("place").collect()
+    places = np.array([x.place for x in found])
+    wide = np.array([x.embedding for x in found]) / longest
+    wide = np.c_[wide, np.sqrt(np.maximum(1 - (wide * wide).sum(axis=1), 0))]
+    near, hits = wide @ wide.T - 9 * np.eye(2000), 0
+    for page in pages:
+        ids = np.frombuffer(page.ids, np.int64)
+        codes = neighbours.decode(np.frombuffer(page.codes, np.uint8).reshape(len(ids), -1))
+        assert np.abs(codes - wide[np.searchsorted(places, ids)]).max() < 0.01
+        ends = np.cumsum(np.frombuffer(page.sizes, np.int32))
+        for i, (a, b) in enumerate(zip([0, *ends], ends)):
+            own = np.searchsorted(places, (page.to << neighbours.SHIFT) + page.first + i)
+            assert places[own] not in ids[a:b] and len(set(ids[a:b])) == b - a <= neighbours.LINKS + neighbours.BACKLINKS
+            hits += len(set(places[np.argsort(-near[own])[:10]]) & set(ids[a:b]))
+    assert hits >= 0.97 * 20_000
+
+
 @pytest.mark.parametrize("rows", [[], [(0, [1.0, 2.0])], [(3, [1.0]), (5, [1.0])]])
 def test_nearest_of_almost_nothing(spark, rows):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
